@@ -14,7 +14,8 @@ SELECT 'C1' AS company, CAST(l_orderkey AS VARCHAR) AS invoice_no, CAST(l_shipda
        l_extendedprice * l_discount AS discount, l_extendedprice * (1 - l_discount) AS net_amount,
        l_extendedprice * (1 - l_discount) * l_tax AS tax_amount,
        l_extendedprice * (1 - l_discount) + l_extendedprice * (1 - l_discount) * l_tax AS gross_amount,
-       printf('SITE%02d', s_nationkey) AS site, l_linenumber AS line_no, l_suppkey AS line_ref
+       printf('SITE%02d', s_nationkey) AS site, l_linenumber AS line_no, l_suppkey AS line_ref,
+       (l_orderkey * 10 + l_linenumber) * 1048576 + l_suppkey AS line_seq
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
 WHERE l_returnflag <> 'R'"""
 
@@ -23,7 +24,7 @@ def _daily(lines: str) -> str:
     return f"""
 SELECT d.invoice_date, d.site, d.item_id, d.qty, p.last_price
 FROM (SELECT invoice_date, site, item_id, sum(qty) AS qty FROM {lines} GROUP BY ALL) d
-LEFT JOIN (SELECT item_id, arg_max(unit_price, row(invoice_date, invoice_no, line_no, line_ref)) AS last_price
+LEFT JOIN (SELECT item_id, arg_max(unit_price, row(invoice_date, line_seq)) AS last_price
            FROM {lines} GROUP BY item_id) p ON d.item_id = p.item_id"""
 
 
@@ -52,13 +53,14 @@ tables(
 SELECT 'C1' AS company, 'F' || CAST(o_custkey % 5 AS VARCHAR) AS site, CAST(o_orderdate AS DATE) AS invoice_date,
        s_name AS supplier, 'EUR' AS currency, o_orderstatus AS status, printf('ART%08d', l_partkey) AS item_id,
        l_quantity AS qty, l_extendedprice / l_quantity AS unit_price, l_extendedprice AS net_amount,
-       CAST(l_orderkey AS VARCHAR) AS invoice_no, l_linenumber AS line_no, l_suppkey AS line_ref
+       CAST(l_orderkey AS VARCHAR) AS invoice_no, l_linenumber AS line_no, l_suppkey AS line_ref,
+       (l_orderkey * 10 + l_linenumber) * 1048576 + l_suppkey AS line_seq
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
 WHERE l_returnflag = 'A'""",
     t_daily_purchases="""
 SELECT d.invoice_date, d.supplier, d.item_id, d.qty, p.last_price
 FROM (SELECT invoice_date, supplier, item_id, sum(qty) AS qty FROM t_purchase_lines GROUP BY ALL) d
-LEFT JOIN (SELECT item_id, arg_max(unit_price, row(invoice_date, invoice_no, line_no, line_ref)) AS last_price
+LEFT JOIN (SELECT item_id, arg_max(unit_price, row(invoice_date, line_seq)) AS last_price
            FROM t_purchase_lines GROUP BY item_id) p ON d.item_id = p.item_id""",
     t_bom_header="""
 SELECT printf('ART%08d', p_partkey) AS item_id, 1 AS alt, 1 AS bom_type,

@@ -29,7 +29,7 @@ def daily_purchases(t: Testbed):
 
 @query(
     "last_price",
-    """SELECT item_id, arg_max(unit_price, row(invoice_date, invoice_no, line_no, line_ref)) AS last_price
+    """SELECT item_id, arg_max(unit_price, row(invoice_date, line_seq)) AS last_price
        FROM t_lines GROUP BY item_id""",
 )
 def last_price(t: Testbed):
@@ -49,7 +49,7 @@ def attach_last_price(t: Testbed):
     {"mean": 6, "std": 6},
 )
 def describe_qty(t: Testbed):
-    return facts.describe(t.daily(spiked=True), "qty")
+    return facts.describe(t.daily_table(spiked=True), "qty")
 
 
 @query(
@@ -149,7 +149,7 @@ def revenue_total(t: Testbed):
             (VALUES (0.10::DOUBLE), (0.25::DOUBLE), (0.75::DOUBLE), (0.90::DOUBLE), (0.99::DOUBLE)) v(p)""",
 )
 def quantile_bounds(t: Testbed):
-    return facts.quantile_table(t.daily(spiked=True), "qty", [0.10, 0.25, 0.75, 0.90, 0.99])
+    return facts.quantile_table(t.daily_table(spiked=True), "qty", [0.10, 0.25, 0.75, 0.90, 0.99])
 
 
 @query(
@@ -173,4 +173,4 @@ def value_counts_item(t: Testbed):
     "SELECT month, count(*) AS n_rows FROM t_detail GROUP BY 1",
 )
 def forecast_month_counts(t: Testbed):
-    return facts.value_counts(baseline_detail(t.daily()), "month")
+    return facts.value_counts(baseline_detail(t.daily_table()), "month")

@@ -3,23 +3,18 @@
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.testbed import EVENT_NAMES, TIE_BREAK, Testbed
+from checks.testbed import EVENT_NAMES, Testbed
 from tidestock.functions.numeric import floor_zero
 from tidestock.operators import encoding, facts, features, outliers, splits, windows
-from tidestock.plans.loading import staged_daily
 
 
 def _series(t: Testbed):
     return features.gap_fill_daily(facts.daily_total_series(t.sales_lines()))
 
 
-def _staged_daily(t: Testbed):
-    return staged_daily(t.sales_lines(), TIE_BREAK)
-
-
 def feature_rows(t: Testbed):
     """Feature table built from a staged daily fact."""
-    return features.feature_table(_staged_daily(t))
+    return features.feature_table(t.daily_table())
 
 
 # --- projections, filters, splits -------------------------------------------------------
@@ -302,17 +297,21 @@ def standard_scale(t: Testbed):
     return encoding.standard_scale(t.daily(), ["qty", "last_price"]).drop("qty", "last_price")
 
 
-@query("one_hot_item")
+@query(
+    "one_hot_item",
+    """SELECT d.item_id, d.invoice_date, d.site, CAST((SELECT count(DISTINCT item_id) FROM known) AS INTEGER) AS width, c.code AS position
+       FROM t_daily d LEFT JOIN (SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS code
+                                 FROM (SELECT DISTINCT item_id FROM known)) c ON d.item_id = c.item_id""".replace(
+        "known", "(SELECT item_id FROM t_daily WHERE invoice_date < DATE '1995-06-01') k"
+    ),
+)
 def one_hot_item(t: Testbed):
-    from pyspark.ml.functions import vector_to_array
-
     rows = t.daily().select("item_id", "invoice_date", "site")
-    train, _ = splits.holdout_month_split(rows)
-    coded = encoding.one_hot_item(rows, train)
-    ones = vector_to_array("item_vector")
+    coded = encoding.one_hot_item(rows, rows.where(F.col("invoice_date") < "1995-06-01"))
+    vector = F.unwrap_udt("item_vector")
     return coded.select(
         "item_id", "invoice_date", "site",
-        F.size(ones).alias("width"), (F.array_position(ones, 1.0) - 1).cast("int").alias("position"),
+        vector["size"].alias("width"), F.get(vector["indices"], F.lit(0)).alias("position"),
     )
 
 
@@ -358,7 +357,7 @@ def event_feature_table(t: Testbed):
 
 @query("iqr_bounds", "SELECT * FROM t_bounds")
 def iqr_bounds(t: Testbed):
-    return outliers.iqr_bounds(t.daily(spiked=True))
+    return outliers.iqr_bounds(t.daily_table(spiked=True))
 
 
 @query(
@@ -366,7 +365,7 @@ def iqr_bounds(t: Testbed):
     "SELECT s.* FROM t_spiked s, t_bounds b WHERE s.qty < b.lower_bound OR s.qty > b.upper_bound",
 )
 def iqr_outliers(t: Testbed):
-    daily = t.daily(spiked=True)
+    daily = t.daily_table(spiked=True)
     return outliers.iqr_outliers(daily, outliers.iqr_bounds(daily))
 
 
@@ -378,13 +377,13 @@ def iqr_outliers(t: Testbed):
     {"share_pct": 6},
 )
 def iqr_outlier_share(t: Testbed):
-    daily = t.daily(spiked=True)
+    daily = t.daily_table(spiked=True)
     return outliers.iqr_outlier_share(daily, outliers.iqr_bounds(daily))
 
 
 @query("iqr_clean", "SELECT s.* FROM t_spiked s, t_bounds b WHERE s.qty BETWEEN b.lower_bound AND b.upper_bound")
 def iqr_clean(t: Testbed):
-    daily = t.daily(spiked=True)
+    daily = t.daily_table(spiked=True)
     return outliers.iqr_clean(daily, outliers.iqr_bounds(daily))
 
 
@@ -394,7 +393,7 @@ def iqr_clean(t: Testbed):
        FROM t_spiked, t_bounds""",
 )
 def winsorize(t: Testbed):
-    daily = t.daily(spiked=True)
+    daily = t.daily_table(spiked=True)
     return outliers.winsorize(daily, outliers.iqr_bounds(daily))
 
 
@@ -404,7 +403,7 @@ def winsorize(t: Testbed):
        WHERE abs(qty - (SELECT avg(qty) FROM t_spiked)) / (SELECT nullif(stddev_pop(qty), 0) FROM t_spiked) > 3""",
 )
 def zscore_outliers(t: Testbed):
-    return outliers.zscore_outliers(t.daily(spiked=True))
+    return outliers.zscore_outliers(t.daily_table(spiked=True))
 
 
 @query(
@@ -415,12 +414,12 @@ def zscore_outliers(t: Testbed):
     {"share_pct": 6},
 )
 def zscore_outlier_share(t: Testbed):
-    return outliers.zscore_outlier_share(t.daily(spiked=True))
+    return outliers.zscore_outlier_share(t.daily_table(spiked=True))
 
 
 @query("preprocess_pipeline", "SELECT s.* FROM t_spiked s, t_bounds b WHERE s.qty BETWEEN b.lower_bound AND b.upper_bound")
 def preprocess_pipeline(t: Testbed):
-    return outliers.clean(t.daily(spiked=True))
+    return outliers.clean(t.daily_table(spiked=True))
 
 
 @query(
@@ -429,7 +428,7 @@ def preprocess_pipeline(t: Testbed):
        FROM t_spiked, t_bounds""",
 )
 def preprocess_winsor(t: Testbed):
-    return outliers.clean(t.daily(spiked=True), method="winsor")
+    return outliers.clean(t.daily_table(spiked=True), method="winsor")
 
 
 @query("masked_p99_cap", f"SELECT invoice_date, round({_CAPPED}, 6) AS qty FROM t_flagged", {"qty": 6})
@@ -448,7 +447,7 @@ def masked_p99_cap(t: Testbed):
     {"z_score": 6},
 )
 def outlier_labels(t: Testbed):
-    return outliers.outlier_labels(t.daily(spiked=True))
+    return outliers.outlier_labels(t.daily_table(spiked=True))
 
 
 @query(
@@ -460,5 +459,5 @@ def outlier_labels(t: Testbed):
     {"mean": 6, "std": 6},
 )
 def before_after_compare(t: Testbed):
-    daily = t.daily(spiked=True)
+    daily = t.daily_table(spiked=True)
     return outliers.before_after(daily, outliers.clean(daily))

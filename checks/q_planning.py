@@ -9,7 +9,7 @@ from tidestock.plans.planning import baseline_detail, run_planning
 
 
 def _plan(t: Testbed):
-    return run_planning(baseline_detail(t.daily()), t.bom(), t.stock_fg(), t.stock_comp())
+    return run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp())
 
 
 _PLAN = """item_id, round(requirement, 4) AS requirement, {extra}, label, qty_on_hand, round(purchase, 4) AS purchase,
@@ -25,7 +25,7 @@ _ROUND = {"requirement": 4, "purchase": 4, "coverage_pct": 4, "revenue": 2, "fin
     {"qty_mean_item": 6},
 )
 def future_grid(t: Testbed):
-    daily = t.daily()
+    daily = t.daily_table()
     return forecast.future_grid(facts.item_stats(daily), 12, forecast.last_date(daily))
 
 
@@ -35,7 +35,7 @@ def future_grid(t: Testbed):
     {"qty_mean_item_month": 6},
 )
 def seasonal_mean_lookup(t: Testbed):
-    return forecast.forecast_features(t.daily()).select("item_id", "months_ahead", "month", "qty_mean_item_month")
+    return forecast.forecast_features(t.daily_table()).select("item_id", "months_ahead", "month", "qty_mean_item_month")
 
 
 @query(
@@ -45,7 +45,7 @@ def seasonal_mean_lookup(t: Testbed):
     {"qty_mean_item": 6, "qty_mean_item_month": 6},
 )
 def forecast_features(t: Testbed):
-    return forecast.forecast_features(t.daily())
+    return forecast.forecast_features(t.daily_table())
 
 
 @query(
@@ -53,7 +53,7 @@ def forecast_features(t: Testbed):
     "SELECT item_id, year, month, qty_forecast, revenue_forecast FROM t_detail",
 )
 def forecast_detail(t: Testbed):
-    return baseline_detail(t.daily())
+    return baseline_detail(t.daily_table())
 
 
 @query(
@@ -62,7 +62,7 @@ def forecast_detail(t: Testbed):
     {"revenue": 2, "qty": 4},
 )
 def forecast_monthly(t: Testbed):
-    return forecast.forecast_monthly(baseline_detail(t.daily()))
+    return forecast.forecast_monthly(baseline_detail(t.daily_table()))
 
 
 @query(
@@ -73,7 +73,7 @@ def forecast_monthly(t: Testbed):
     {"revenue": 2, "qty": 4},
 )
 def fitted_revenue_monthly(t: Testbed):
-    daily = t.daily()
+    daily = t.daily_table()
     rows = daily.withColumn("month", F.month("invoice_date"))
     fitted = rows.join(forecast.month_means(daily), ["item_id", "month"], "left")
     return forecast.fitted_revenue_monthly(forecast.baseline_prediction(fitted))
@@ -89,7 +89,7 @@ def fitted_revenue_monthly(t: Testbed):
        GROUP BY ROLLUP (year_month, item_id)""",
 )
 def forecast_rollup(t: Testbed):
-    rows = forecast.forecast_rollup(baseline_detail(t.daily()))
+    rows = forecast.forecast_rollup(baseline_detail(t.daily_table()))
     digits = {"qty_forecast": 4, "revenue_forecast": 2}
     return rows.withColumns({
         c: F.when(F.col("level") == 0, F.col(c)).otherwise(F.round(c, d)) for c, d in digits.items()
@@ -102,7 +102,7 @@ def forecast_rollup(t: Testbed):
     {"requirement": 4, "revenue": 2},
 )
 def fg_requirements(t: Testbed):
-    return replenish.fg_requirements(baseline_detail(t.daily()))
+    return replenish.fg_requirements(baseline_detail(t.daily_table()))
 
 
 @query(
@@ -112,7 +112,7 @@ def fg_requirements(t: Testbed):
     {"requirement": 4, "revenue": 2},
 )
 def net_fg_stock_join(t: Testbed):
-    return replenish.net_stock(replenish.fg_requirements(baseline_detail(t.daily())), t.stock_fg())
+    return replenish.net_stock(replenish.fg_requirements(baseline_detail(t.daily_table())), t.stock_fg())
 
 
 @query("fg_purchases", f"SELECT {_FG} FROM t_fg_plan", _ROUND)
@@ -206,7 +206,7 @@ _PIPE = """item_id, round(requirement, 4) AS requirement, qty_on_hand, round(pur
     _ROUND,
 )
 def plan_pipeline(t: Testbed):
-    plan = run_planning(baseline_detail(t.daily()), t.bom(), t.stock_fg(), t.stock_comp(), stage=True)
+    plan = run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp(), stage=True)
     columns = ["item_id", "requirement", "qty_on_hand", "purchase", "coverage_pct", "status", "final_stock"]
     parts = [
         plan[f"final_stock_{kind}"].select(F.lit(kind).alias("kind"), *columns) for kind in ("fg", "comp")

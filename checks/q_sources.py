@@ -31,7 +31,7 @@ def src_sales_lines(t: Testbed):
 
 @query("rename_positional", f"SELECT {_SALES.format(discount='discount')} FROM t_lines")
 def rename(t: Testbed):
-    raw = t.sales_lines().drop("line_no", "line_ref")
+    raw = t.sales_lines().drop("line_no", "line_ref", "line_seq")
     return rename_positional(raw.toDF(*[f"c{i}" for i in range(len(SALES_LINES))]), SALES_LINES)
 
 
@@ -47,14 +47,14 @@ def discounts(t: Testbed):
     )
 
 
-@query("src_purchase_lines", f"SELECT {_PURCHASE}, invoice_no, line_no, line_ref FROM t_purchase_lines")
+@query("src_purchase_lines", f"SELECT {_PURCHASE}, invoice_no, line_no, line_ref, line_seq FROM t_purchase_lines")
 def src_purchase_lines(t: Testbed):
     return t.purchase_lines()
 
 
 @query("rename_positional_purchases", f"SELECT {_PURCHASE} FROM t_purchase_lines")
 def rename_purchases(t: Testbed):
-    raw = t.purchase_lines().drop(*TIE_BREAK)
+    raw = t.purchase_lines().select(*PURCHASE_LINES.names)
     return rename_positional(raw.toDF(*[f"c{i}" for i in range(len(PURCHASE_LINES))]), PURCHASE_LINES)
 
 
@@ -131,7 +131,7 @@ def sink_csv(t: Testbed):
     {"total": 4},
 )
 def sink_plan_tables(t: Testbed):
-    plan = run_planning(baseline_detail(t.daily()), t.bom(), t.stock_fg(), t.stock_comp())
+    plan = run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp())
     paths = write_plan_tables(plan, new_path(t.spark, "plan"))
     amounts = dict(zip(PLAN_TABLES, ("qty", "final_stock", "final_stock"), strict=True))
     parts = [
@@ -148,7 +148,7 @@ FROM (SELECT invoice_date, site, item_id, sum(qty) AS qty FROM t_lines GROUP BY
 LEFT JOIN (SELECT item_id, arg_max(unit_price, row(invoice_date, invoice_no, unit_price)) AS last_price
            FROM t_lines GROUP BY item_id) p ON d.item_id = p.item_id""")
 def load_sales_pipeline(t: Testbed):
-    raw = t.sales_lines().drop("line_no", "line_ref")
+    raw = t.sales_lines().drop("line_no", "line_ref", "line_seq")
     return load_sales(raw.toDF(*[f"c{i}" for i in range(len(SALES_LINES))]), ["invoice_no", "unit_price"])
 
 
@@ -163,4 +163,4 @@ def load_purchases_pipeline(t: Testbed):
     {"revenue_total": 2},
 )
 def forecast_monthly_total(t: Testbed):
-    return forecast.forecast_total(baseline_detail(t.daily()))
+    return forecast.forecast_total(baseline_detail(t.daily_table()))

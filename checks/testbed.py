@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestock.operators.facts import attach_last_price, daily_purchases, daily_sales, last_price
+from tidestock.plans.loading import staged_daily
 from tidestock.schemas import CALENDAR_EVENTS
 from tidestock.sources import masterdata
 from tidestock.sources.invoices import purchase_lines, sales_lines
 
 AS_OF = date(2001, 12, 31)
-TIE_BREAK = ["invoice_no", "line_no", "line_ref"]
+TIE_BREAK = ["line_seq"]
 DISCOUNTS = [f"discount_{i}" for i in range(1, 10)]
 
 # Event calendar of the test tables (inclusive spans, one overlapping pair).
@@ -66,6 +67,7 @@ class Testbed:
                 F.format_string("SITE%02d", F.col("s_nationkey")).alias("site"),
                 F.col("l_linenumber").alias("line_no"),
                 F.col("l_suppkey").alias("line_ref"),
+                line_sequence().alias("line_seq"),
             )
         )
 
@@ -77,6 +79,10 @@ class Testbed:
         lines = self.sales_lines(spiked)
         return attach_last_price(daily_sales(lines), last_price(lines, TIE_BREAK))
 
+    def daily_table(self, spiked: bool = False) -> DataFrame:
+        """The same fact as a written table, for queries that read it several times."""
+        return staged_daily(self.sales_lines(spiked), *TIE_BREAK)
+
     def purchase_header(self) -> DataFrame:
         return self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("invoice_no"),
@@ -100,10 +106,12 @@ class Testbed:
             F.col("l_extendedprice").alias("net_amount"),
             F.col("l_linenumber").alias("line_no"),
             F.col("l_suppkey").alias("line_ref"),
+            line_sequence().alias("line_seq"),
         )
 
     def purchase_lines(self) -> DataFrame:
-        return purchase_lines(self.purchase_header(), self.purchase_detail(), extra=TIE_BREAK)
+        extra = ["invoice_no", "line_no", "line_ref", *TIE_BREAK]
+        return purchase_lines(self.purchase_header(), self.purchase_detail(), extra=extra)
 
     def daily_purchases(self) -> DataFrame:
         lines = self.purchase_lines()
@@ -186,6 +194,11 @@ def item_key(key):
     return F.format_string("ART%08d", key)
 
 
+def line_sequence():
+    """Number that orders the lines of a day: order, line, supplier."""
+    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1048576 + F.col("l_suppkey")
+
+
 def event_spans() -> list[tuple[str, date, date]]:
     """The event calendar as (name, first day, last day)."""
     day = date.fromisoformat

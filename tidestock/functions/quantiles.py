@@ -1,18 +1,54 @@
 """Exact linear-interpolation quantiles for columns of any size.
 
-The built-in exact ``percentile`` keeps every distinct value in one task's memory. This
-version counts equal values first, cuts them into ordered buckets and walks only the
-buckets that hold a wanted rank, each in its own task.
+The built-in exact ``percentile`` keeps every distinct value in one task's memory. Here
+equal values are counted first and the distinct values are cut into ordered buckets at
+fences taken from a small hash sample. The bucket totals (at most ``FENCES + 1`` rows) tell
+which buckets hold a wanted rank; only those are walked, each in its own task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidestock.functions.ranking import bucket_offsets, fence_array, with_bucket
+FENCES = 255  # one less than a power of two: the bucket lookup is a binary search
+
+
+def _fences(counts: DataFrame) -> Column:
+    """Sorted array of at most ``FENCES`` distinct values, picked by hash, as a scalar subquery."""
+    picked = counts.select("_value").orderBy(F.xxhash64("_value"), "_value").limit(FENCES)
+    return picked.agg(F.sort_array(F.collect_list("_value")).alias("fences")).scalar()
+
+
+def _with_bucket(counts: DataFrame) -> DataFrame:
+    """Add ``_bucket``: the number of fences at or below the value, so buckets follow the order.
+
+    A binary search over the sorted array, one column per halving step, keeps the lookup in
+    generated code. A position past the end of a short array reads NULL and counts as above.
+    """
+    located = counts.withColumn("_fences", _fences(counts)).withColumn("_bucket", F.lit(0))
+    step = (FENCES + 1) // 2
+    while step:
+        probe = F.get("_fences", F.col("_bucket") + F.lit(step - 1))
+        forward = F.when(probe <= F.col("_value"), F.lit(step)).otherwise(F.lit(0))
+        located = located.withColumn("_bucket", F.col("_bucket") + forward)
+        step //= 2
+    return located.drop("_fences")
+
+
+def _bucket_totals(bucketed: DataFrame) -> DataFrame:
+    """Rows per bucket, rows before it and the grand total."""
+    sizes = bucketed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return sizes.select(
+        "_bucket",
+        "_size",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+        F.sum("_size").over(everything).alias("_total"),
+    )
 
 
 def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float]) -> DataFrame:
@@ -23,15 +59,14 @@ def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float]) ->
         .groupBy("_value")
         .agg(F.count("*").alias("_n"))
     )
-    fences = fence_array(counts.select("_value"), "_value")
-    bucketed = with_bucket(counts, "_value", fences)
-    offsets = bucket_offsets(bucketed, F.col("_n"))
+    bucketed = _with_bucket(counts)
+    totals = _bucket_totals(bucketed)
 
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in wanted.items()}
     low = {name: F.floor(pos) for name, pos in position.items()}
     high = {name: F.ceil(pos) for name, pos in position.items()}
 
-    def holds(rank, first, size):
+    def holds(rank: Column, first: Column, size: Column) -> Column:
         return (rank >= first) & (rank < first + size)
 
     needed = F.lit(False)
@@ -42,11 +77,11 @@ def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float]) ->
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    runs = bucketed.join(F.broadcast(offsets.where(needed)), "_bucket").withColumn(
+    runs = bucketed.join(F.broadcast(totals.where(needed)), "_bucket").withColumn(
         "_first", F.col("_before") + F.sum("_n").over(in_order) - F.col("_n")
     )
 
-    def value_at(rank):
+    def value_at(rank: Column) -> Column:
         return F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_value")))
 
     picked = runs.agg(

@@ -1,62 +1,38 @@
-"""Global order positions without a single-task sort.
-
-A window without PARTITION BY pulls every row into one task. Here the distinct values are
-cut into ordered buckets at fences taken from a small hash sample; each bucket is ranked
-on its own and shifted by the number of values in the buckets before it. Only the per
-bucket totals (at most ``FENCES + 1`` rows) meet in one task.
-"""
+"""Global order positions without a single-task sort."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FENCES = 255  # one less than a power of two: the bucket lookup is a binary search
-
+from tidestock.session import staged
 
-def fence_array(values: DataFrame, column: str) -> Column:
-    """Sorted array of at most ``FENCES`` distinct values, picked by hash, as a scalar subquery."""
-    picked = values.orderBy(F.xxhash64(column), column).limit(FENCES)
-    return picked.agg(F.sort_array(F.collect_list(column)).alias("fences")).scalar()
+ROW_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def with_bucket(df: DataFrame, column: str, fences: Column) -> DataFrame:
-    """Add ``_bucket``: the number of fences at or below the value, so buckets follow the order.
+def ordered_codes(df: DataFrame, column: str, code: str) -> DataFrame:
+    """Dictionary (column, code): 0-based position of every distinct non-null value.
 
-    A binary search over the sorted array, one column per halving step, keeps the lookup in
-    generated code. A position past the end of a short array reads NULL and counts as above.
+    A window without PARTITION BY would sort all values in one task. The distinct values are
+    range-partitioned and sorted instead, each value keeps its partition and place, and the
+    result is written once, so both stay fixed for every reader. A value's code is its place
+    plus the number of values in earlier partitions; only those totals, one row per
+    partition, meet in one task.
     """
-    located = df.withColumn("_fences", fences).withColumn("_bucket", F.lit(0))
-    step = (FENCES + 1) // 2
-    while step:
-        probe = F.get("_fences", F.col("_bucket") + F.lit(step - 1))
-        forward = F.when(probe <= F.col(column), F.lit(step)).otherwise(F.lit(0))
-        located = located.withColumn("_bucket", F.col("_bucket") + forward)
-        step //= 2
-    return located.drop("_fences")
-
-
-def bucket_offsets(bucketed: DataFrame, weight: Column) -> DataFrame:
-    """Rows per bucket, rows before it and the grand total; at most ``FENCES + 1`` rows."""
-    sizes = bucketed.groupBy("_bucket").agg(F.sum(weight).alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return sizes.select(
-        "_bucket",
-        "_size",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(everything).alias("_total"),
-    )
-
-
-def ordered_codes(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Dictionary (column, code): 0-based position of every distinct non-null value."""
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    fences = fence_array(values, column)
-    bucketed = with_bucket(values, column, fences)
-    offsets = bucket_offsets(bucketed, F.lit(1)).select("_bucket", "_before")
-    within = Window.partitionBy("_bucket").orderBy(column)
-    position = F.col("_before") + F.row_number().over(within) - 1
-    return bucketed.join(F.broadcast(offsets), "_bucket").select(
-        column, position.cast("int").alias(code)
+    serial = F.monotonically_increasing_id()
+    placed = staged(
+        values.repartitionByRange(column).sortWithinPartitions(column).select(
+            column,
+            F.shiftright(serial, ROW_BITS).alias("_part"),
+            serial.bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_place"),
+        ),
+        f"codes-{code}",
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_part").agg(F.count("*").alias("_size")).select(
+        "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+    )
+    return placed.join(F.broadcast(offsets), "_part").select(
+        column, (F.col("_before") + F.col("_place")).cast("int").alias(code)
     )

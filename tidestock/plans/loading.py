@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-
-from tidestock.operators.facts import attach_last_price, daily_purchases, daily_sales, last_price
+from pyspark.sql import functions as F
+
+from tidestock.functions.numeric import total
+from tidestock.operators.facts import (
+    attach_last_price,
+    daily_purchases,
+    daily_sales,
+    last_price,
+    with_keys,
+)
 from tidestock.schemas import DAILY_PURCHASES, SALES_LINES
 from tidestock.session import new_path, staged
 from tidestock.sources.invoices import purchase_lines
@@ -30,6 +38,26 @@ def load_purchases(
     return read_files(daily.sparkSession, path, DAILY_PURCHASES, "csv")
 
 
-def staged_daily(lines: DataFrame, tie_break: Sequence[str]) -> DataFrame:
-    """Daily sales with last price as a written table, for pipelines that read it many times."""
-    return staged(attach_last_price(daily_sales(lines), last_price(lines, tie_break)), "daily-sales")
+def staged_daily(lines: DataFrame, sequence: str) -> DataFrame:
+    """Daily sales with last price as a written table, for pipelines that read it many times.
+
+    The raw lines are scanned and shuffled once: each (date, site, item) group keeps its
+    quantity and the price of its newest priced line, and the price list is reduced from
+    those groups. ``sequence`` is a numeric column ordering the lines of a day; with plain
+    numbers in every buffer the aggregation over the lines stays hash-based.
+    """
+    keys = ["invoice_date", "site", "item_id"]
+    newest = F.when(F.col("unit_price").isNotNull(), F.col(sequence))
+    groups = staged(
+        with_keys(lines, ["item_id"]).groupBy(*keys).agg(
+            total(F.col("qty")).alias("qty"),
+            F.max(newest).alias("newest"),
+            F.max_by("unit_price", newest).alias("price"),
+        ),
+        "daily-groups",
+    )
+    price = with_keys(groups, ["newest"]).groupBy("item_id").agg(
+        F.max_by("price", F.struct("invoice_date", "newest")).alias("last_price")
+    )
+    daily = with_keys(groups, keys).drop("newest", "price")
+    return staged(attach_last_price(daily, price), "daily-sales")
