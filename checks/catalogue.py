@@ -1,7 +1,16 @@
 """Imports every section so that its queries register."""
 
 import checks.base_sql  # noqa: F401  (declares the shared SQL tables first)
-from checks import q_facts, q_features, q_planning, q_sources  # noqa: F401
+from checks import (
+    q_augment,
+    q_facts,
+    q_features,
+    q_models,
+    q_planning,
+    q_reports,
+    q_series,
+    q_sources,
+)
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -60,41 +60,35 @@ def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float]) ->
         .agg(F.count("*").alias("_n"))
     )
     bucketed = _with_bucket(counts)
-    totals = _bucket_totals(bucketed)
-
     position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in wanted.items()}
     low = {name: F.floor(pos) for name, pos in position.items()}
     high = {name: F.ceil(pos) for name, pos in position.items()}
 
-    def holds(rank: Column, first: Column, size: Column) -> Column:
-        return (rank >= first) & (rank < first + size)
-
-    needed = F.lit(False)
-    for rank in [*low.values(), *high.values()]:
-        needed = needed | holds(rank, F.col("_before"), F.col("_size"))
+    # Wanted ranks with the bucket that holds each: at most two rows per probability.
+    ranks = F.array_distinct(F.array(*low.values(), *high.values()))
+    places = _bucket_totals(bucketed).select("*", F.explode(ranks).alias("_rank")).where(
+        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size"))
+    )
+    holding = places.select("_bucket", "_before").distinct()
     in_order = (
         Window.partitionBy("_bucket")
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    runs = bucketed.join(F.broadcast(totals.where(needed)), "_bucket").withColumn(
-        "_first", F.col("_before") + F.sum("_n").over(in_order) - F.col("_n")
+    runs = bucketed.join(F.broadcast(holding), "_bucket").withColumn(
+        "_last", F.col("_before") + F.sum("_n").over(in_order)
     )
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank, F.col("_first"), F.col("_n")), F.col("_value")))
-
-    picked = runs.agg(
-        *[value_at(rank).alias(f"_lo_{name}") for name, rank in low.items()],
-        *[value_at(rank).alias(f"_hi_{name}") for name, rank in high.items()],
-        F.max("_total").alias("_total"),
+    found = runs.drop("_before").join(F.broadcast(places), "_bucket").where(
+        (F.col("_rank") < F.col("_last")) & (F.col("_rank") >= F.col("_last") - F.col("_n"))
     )
-    return picked.select(
-        *[
-            (
-                F.col(f"_lo_{name}")
-                + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (position[name] - low[name])
-            ).alias(name)
-            for name in wanted
-        ]
+    at_rank = found.agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"),
+        F.max("_total").alias("_total"),
     )
+
+    def interpolated(name: str) -> Column:
+        below = F.try_element_at("_at", low[name])
+        above = F.try_element_at("_at", high[name])
+        return below + (above - below) * (position[name] - low[name])
+
+    return at_rank.select(*[interpolated(name).alias(name) for name in wanted])

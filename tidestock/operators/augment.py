@@ -18,6 +18,7 @@ from tidestock.functions.quantiles import exact_quantiles
 from tidestock.operators.encoding import label_encode
 from tidestock.operators.features import drop_incomplete
 from tidestock.operators.windows import adjacent_rows
+from tidestock.session import staged
 
 # Mixed columns, noise share and set sizes.
 NUMERIC = ["qty", "qty_mean_item", "qty_mean_item_month", "qty_lag_1", "qty_lag_7"]
@@ -126,8 +127,9 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 def augmented_table(df: DataFrame) -> DataFrame:
     """Union, new label codes, NULL rows and exact duplicates removed.
 
-    ``df`` feeds five sets and two dictionaries: pass a staged table.
+    ``df`` feeds all five sets: pass a staged table. The union is staged as well, because
+    the two dictionaries and the coded rows read it.
     """
     codes = {"site": "site_code", "item_id": "item_code"}
-    united = union_augmented(df).drop(*codes.values())
+    united = staged(union_augmented(df).drop(*codes.values()), "augmented")
     return dedupe_rows(drop_incomplete(label_encode(united, codes), NOT_NULL))
