@@ -165,27 +165,6 @@ def seq_univariate(t: Testbed):
     return rows.withColumn("past", F.array_join(F.transform("past", lambda x: x.cast("string")), ","))
 
 
-_SCALED = "CAST(floor((qty - min(qty) OVER ()) / (max(qty) OVER () - min(qty) OVER ()) * 1000) AS BIGINT)"
-
-
-@query(
-    "seq_multivariate",
-    f"""SELECT invoice_date, scaled, array_to_string(past, ',') AS past
-        FROM (SELECT invoice_date, scaled, list(scaled || ':' || is_summer || ':' || is_fast)
-                       OVER (ORDER BY invoice_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS past
-              FROM (SELECT invoice_date, is_summer, is_fast, {_SCALED} AS scaled FROM t_flagged)) WHERE len(past) = 14""",
-)
-def seq_multivariate(t: Testbed):
-    flagged = features.event_flags(_series(t), t.calendar_events(), EVENT_NAMES)
-    scaled = encoding.minmax_scale(flagged, ["qty"]).withColumn(
-        "scaled", F.floor(F.col("qty_scaled") * 1000)
-    )
-    step = F.struct("scaled", "is_summer", "is_fast")
-    rows = windows.previous_values(scaled, 14, step, "past")
-    text = F.transform("past", lambda s: F.concat_ws(":", s["scaled"], s["is_summer"], s["is_fast"]))
-    return rows.select("invoice_date", "scaled", F.array_join(text, ",").alias("past"))
-
-
 @query(
     "minmax_scale",
     """SELECT invoice_date, qty, (qty - min(qty) OVER ()) / (max(qty) OVER () - min(qty) OVER ()) AS qty_scaled FROM t_filled""",
@@ -352,6 +331,37 @@ def event_feature_table(t: Testbed):
     return features.event_feature_table(totals, t.calendar_events(), EVENT_NAMES, normal)
 
 
+_SEQ = {
+    "qty": _CAPPED,
+    "discount_pct": "CASE WHEN net_amount + abs(discount) = 0 THEN 0 ELSE abs(discount) * 100 / (net_amount + abs(discount)) END",
+    "is_fast": "is_fast", "is_feast_1": "is_feast_1", "is_feast_2": "is_feast_2", "is_summer": "is_summer",
+    "month_sin": "sin(2 * pi() * month(invoice_date) / 12)", "month_cos": "cos(2 * pi() * month(invoice_date) / 12)",
+    "weekday_sin": "sin(2 * pi() * (isodow(invoice_date) - 1) / 7)",
+    "weekday_cos": "cos(2 * pi() * (isodow(invoice_date) - 1) / 7)",
+}
+_SEQ_RAW = ", ".join(f"{expr} AS x{i}" for i, expr in enumerate(_SEQ.values()))
+_SEQ_TEXT = " || ':' || ".join(
+    f"CAST(CAST(round((x{i} - min(x{i}) OVER ()) / (max(x{i}) OVER () - min(x{i}) OVER ()) * 10000) AS BIGINT) AS VARCHAR)"
+    for i in range(len(_SEQ))
+)
+
+
+@query(
+    "seq_multivariate",
+    f"""SELECT invoice_date, split_part(step, ':', 1) AS target, array_to_string(past, ',') AS past
+        FROM (SELECT invoice_date, step, list(step) OVER (ORDER BY invoice_date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS past
+              FROM (SELECT invoice_date, {_SEQ_TEXT} AS step FROM (SELECT invoice_date, {_SEQ_RAW} FROM t_flagged)))
+        WHERE len(past) = 14""",
+)
+def seq_multivariate(t: Testbed):
+    columns = list(_SEQ)
+    table = encoding.minmax_scale(event_feature_table(t), columns)
+    step = F.array(*[F.round(F.col(f"{c}_scaled") * 10000).cast("bigint").cast("string") for c in columns])
+    rows = windows.previous_values(table, 14, step, "past")
+    text = F.transform("past", lambda s: F.array_join(s, ":"))
+    return rows.select("invoice_date", step[0].alias("target"), F.array_join(text, ",").alias("past"))
+
+
 # --- outliers ---------------------------------------------------------------------------
 
 

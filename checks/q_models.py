@@ -51,6 +51,14 @@ def model_stacking(t: Testbed):
     return _scores(regressors.predict_rows(regressors.fit_stacking(train, SMALL), test))
 
 
+@query("out_of_fold_rows", """SELECT item_id, invoice_date, site, 1 AS times FROM t_features""")
+def out_of_fold_rows(t: Testbed):
+    keyed = splits.with_fold(staged(feature_rows(t), "features"), SPLIT_KEY, SMALL.folds)
+    vectors = staged(regressors.assembler().transform(keyed).select(*SPLIT_KEY, "qty", "features", "fold"), "vectors")
+    scored = regressors.out_of_fold(vectors, SMALL)
+    return scored.groupBy(*SPLIT_KEY).agg(F.count("p_gbt_deep").cast("int").alias("times"))
+
+
 @query("feature_importance")
 def feature_importance(t: Testbed):
     return regressors.feature_importance(feature_rows(t))
@@ -62,6 +70,18 @@ def train_and_evaluate(t: Testbed):
     return regressors.train_and_evaluate(train, test, SMALL)[1]
 
 
+_TEST_ROWS = """FROM t_features WHERE ('0x' || substr(md5(item_id || '|' || invoice_date || '|' || site || '-split-42'), 1, 13))::BIGINT
+ / 4503599627370496.0 < 0.2"""
+
+
+@query("predicted_row_check", f"SELECT item_id, invoice_date, site, qty, 1 AS is_floored {_TEST_ROWS}")
+def predicted_row_check(t: Testbed):
+    train, test = _split(t)
+    model = regressors.fit_single("random_forest", train, SMALL)
+    floored = (F.col("prediction") >= 0).cast("int").alias("is_floored")
+    return regressors.predict_rows(model, test).select(*SPLIT_KEY, "qty", floored)
+
+
 @query("predict_rows")
 def predict_rows(t: Testbed):
     train, test = _split(t)
@@ -69,7 +89,7 @@ def predict_rows(t: Testbed):
     return regressors.predict_rows(model, test).select(*SPLIT_KEY, "qty", "prediction")
 
 
-@query("model_save_load")
+@query("model_save_load", f"SELECT item_id, invoice_date, site, 1 AS is_equal {_TEST_ROWS}")
 def model_save_load(t: Testbed):
     train, test = _split(t)
     model, folder = regressors.fit_single("gbt", train, SMALL), new_path(t.spark, "model")
@@ -77,7 +97,8 @@ def model_save_load(t: Testbed):
     again, _ = store.load_model(t.spark, folder)
     before = regressors.predict_rows(model, test).select(*SPLIT_KEY, "prediction")
     after = regressors.predict_rows(again, test).select(*SPLIT_KEY, F.col("prediction").alias("reloaded"))
-    return before.join(after, SPLIT_KEY)
+    same = (F.col("prediction") == F.col("reloaded")).cast("int").alias("is_equal")
+    return before.join(after, SPLIT_KEY).select(*SPLIT_KEY, same)
 
 
 @query("holdout_validation")

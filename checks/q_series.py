@@ -120,6 +120,12 @@ def isolation(t: Testbed):
     return isolation_forest(t.daily_table(spiked=True), "qty", ["item_id", "invoice_date", "site"])
 
 
+@query("outlier_labels_with_forest")
+def outlier_labels_with_forest(t: Testbed):
+    labelled = outliers.outlier_labels(t.daily_table(spiked=True))
+    return isolation_forest(labelled, "qty", ["item_id", "invoice_date", "site"])
+
+
 @query("isolation_forest_share")
 def isolation_share(t: Testbed):
     flagged = isolation_forest(t.daily_table(spiked=True), "qty", ["item_id", "invoice_date", "site"])
