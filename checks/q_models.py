@@ -54,7 +54,7 @@ def model_stacking(t: Testbed):
 @query("out_of_fold_rows", """SELECT item_id, invoice_date, site, 1 AS times FROM t_features""")
 def out_of_fold_rows(t: Testbed):
     keyed = splits.with_fold(staged(feature_rows(t), "features"), SPLIT_KEY, SMALL.folds)
-    vectors = staged(regressors.assembler().transform(keyed).select(*SPLIT_KEY, "qty", "features", "fold"), "vectors")
+    vectors = regressors.training_vectors(keyed, "qty", extra=["fold", *SPLIT_KEY])
     scored = regressors.out_of_fold(vectors, SMALL)
     return scored.groupBy(*SPLIT_KEY).agg(F.count("p_gbt_deep").cast("int").alias("times"))
 

@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidestock.models import regressors, store
@@ -140,16 +141,33 @@ def test_every_model_beats_the_mean(spark):
     assert left.agg(F.min("prediction")).first()[0] >= 0
 
 
-def test_ridge_meta_equals_closed_form(spark):
+@pytest.mark.parametrize("scale", [False, True])
+def test_ridge_equals_closed_form(spark, scale):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, [1.0, 4.0, 0.3], (200, 3)) + 7
+    y = x @ [2.0, -1.0, 5.0] + rng.normal(0, 2, 200) + 30
+    rows = [(float(t), Vectors.dense(v)) for t, v in zip(y, x, strict=True)]
+    model = regressors.fit_ridge(spark.createDataFrame(rows, ["qty", "meta_features"]), 40.0, scale)
+    spread = x.std(axis=0, ddof=1) if scale else np.ones(3)
+    centered = (x - x.mean(axis=0)) / spread
+    want = np.linalg.solve(centered.T @ centered + 40.0 * np.eye(3), centered.T @ (y - y.mean())) / spread
+    assert np.allclose(model.coefficients.toArray(), want, rtol=5e-3)
+
+
+def test_models_do_not_depend_on_partitioning(spark):
     rows = staged(model_rows(spark, 300), "rows")
-    model = regressors.fit_stacking(rows, Settings(**{**SMALL.__dict__, "ridge_alpha": 50.0, "scale_meta": False}))
-    keyed = regressors.assembler().transform(regressors.with_fold(rows, regressors.ROW_KEY, SMALL.folds))
-    oof = regressors.out_of_fold(staged(keyed.select("qty", "features", "fold"), "v"), SMALL).toPandas()
-    x = oof[["p_random_forest", "p_gbt", "p_gbt_deep"]].to_numpy()
-    y = oof["qty"].to_numpy()
-    centered = x - x.mean(axis=0)
-    want = np.linalg.solve(centered.T @ centered + 50.0 * np.eye(3), centered.T @ (y - y.mean()))
-    assert np.allclose(model.stages[-1].coefficients.toArray(), want, rtol=1e-2, atol=1e-3)
+    one = regressors.predict_rows(regressors.fit_single("random_forest", rows, SMALL), rows)
+    two = regressors.predict_rows(regressors.fit_single("random_forest", rows.repartition(7), SMALL), rows)
+    assert one.select("invoice_date", "prediction").exceptAll(two.select("invoice_date", "prediction")).count() == 0
+
+
+def test_out_of_fold_covers_each_row_once(spark):
+    rows = model_rows(spark, 200)
+    vectors = regressors.training_vectors(
+        regressors.with_fold(rows, regressors.ROW_KEY, SMALL.folds), "qty", extra=["fold", "invoice_date"]
+    )
+    scored = regressors.out_of_fold(vectors, SMALL)
+    assert scored.count() == 200 and scored.select("invoice_date").distinct().count() == 200
 
 
 def test_feature_importance_sums_to_one(spark):

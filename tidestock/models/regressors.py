@@ -11,6 +11,7 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
     LinearRegression,
+    LinearRegressionModel,
     RandomForestRegressor,
 )
 from pyspark.sql import DataFrame
@@ -92,11 +93,26 @@ def _with_prediction(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("prediction", floor_zero(F.col(column)))
 
 
-def fit_single(name: str, train: DataFrame, settings: Settings = Settings(), label: str = "qty") -> PipelineModel:
+def training_vectors(
+    train: DataFrame, label: str, key: Sequence[str] = ROW_KEY, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Staged (label, features, *extra) in an order fixed by the row key.
+
+    Forests draw their samples by partition and row position; with rows placed and sorted by
+    key the same training set gives the same model however it was partitioned before.
+    """
+    order = [*key, label]
+    rows = assembler().transform(train).select(*dict.fromkeys([*order, "features", *extra]))
+    placed = rows.repartition(*key).sortWithinPartitions(*order)
+    return staged(placed.select(label, "features", *extra), "training-vectors")
+
+
+def fit_single(
+    name: str, train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
+) -> PipelineModel:
     """One ensemble model as a pipeline that writes ``raw_prediction``."""
     estimator = base_estimators(settings, label)[name].setPredictionCol("raw_prediction")
-    vectors = staged(assembler().transform(train).select(label, "features"), f"train-{name}")
-    return PipelineModel([assembler(), estimator.fit(vectors)])
+    return PipelineModel([assembler(), estimator.fit(training_vectors(train, label, key))])
 
 
 def out_of_fold(vectors: DataFrame, settings: Settings, label: str = "qty") -> DataFrame:
@@ -117,30 +133,38 @@ def out_of_fold(vectors: DataFrame, settings: Settings, label: str = "qty") -> D
     return united
 
 
+def fit_ridge(scored: DataFrame, alpha: float, scale: bool, label: str = "qty") -> LinearRegressionModel:
+    """Ridge regression on ``meta_features`` with penalty ``alpha`` on the summed squared error.
+
+    Spark divides the penalty by the label deviation and averages the error over the rows,
+    hence the factor; scaling the inputs first is its ``standardization``.
+    """
+    size = scored.agg(F.count("*").alias("n"), F.stddev_samp(label).alias("std")).first()
+    ridge = LinearRegression(
+        featuresCol="meta_features", labelCol=label, predictionCol="raw_prediction", solver="normal",
+        elasticNetParam=0.0, regParam=alpha / size["n"] * (size["std"] or 1.0), standardization=scale,
+    )
+    return ridge.fit(scored)
+
+
 def fit_stacking(
     train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
 ) -> PipelineModel:
     """Stacked model: out-of-fold base predictions feed a ridge regression.
 
     The result is an ordinary pipeline: inputs -> vector -> three base models -> vector of
-    their predictions -> ridge, writing ``raw_prediction``. Spark divides its penalty by the
-    label deviation, hence the factor; scaling the meta inputs is its ``standardization``.
+    their predictions -> ridge, writing ``raw_prediction``.
     """
-    vectors = staged(
-        assembler().transform(with_fold(train, key, settings.folds)).select(label, "features", "fold"),
-        "stacking-vectors",
-    )
+    vectors = training_vectors(with_fold(train, key, settings.folds), label, key, ["fold"])
     bases = base_estimators(settings, label)
     meta_inputs = VectorAssembler(inputCols=[f"p_{name}" for name in bases], outputCol="meta_features")
-    scored = staged(meta_inputs.transform(out_of_fold(vectors, settings, label)).select(label, "meta_features"), "out-of-fold")
-    size = scored.agg(F.count("*").alias("n"), F.stddev_samp(label).alias("std")).first()
-    ridge = LinearRegression(
-        featuresCol="meta_features", labelCol=label, predictionCol="raw_prediction",
-        elasticNetParam=0.0, regParam=settings.ridge_alpha / size["n"] * (size["std"] or 1.0),
-        standardization=settings.scale_meta, solver="normal",
+    scored = staged(
+        meta_inputs.transform(out_of_fold(vectors, settings, label)).select(label, "meta_features"),
+        "out-of-fold",
     )
+    ridge = fit_ridge(scored, settings.ridge_alpha, settings.scale_meta, label)
     fitted = [estimator.fit(vectors) for estimator in bases.values()]
-    return PipelineModel([assembler(), *fitted, meta_inputs, ridge.fit(scored)])
+    return PipelineModel([assembler(), *fitted, meta_inputs, ridge])
 
 
 def predict_rows(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -162,7 +186,7 @@ def feature_importance(train: DataFrame, label: str = "qty", inputs: Sequence[st
 
 def fit_models(train: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, PipelineModel]:
     """The three ensemble models and the stacked one, fitted on one training set."""
-    models = {name: fit_single(name, train, settings, label) for name in base_estimators(settings, label)}
+    models = {name: fit_single(name, train, settings, label=label) for name in base_estimators(settings, label)}
     models["stacking"] = fit_stacking(train, settings, label=label)
     return models
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date as day
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +23,15 @@ def last_month(df: DataFrame, date: str = "invoice_date") -> Column:
 
 
 def in_month(df: DataFrame, year: int | None = None, month: int | None = None, date: str = "invoice_date") -> Column:
-    """True for rows of the held-out month; the default is the last month present."""
+    """True for rows of the held-out month; the default is the last month present.
+
+    Written as a date range, which reaches the file scan when the month is given.
+    """
     if year is None or month is None:
-        return F.trunc(date, "month") == last_month(df, date)
-    return (F.year(date) == year) & (F.month(date) == month)
+        start = last_month(df, date)
+        return (F.col(date) >= start) & (F.col(date) < F.add_months(start, 1))
+    following = day(year + month // 12, month % 12 + 1, 1)
+    return (F.col(date) >= F.lit(day(year, month, 1))) & (F.col(date) < F.lit(following))
 
 
 def holdout_month_split(df: DataFrame, year: int | None = None, month: int | None = None) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ from tidestock.operators.replenish import (
     purchases,
 )
 from tidestock.session import staged
+from tidestock.sources.masterdata import require_unique_items
 
 
 def baseline_detail(daily: DataFrame, months: int = 12) -> DataFrame:
@@ -40,11 +41,11 @@ def run_planning(
     if stage:
         detail = staged(detail, "forecast-detail")
     requirements = fg_requirements(detail)
-    fg_plan = purchases(requirements, stock_fg)
+    fg_plan = purchases(requirements, require_unique_items(stock_fg))
     if stage:
         fg_plan = staged(fg_plan, "fg-plan")
     comp_need = component_requirements(bom_explode(bom, fg_plan))
-    comp_plan = purchases(comp_need, stock_comp)
+    comp_plan = purchases(comp_need, require_unique_items(stock_comp))
     return {
         "bom": bom,
         "stock_fg": stock_fg,
