@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import query
+from checks.registry import cell, query
 from checks.testbed import Testbed
 from tidestock.operators import facts, forecast, replenish
 from tidestock.plans.planning import baseline_detail, run_planning
@@ -14,9 +14,10 @@ def _plan(t: Testbed):
 
 _PLAN = """item_id, round(requirement, 4) AS requirement, {extra}, label, qty_on_hand, round(purchase, 4) AS purchase,
  round(coverage_pct, 4) AS coverage_pct, status"""
-_FG = _PLAN.format(extra="round(revenue, 2) AS revenue")
+_CELLS = {"revenue": 2}
+_FG = _PLAN.format(extra=cell("revenue", 2) + " AS revenue")
 _COMP = _PLAN.format(extra="n_products")
-_ROUND = {"requirement": 4, "purchase": 4, "coverage_pct": 4, "revenue": 2, "final_stock": 4}
+_ROUND = {"requirement": 4, "purchase": 4, "coverage_pct": 4, "final_stock": 4}
 
 
 @query(
@@ -98,8 +99,9 @@ def forecast_rollup(t: Testbed):
 
 @query(
     "fg_requirements",
-    "SELECT item_id, round(requirement, 4) AS requirement, round(revenue, 2) AS revenue FROM t_fg_req",
-    {"requirement": 4, "revenue": 2},
+    f"SELECT item_id, round(requirement, 4) AS requirement, {cell('revenue', 2)} AS revenue FROM t_fg_req",
+    {"requirement": 4},
+    _CELLS,
 )
 def fg_requirements(t: Testbed):
     return replenish.fg_requirements(baseline_detail(t.daily_table()))
@@ -107,15 +109,16 @@ def fg_requirements(t: Testbed):
 
 @query(
     "net_fg_stock_join",
-    """SELECT r.item_id, round(r.requirement, 4) AS requirement, round(r.revenue, 2) AS revenue, s.label,
-              coalesce(s.qty_on_hand, 0.0) AS qty_on_hand FROM t_fg_req r LEFT JOIN t_stock_fg s ON r.item_id = s.item_id""",
-    {"requirement": 4, "revenue": 2},
+    f"""SELECT r.item_id, round(r.requirement, 4) AS requirement, {cell('r.revenue', 2)} AS revenue, s.label,
+               coalesce(s.qty_on_hand, 0.0) AS qty_on_hand FROM t_fg_req r LEFT JOIN t_stock_fg s ON r.item_id = s.item_id""",
+    {"requirement": 4},
+    _CELLS,
 )
 def net_fg_stock_join(t: Testbed):
     return replenish.net_stock(replenish.fg_requirements(baseline_detail(t.daily_table())), t.stock_fg())
 
 
-@query("fg_purchases", f"SELECT {_FG} FROM t_fg_plan", _ROUND)
+@query("fg_purchases", f"SELECT {_FG} FROM t_fg_plan", _ROUND, _CELLS)
 def fg_purchases(t: Testbed):
     return _plan(t)["purchases_fg"]
 
@@ -246,7 +249,7 @@ def plan_with_total(t: Testbed):
     return replenish.plan_with_total(_plan(t)["purchases_fg"])
 
 
-@query("plan_sorted", f"SELECT {_FG} FROM t_fg_plan ORDER BY purchase DESC, item_id", _ROUND)
+@query("plan_sorted", f"SELECT {_FG} FROM t_fg_plan ORDER BY purchase DESC, item_id", _ROUND, _CELLS)
 def plan_sorted(t: Testbed):
     return replenish.plan_sorted(_plan(t)["purchases_fg"])
 

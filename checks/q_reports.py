@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import query
+from checks.registry import cell, query
 from checks.testbed import Testbed
 from tidestock.operators import facts, forecast, metrics, outliers, reports, splits
 from tidestock.plans.planning import baseline_detail, run_planning
@@ -243,7 +243,9 @@ _GAP = f"""SELECT item_id, sum(qty) AS qty_actual, sum(seasonal) AS qty_predicte
  sum(qty * last_price) AS revenue_actual, sum(seasonal * last_price) AS revenue_predicted
  FROM ({_SCORED}) WHERE date_trunc('month', invoice_date) = (SELECT date_trunc('month', max(invoice_date)) FROM t_daily) GROUP BY item_id"""
 _GAP_PCT = "CASE WHEN {a} = 0 THEN 0 ELSE ({p} - {a}) * 100 / {a} END"
-_G_ROUND = {"qty_predicted": 4, "mean_price": 6, "revenue_actual": 4, "revenue_predicted": 4, "gap_pct": 4}
+_G_CELLS = {"qty_predicted": 4, "mean_price": 4, "revenue_actual": 3, "revenue_predicted": 3, "gap_pct": 4}
+_G = {name: f"{cell(name, digits)} AS {name}" for name, digits in _G_CELLS.items()}
+_V_CELLS = {name: digits for name, digits in _G_CELLS.items() if name != "mean_price"}
 
 
 def month_gap(t: Testbed):
@@ -253,10 +255,9 @@ def month_gap(t: Testbed):
 
 @query(
     "holdout_revenue_gap",
-    f"""SELECT item_id, qty_actual, round(qty_predicted, 4) AS qty_predicted, round(mean_price, 6) AS mean_price,
-               round(revenue_actual, 4) AS revenue_actual, round(revenue_predicted, 4) AS revenue_predicted,
-               round({_GAP_PCT.format(a='revenue_actual', p='revenue_predicted')}, 4) + 0.0 AS gap_pct FROM ({_GAP})""",
-    _G_ROUND,
+    f"""SELECT item_id, qty_actual, {', '.join(_G.values())}
+        FROM (SELECT *, {_GAP_PCT.format(a='revenue_actual', p='revenue_predicted')} AS gap_pct FROM ({_GAP}))""",
+    cells=_G_CELLS,
 )
 def holdout_revenue_gap(t: Testbed):
     return month_gap(t)
@@ -277,11 +278,9 @@ def holdout_revenue_gap_total(t: Testbed):
 
 @query(
     "validation_table",
-    f"""SELECT item_id, qty_actual, round(qty_predicted, 4) AS qty_predicted, round(revenue_actual, 4) AS revenue_actual,
-               round(revenue_predicted, 4) AS revenue_predicted, round(gap_pct, 4) + 0.0 AS gap_pct,
-               CAST(abs(gap_pct) > 10 AS INTEGER) AS is_outside
+    f"""SELECT item_id, qty_actual, {', '.join(_G[name] for name in _V_CELLS)}, CAST(abs(gap_pct) > 10 AS INTEGER) AS is_outside
         FROM (SELECT *, {_GAP_PCT.format(a='revenue_actual', p='revenue_predicted')} AS gap_pct FROM ({_GAP}))""",
-    _G_ROUND,
+    cells=_V_CELLS,
 )
 def validation_table(t: Testbed):
     return reports.validation_table(month_gap(t))

@@ -40,6 +40,7 @@ def test_stationarity_matches_least_squares_on_gap_filled_values(spark):
     got = {r["series_id"]: r for r in series.stationarity(df).collect()}
     assert got["sparse"]["t_stat"] == pytest.approx(dickey_fuller(sparse), rel=1e-9)
     assert got["walk"]["t_stat"] == pytest.approx(dickey_fuller(walk), rel=1e-6)
+    assert series.unit_root_t(sparse) == pytest.approx(dickey_fuller(sparse))
     assert (got["sparse"]["d"], got["walk"]["d"], got["short"]["d"], got["flat"]["d"]) == (0, 1, None, None)
 
 

@@ -96,6 +96,18 @@ def dense(group: pd.DataFrame, until: pd.Timestamp) -> np.ndarray:
     return filled
 
 
+def unit_root_t(values: np.ndarray) -> float:
+    """t-statistic of the previous value in a regression of the daily change on it."""
+    before, change = values[:-1] - values[:-1].mean(), np.diff(values)
+    change = change - change.mean()
+    spread = before @ before
+    if spread == 0:
+        return 0.0
+    slope = (before @ change) / spread
+    rest = change - slope * before
+    return float(slope / np.sqrt(max(rest @ rest, 1e-300) / (len(change) - 2) / spread))
+
+
 def lag_matrix(values: np.ndarray, width: int) -> np.ndarray:
     """Row t holds the ``width`` values before t, newest first."""
     return np.lib.stride_tricks.sliding_window_view(values[:-1], width)[:, ::-1]
@@ -150,29 +162,32 @@ def _forecast_frame(group: pd.DataFrame, until: pd.Timestamp, path: np.ndarray,
 def _by_series(series: DataFrame, fit: Callable, schema: str) -> DataFrame:
     """Apply ``fit`` to each series with its rows in date order and its last known day.
 
-    That day is the last row's, unless a column ``until`` names a later one.
+    That day is the last row's, unless a column ``until`` names a later one. Fitting is heavy
+    for few bytes, so the partition count is fixed: sized by bytes, a few tasks would get all
+    series.
     """
+    spark = series.sparkSession
+    spread = series.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "series_id")
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.assign(invoice_date=pd.to_datetime(group["invoice_date"])).sort_values("invoice_date")
         until = group["until"] if "until" in group else group["invoice_date"]
         return fit(group, pd.Timestamp(until.iloc[-1]))
 
-    return series.groupBy("series_id").applyInPandas(run, schema)
+    return spread.groupBy("series_id").applyInPandas(run, schema)
 
 
 FORECAST = "series_id string, step int, forecast_date date, qty_forecast double"
 
 
 def arima_forecast(series: DataFrame, steps: int) -> DataFrame:
-    """ARIMA(5, d, 2) on gap-filled series with d from :func:`stationarity`; floor 0, AIC per series.
+    """ARIMA(5, d, 2) on gap-filled series, d by the rule of :func:`stationarity`; floor 0, AIC per series.
 
     A short or degenerate series is forecast by its mean.
     """
-    ordered = series.join(stationarity(series).select("series_id", "d"), "series_id", "left")
-
     def fit(group: pd.DataFrame, until: pd.Timestamp) -> pd.DataFrame:
         values = dense(group, until)
-        d = 0 if pd.isna(group["d"].iloc[0]) else int(group["d"].iloc[0])
+        d = int(len(values) > MIN_UNIT_ROOT and values.std() > 0 and unit_root_t(values) >= DICKEY_FULLER_5PCT)
         path, aic = np.full(steps, values.mean()), np.nan
         worked = np.diff(values) if d else values
         if len(worked) >= max(MIN_POINTS, 2 * LONG_AR) and worked.std() > 0:
@@ -180,7 +195,7 @@ def arima_forecast(series: DataFrame, steps: int) -> DataFrame:
             path = values[-1] + np.cumsum(path) if d else path
         return _forecast_frame(group, until, path, d=np.int32(d), aic=aic)
 
-    return _by_series(ordered, fit, f"{FORECAST}, d int, aic double")
+    return _by_series(series, fit, f"{FORECAST}, d int, aic double")
 
 
 def seasonal_trend_forecast(series: DataFrame, steps: int) -> DataFrame:
@@ -272,8 +287,8 @@ def model_backtest(series: DataFrame, forecast: Callable[[DataFrame, int], DataF
     The training part ends exactly ``n_test`` days before the last day, sold or not; a series
     that starts later has nothing to train on.
     """
-    spans = _last_day(series).select("series_id", F.date_sub("_last", n_test).alias("until"))
-    train = series.join(spans, "series_id").where(F.col("invoice_date") <= F.col("until"))
+    last = F.max("invoice_date").over(Window.partitionBy("series_id"))
+    train = series.withColumn("until", F.date_sub(last, n_test)).where(F.col("invoice_date") <= F.col("until"))
     actual = _value_on(series, "forecast_date", "_actual")
     rows = forecast(train, n_test).join(actual, ["series_id", "forecast_date"], "left").select(
         "series_id", _zero("_actual").alias("actual"), F.col("qty_forecast").alias("prediction")
