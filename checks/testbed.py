@@ -64,7 +64,7 @@ class Testbed:
                 net.alias("net_amount"),
                 tax.alias("tax_amount"),
                 (net + tax).alias("gross_amount"),
-                F.format_string("SITE%02d", F.col("s_nationkey")).alias("site"),
+                F.concat(F.lit("SITE"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("site"),
                 F.col("l_linenumber").alias("line_no"),
                 F.col("l_suppkey").alias("line_ref"),
                 line_sequence().alias("line_seq"),
@@ -153,7 +153,7 @@ class Testbed:
         line = self.table("lineitem").where(F.col("l_returnflag") == "R")
         return line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
             item_key(F.col("l_partkey")).alias("item_id"),
-            F.format_string("SITE%02d", F.col("s_nationkey")).alias("site"),
+            F.concat(F.lit("SITE"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("site"),
             F.col("l_quantity").alias("qty"),
             F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("is_physical"),
             F.lit(0).alias("is_frozen"),
@@ -191,7 +191,8 @@ class Testbed:
 
 def item_key(key):
     """Zero-padded text key, so text order equals key order."""
-    return F.format_string("ART%08d", key)
+    text = key.cast("string")
+    return F.concat(F.lit("ART"), F.when(F.length(text) < 8, F.lpad(text, 8, "0")).otherwise(text))
 
 
 def line_sequence():
