@@ -354,7 +354,7 @@ _SEQ_TEXT = " || ':' || ".join(
         WHERE len(past) = 14""",
 )
 def seq_multivariate(t: Testbed):
-    columns = list(_SEQ)
+    columns = features.EVENT_FEATURES
     table = encoding.minmax_scale(event_feature_table(t), columns)
     step = F.array(*[F.round(F.col(f"{c}_scaled") * 10000).cast("bigint").cast("string") for c in columns])
     rows = windows.previous_values(table, 14, step, "past")

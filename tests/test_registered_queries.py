@@ -29,4 +29,6 @@ def test_matches_sql(spark, name):
     result = duck(FOLDER).execute(entry_module.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(columns, result.fetchall())

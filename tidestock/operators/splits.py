@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.functions.hashing import row_key, uniform
-from tidestock.operators.encoding import latest_code_position
+from tidestock.operators.windows import from_end_position
 
 
 def filter_item(df: DataFrame, item: str | None) -> DataFrame:
@@ -42,7 +42,7 @@ def holdout_month_split(df: DataFrame, year: int | None = None, month: int | Non
 
 def tail_split(series: DataFrame, n_test: int, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(train, test): the last ``n_test`` days of each daily series are the test."""
-    placed = latest_code_position(series, by)
+    placed = from_end_position(series, by)
     train = placed.where(F.col("from_end") > n_test).drop("from_end")
     return train, placed.where(F.col("from_end") <= n_test).drop("from_end")
 

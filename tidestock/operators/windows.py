@@ -115,3 +115,9 @@ def adjacent_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         packed, ["item_id"], ["invoice_date", "site"], "_row_values", {"next_row": 1}, month, descending=True
     )
     return paired.drop("_row_values").where(F.col("next_row").isNotNull())
+
+
+def from_end_position(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Position from the end (1 = last day) of each row of a daily series."""
+    newest_first = Window.partitionBy(*by).orderBy(F.desc("invoice_date"))
+    return series.withColumn("from_end", F.row_number().over(newest_first))
