@@ -42,7 +42,7 @@ def select_available_features(t: Testbed):
        WHERE qty_lag_7 IS NOT NULL AND qty_lag_1 IS NOT NULL AND last_price IS NOT NULL""",
 )
 def drop_incomplete(t: Testbed):
-    return features.drop_incomplete(features.lag_features(t.daily()))
+    return features.drop_incomplete(features.lag_features(t.daily_table()))
 
 
 @query(
@@ -59,7 +59,7 @@ def clip_nonneg(t: Testbed):
                    THEN 'test' ELSE 'train' END AS side, count(*) AS n_rows, sum(qty) AS qty FROM t_daily GROUP BY 1""",
 )
 def holdout_month_split(t: Testbed):
-    train, test = splits.holdout_month_split(t.daily())
+    train, test = splits.holdout_month_split(t.daily_table())
     parts = [
         side.agg(F.count("*").alias("n_rows"), F.sum("qty").alias("qty")).select(F.lit(tag).alias("side"), "*")
         for tag, side in (("train", train), ("test", test))
@@ -72,7 +72,7 @@ def holdout_month_split(t: Testbed):
     "SELECT * FROM t_daily WHERE year(invoice_date) = 1999 AND month(invoice_date) = 5",
 )
 def holdout_given_month(t: Testbed):
-    return splits.holdout_month_split(t.daily(), 1999, 5)[1]
+    return splits.holdout_month_split(t.daily_table(), 1999, 5)[1]
 
 
 @query(
@@ -95,7 +95,7 @@ _U = "('0x' || substr(md5(item_id || '|' || invoice_date || '|' || site || '-{sa
         FROM t_daily""",
 )
 def random_split(t: Testbed):
-    train, test = splits.random_split(t.daily().drop("last_price"), ["item_id", "invoice_date", "site"])
+    train, test = splits.random_split(t.daily_table().drop("last_price"), ["item_id", "invoice_date", "site"])
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
@@ -118,7 +118,7 @@ def calendar_event_flags(t: Testbed):
        WHERE next_date IS NOT NULL""",
 )
 def adjacent_row_pair(t: Testbed):
-    pairs = windows.adjacent_rows(t.daily().drop("last_price"), ["invoice_date", "qty"])
+    pairs = windows.adjacent_rows(t.daily_table().drop("last_price"), ["invoice_date", "qty"])
     return pairs.select(
         "item_id", "invoice_date", "site", "qty",
         F.col("next_row.invoice_date").alias("next_date"), F.col("next_row.qty").alias("next_qty"),
@@ -131,7 +131,7 @@ def adjacent_row_pair(t: Testbed):
     {"qty_mean_item": 6},
 )
 def mean_by_item(t: Testbed):
-    return windows.mean_by(t.daily().drop("last_price"), ["item_id"], "qty", "qty_mean_item")
+    return windows.mean_by(t.daily_table().drop("last_price"), ["item_id"], "qty", "qty_mean_item")
 
 
 @query(
@@ -141,7 +141,7 @@ def mean_by_item(t: Testbed):
     {"qty_mean_item_month": 6},
 )
 def mean_by_item_month(t: Testbed):
-    rows = t.daily().drop("last_price").withColumn("month", F.month("invoice_date"))
+    rows = t.daily_table().drop("last_price").withColumn("month", F.month("invoice_date"))
     return windows.mean_by(rows, ["item_id", "month"], "qty", "qty_mean_item_month")
 
 
@@ -151,7 +151,7 @@ def mean_by_item_month(t: Testbed):
        FROM t_daily WINDOW w AS (PARTITION BY item_id ORDER BY invoice_date, site)""",
 )
 def lag_features(t: Testbed):
-    return features.lag_features(t.daily().drop("last_price"))
+    return features.lag_features(t.daily_table().drop("last_price"))
 
 
 @query(
@@ -188,7 +188,7 @@ def minmax_restore(t: Testbed):
        FROM (SELECT *, min(qty) OVER (PARTITION BY item_id) AS lo, max(qty) OVER (PARTITION BY item_id) AS hi FROM t_daily)""",
 )
 def minmax_scale_by_item(t: Testbed):
-    return encoding.minmax_scale(t.daily().drop("last_price"), ["qty"], by=["item_id"])
+    return encoding.minmax_scale(t.daily_table().drop("last_price"), ["qty"], by=["item_id"])
 
 
 @query(
@@ -198,7 +198,7 @@ def minmax_scale_by_item(t: Testbed):
               CAST(dense_rank() OVER (ORDER BY invoice_date) - 1 AS INTEGER) AS date_code FROM t_daily""",
 )
 def label_encode(t: Testbed):
-    return features.encode_labels(t.daily().select("item_id", "invoice_date", "site"))
+    return features.encode_labels(t.daily_table().select("item_id", "invoice_date", "site"))
 
 
 @query(
@@ -209,7 +209,7 @@ def label_encode(t: Testbed):
        ON d.item_id = c.item_id WHERE d.invoice_date >= DATE '1995-06-01'""",
 )
 def label_encode_unseen(t: Testbed):
-    rows = t.daily().select("item_id", "invoice_date", "site")
+    rows = t.daily_table().select("item_id", "invoice_date", "site")
     cut = F.lit("1995-06-01").cast("date")
     train, test = rows.where(F.col("invoice_date") < cut), rows.where(F.col("invoice_date") >= cut)
     return encoding.encode_with(test, train, "item_id", "item_code")
@@ -273,7 +273,7 @@ def discount_pct(t: Testbed):
     {"qty_scaled": 6, "last_price_scaled": 6},
 )
 def standard_scale(t: Testbed):
-    return encoding.standard_scale(t.daily(), ["qty", "last_price"]).drop("qty", "last_price")
+    return encoding.standard_scale(t.daily_table(), ["qty", "last_price"]).drop("qty", "last_price")
 
 
 @query(
@@ -285,7 +285,7 @@ def standard_scale(t: Testbed):
     ),
 )
 def one_hot_item(t: Testbed):
-    rows = t.daily().select("item_id", "invoice_date", "site")
+    rows = t.daily_table().select("item_id", "invoice_date", "site")
     coded = encoding.one_hot_item(rows, rows.where(F.col("invoice_date") < "1995-06-01"))
     vector = F.unwrap_udt("item_vector")
     return coded.select(

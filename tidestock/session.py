@@ -31,19 +31,19 @@ def build_session(app_name: str = "tidestock", conf: dict[str, str] | None = Non
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local session may fall back to a temporary folder; on a cluster a missing
     setting is an error, because a machine-local path would lose data with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidestock-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidestock-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
