@@ -4,41 +4,42 @@ from tidestock import session
 
 
 class Conf:
-    def __init__(self, folder):
-        self.folder = folder
+    def __init__(self, folder, warehouse):
+        self.known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
 
-    def get(self, key, default):
-        return self.folder if key == "spark.checkpoint.dir" else default
+    def get(self, key, default=None):
+        return self.known.get(key) or default
 
 
 class Context:
     def __init__(self, master):
-        self.master, self.folder = master, None
+        self.master = master
 
     def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+        return None
 
 
 class Session:
-    def __init__(self, folder, master):
-        self.conf, self.sparkContext = Conf(folder), Context(master)
+    def __init__(self, folder, master, warehouse="hdfs://warehouse"):
+        self.conf, self.sparkContext = Conf(folder, warehouse), Context(master)
 
 
 def test_the_session_setting_wins():
     assert session.shared_folder(Session("hdfs://shared/", "yarn")) == "hdfs://shared"
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
+def test_the_warehouse_stands_in():
+    assert session.shared_folder(Session(None, "yarn")) == "hdfs://warehouse"
+
+
+@pytest.mark.parametrize("folder", ["file:///tmp/x", None])
+def test_a_cluster_refuses_a_machine_local_folder(folder):
     with pytest.raises(ValueError):
-        session.shared_folder(Session(None, "yarn"))
+        session.shared_folder(Session(folder, "yarn", warehouse="file:/tmp/warehouse"))
 
 
-def test_a_local_session_falls_back_once():
-    local = Session(None, "local[4]")
-    assert session.shared_folder(local) == session.shared_folder(local)
+def test_a_local_session_may_use_local_files():
+    assert session.shared_folder(Session("file:///tmp/x", "local[4]")) == "file:///tmp/x"
 
 
 def test_staged_keeps_rows_and_schema(spark):

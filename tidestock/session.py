@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +30,20 @@ def build_session(app_name: str = "tidestock", conf: dict[str, str] | None = Non
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, the context's checkpoint folder,
+    or the session's warehouse.
 
-    Only a local session may fall back to a temporary folder; on a cluster a missing
-    setting is an error, because a machine-local path would lose data with its machine.
+    A ``file:`` folder is accepted only where driver and executors run on one machine; elsewhere
+    a part written there would be lost with its machine, so it is an error.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidestock-"))
-        folder = context.getCheckpointDir()
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    if not context.master.startswith("local") and folder.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder.rstrip("/")
 
 
