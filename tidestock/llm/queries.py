@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import decontaminate, pii, quality_rules, sharding
+from tidestock.llm import decontaminate, piece_codec, pii, quality_rules, sharding, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -37,6 +39,28 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_patched_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(ids):
+        return len(ids), zlib.crc32(ids.astype("<u4").tobytes())
+
+    segments = token_files.write_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2
+    )
+    return token_files.read_tokens(segments, digest, "n_tokens long, ids_crc32 long")
+
+
+@query
+def op5_prefix_table(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(codec, ids, decimal):
+        return len(ids), sha256(decimal), sha256(codec.decode(ids))
+
+    return piece_codec.encoded(
+        table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest,
+        "n_tokens long, ids_sha256 string, decoded_sha256 string",
+    )
+
+
 @query
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     def digest(rows):
