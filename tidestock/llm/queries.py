@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import decontaminate, piece_codec, pii, quality_rules, sharding, token_files
+from tidestock.llm import decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -98,3 +98,13 @@ def op9_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_deletion_neighbourhood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut, n_lines, n_removed = line_dedup.dedup_lines(docs)
+    return cut.select(
+        "doc_id", F.col(n_lines).alias("n_lines"), F.col(n_removed).alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
