@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, token_files
+from tidestock.llm import chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -87,6 +87,16 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    """A document's class id is the least doc_id of its near-duplicate class."""
+    real = lambda c: F.when(F.col(c) > chosen_path.LOWEST, F.col(c))
+    return chosen_path.near_duplicates(table(spark, folder, "documents")).select(
+        real("key").alias("doc_id"), real("class_key").alias("class_id"), F.col("links").alias("n_links"),
+        F.col("size").alias("n_shingles"),
+    )
+
+
 @query
 def op9_sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
