@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import chat_trees, chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, token_files
+from tidestock.llm import chat_trees, chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, suffix_dedup, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -69,6 +69,19 @@ FROM turns GROUP BY conv_id
 """
 
 
+@query
+def op2_induced_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(data, starts, stops):
+        return len(data), int((stops - starts).sum()), len(starts), sha256(suffix_dedup.kept_bytes(data, starts, stops))
+
+    spans = suffix_dedup.repeated_spans(
+        table(spark, folder, "documents"), digest, "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    )
+    return spans.withColumn("doc_id", F.when(F.col("key") > suffix_dedup.LOWEST, F.col("key"))).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     measures = staged(quality_rules.measure(table(spark, folder, "documents")), "quality-measures")
