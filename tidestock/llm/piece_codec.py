@@ -2,14 +2,15 @@
 
 In a pair-merge vocabulary every prefix of a text has exactly one last token: the one piece that
 ends there and whose pair with the last token of what precedes it is *compatible*, which means that
-merging the two pieces' characters from scratch gives back just these two pieces. So one pass fills
-a table: an automaton reports all pieces that end at each character, pair tests pick the one, and
+merging the two pieces' characters from scratch gives back just these two pieces. That holds unless
+some merge across their border comes before the merges that use up its two sides, which the chains
+of last and first halves of both pieces tell (:meth:`PieceCodec.fits`). So one pass fills a table: an automaton reports all pieces that end at each character, pair tests pick the one, and
 walking the table backwards from the end recovers the ids. Time grows with the text's length times
 the pieces per end, however long a run without spaces is.
 
-No piece of the supported vocabularies goes across a space mark that follows other characters or
-across a line end; so a text falls into units whose encodings are independent, and each worker
-keeps a bounded store of units it has met. Where a vocabulary has such pieces, a unit is the text.
+Two neighbouring characters that are neighbours in no piece are never joined, so a text falls into
+parts there (for the given vocabularies: before a space mark, at line ends, around most punctuation)
+whose encodings are independent. Each worker keeps bounded stores of parts and pair tests.
 
 Characters outside the vocabulary become their UTF-8 bytes. Encoding has no begin or end ids and
 no sampling.
@@ -22,18 +23,18 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
 from tidestock.llm.rows import ddl, map_rows
+from tidestock.llm.store import Store
 
-MARK = "▁"
-#: Bounds of the stores of a worker.
-MAX_UNITS, MAX_PAIRS, MAX_STORED_CHARS = 300_000, 300_000, 64
-UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+MARK = "\u2581"
+NEVER = float("-inf")
+#: Bounds of the stores of a worker, and the longest part that is stored.
+MAX_PARTS, MAX_PAIRS, MAX_STORED_CHARS = 400_000, 250_000, 64
 
 
 class PieceCodec:
@@ -54,14 +55,21 @@ class PieceCodec:
         if lib.normalize(" a  b ") != f"{MARK}{MARK}a{MARK}{MARK}b{MARK}":
             raise ValueError("only models that keep spaces and add one in front are supported")
         self.byte_ids = byte_ids
+        self.neighbours = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.by_word = not any(n[1] == MARK and n[0] != MARK or "\n" in n for n in self.neighbours)
+        before = "".join(sorted({n[0] for n in self.neighbours if n[1] in ".,"} - {MARK}))
+        #: Where a part may go on into a full stop or comma.
+        self.into_stop = re.compile(f"[{re.escape(before)} ][.,]")
+        self.borders: tuple[dict, dict] = ({}, {})
+        #: Pieces that merging can make at all.
+        self.whole = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
+        for piece in self.whole:
             if len(piece) > 1:
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
-        self.by_unit = not any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.units: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.decimal = [str(i) for i in range(lib.get_piece_size())]
+        self.pairs, self.parts = Store(MAX_PAIRS), Store(MAX_PARTS)
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the best adjacent pair, leftmost of equals, until none is left."""
@@ -76,65 +84,128 @@ class PieceCodec:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+    def halves(self, piece: str) -> tuple[str, str] | None:
+        """The two pieces of a piece's last merge, if both rank before the piece itself."""
+        parts = list(piece)
+        while len(parts) > 2:
+            ranks = [self.rank.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            at = ranks.index(max(ranks))
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        ordered = all(len(p) == 1 or self.rank.get(p, NEVER) > self.rank[piece] for p in parts)
+        return (parts[0], parts[1]) if ordered else None
+
+    def border(self, piece: str, side: int) -> list[tuple[str, float]] | None:
+        """What stands at one border of a piece while it is merged, each with the rank that uses it up.
+
+        None if the merges of the piece don't come in the order of ranks.
+        """
+        known = self.borders[side].get(piece)
         if known is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
-        return known
+            if len(piece) == 1:
+                known = [(piece, NEVER)]
+            elif halves := self.halves(piece):
+                inner = self.border(halves[side], side)
+                if inner is not None:
+                    known = [(piece, NEVER), (halves[side], self.rank[piece]), *inner[1:]]
+            self.borders[side][piece] = known if known is not None else ()
+        return known or None
+
+    def fits(self, left: str, right: str) -> bool:
+        """Whether no merge across the border of two pieces comes before those on its sides."""
+        a, b = self.border(left, 1), self.border(right, 0)
+        if a is None or b is None:
+            return self.merged(left + right) == [left, right]
+        rank = self.rank.get
+        for x, used_x in a:
+            for y, used_y in b:
+                across = rank(x + y)
+                if across is not None and across > used_x and across >= used_y:
+                    return False
+        return True
 
     def pieces(self, text: str) -> list[str]:
-        """Pieces of one unit by the table of last tokens."""
-        last: list[str] = [""] * (len(text) + 1)
-        ends: list[list[int]] = [[1] for _ in range(len(text) + 1)]
+        """Pieces of one part by the table of last tokens."""
+        n = len(text)
+        if n == 1:
+            return [text]
+        last = [""] * (n + 1)
+        ends: list[list[int]] = [[] for _ in range(n + 1)]
         for end, length in self.automaton.iter(text):
             ends[end + 1].append(length)
-        for end in range(1, len(text) + 1):
-            for length in reversed(ends[end]):
-                start = end - length
-                piece = text[start:end]
-                if self.compatible(last[start], piece) if start else length == 1 or self.merged(piece) == [piece]:
+        pairs = self.pairs
+        known = pairs.young.get
+        for end in range(1, n + 1):
+            for length in (*ends[end], 1):
+                piece = text[end - length:end]
+                before = last[end - length]
+                if not before:
+                    if length == end and (length == 1 or piece in self.whole):
+                        last[end] = piece
+                        break
+                    continue
+                pair = before, piece
+                good = known(pair)
+                if good is None:
+                    good = pairs.get(pair)
+                    if good is None:
+                        good = self.fits(before, piece)
+                        pairs.put(pair, good)
+                        known = pairs.young.get
+                if good:
                     last[end] = piece
                     break
             else:
                 raise ValueError(f"no last token for {text[:end]!r}")
-        out, end = [], len(text)
+        out, end = [], n
         while end:
             out.append(last[end])
             end -= len(last[end])
         return out[::-1]
 
-    def unit(self, text: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a unit, and the same as text with a comma before each."""
-        ids: list[int] = []
-        for piece in self.pieces(text):
-            known = self.ids.get(piece)
-            if known is None:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-            else:
-                ids.append(known)
-        result = tuple(ids), "".join(f",{i}" for i in ids)
-        if len(text) <= MAX_STORED_CHARS:
-            if len(self.units) >= MAX_UNITS:
-                self.units.clear()
-            self.units[text] = result
-        return result
-
-    def split(self, text: str) -> list[str]:
-        if not self.by_unit:
-            return [MARK + text.replace(" ", MARK)]
-        if "  " in text or text[0] == " " or MARK in text:
-            return UNIT.findall(MARK + text.replace(" ", MARK))
-        return [u for u in (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ") if u]
-
-    def encode(self, text: str | None) -> tuple[list[int], str]:
-        """All ids of a text, and their decimal form joined by commas."""
+    def part(self, text: str) -> tuple[int, ...]:
+        """Ids of a part."""
+        known = self.parts.get(text)
+        if known is None:
+            ids: list[int] = []
+            for piece in self.pieces(text):
+                own = self.ids.get(piece)
+                if own is None:
+                    ids.extend(self.byte_ids[b] for b in piece.encode())
+                else:
+                    ids.append(own)
+            known = tuple(ids)
+            if len(text) <= MAX_STORED_CHARS:
+                self.parts.put(text, known)
+        return known
+
+    def ids_of(self, text: str) -> list[int]:
+        """Ids of any text that begins and ends where parts do."""
+        out, start = [], 0
+        for k in range(1, len(text)):
+            if text[k - 1:k + 1] not in self.neighbours:
+                out.extend(self.part(text[start:k]))
+                start = k
+        out.extend(self.part(text[start:]))
+        return out
+
+    def encode(self, text: str | None) -> list[int]:
+        """All ids of a text."""
         if not text:
-            return [], ""
-        stored, unit = self.units.get, self.unit
-        found = [stored(u) or unit(u) for u in self.split(text)]
-        return list(chain.from_iterable(f[0] for f in found)), "".join([f[1] for f in found])[1:]
+            return []
+        if not self.by_word or "  " in text or text[0] == " " or MARK in text:
+            return self.ids_of(MARK + text.replace(" ", MARK))
+        split = MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")
+        if text[0] not in ".," and not self.into_stop.search(text):
+            split = split.replace(".", " .").replace(",", " ,")
+        known, ids = self.parts.young.get, []
+        for part in split.split(" "):
+            if part:
+                ids.extend(known(part) or self.ids_of(part))
+        return ids
+
+    def as_decimal(self, ids: list[int]) -> str:
+        """Ids as decimal numbers joined by commas."""
+        return ",".join(map(self.decimal.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -147,20 +218,20 @@ def codec(model_file: str) -> PieceCodec:
 
 
 def encoded(
-    docs: DataFrame, model_file: str, finish: Callable[[PieceCodec, list[int], str], tuple], columns: str,
+    docs: DataFrame, model_file: str, finish: Callable[[PieceCodec, list[int]], tuple], columns: str,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``id_col`` and the ``columns`` that ``finish(codec, ids, ids as text)`` makes of each text's ids."""
+    """``id_col`` and the ``columns`` that ``finish(codec, ids)`` makes of each text's ids."""
     source = docs.select(id_col, text_col)
 
     def work(rows):
         own = codec(model_file)
         for key, text in rows:
-            yield (key, *finish(own, *own.encode(text)))
+            yield (key, *finish(own, own.encode(text)))
 
     return map_rows(source, work, f"{ddl(source.drop(text_col))}, {columns}")
 
 
 def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``ids``."""
-    return encoded(docs, model_file, lambda _, ids, __: (ids,), "ids array<int>", id_col, text_col)
+    return encoded(docs, model_file, lambda _, ids: (ids,), "ids array<int>", id_col, text_col)

@@ -104,8 +104,8 @@ def op4_patched_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_prefix_table(spark: SparkSession, folder: str) -> DataFrame:
-    def digest(codec, ids, decimal):
-        return len(ids), sha256(decimal), sha256(codec.decode(ids))
+    def digest(codec, ids):
+        return len(ids), sha256(codec.as_decimal(ids)), sha256(codec.decode(ids))
 
     return piece_codec.encoded(
         table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest,
