@@ -76,27 +76,26 @@ def read_loss(formatted: str, spans: list[tuple[int, int]]) -> str:
 def reach(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """``tree, node, root, depth, total`` of all messages, and the pointers of each reach 1, 2, 4, ..."""
     known = messages.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
-    state = messages.select("tree", "node", "parent", "score").join(known, ["tree", "parent"], "left").select(
-        "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.col("node").alias("root"),
-        F.lit(0).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("total"),
-    )
-    state = state.withColumn("root", F.coalesce("up", "node")).withColumn("depth", F.when(F.col("up").isNotNull(), 1).otherwise(0))
-    state = staged(state, "replies")
+    up = F.when(F.col("known"), F.col("parent"))
+    state = staged(messages.select("tree", "node", "parent", "score").join(known, ["tree", "parent"], "left").select(
+        "tree", "node", up.alias("up"), F.coalesce(up, "node").alias("root"),
+        F.when(up.isNotNull(), 1).otherwise(0).cast("long").alias("depth"), F.coalesce("score", F.lit(0.0)).alias("total"),
+    ), "replies")
     limit = state.count()
     pointers = []
-    while not (going := state.where("up is not null").select("tree", "node", "up")).isEmpty():
+    while not (going := state.where("up is not null")).isEmpty():
         if 1 << len(pointers) > limit:
             raise ValueError("replies form a cycle")
-        pointers.append(going)
+        pointers.append(going.select("tree", "node", "up"))
         above = state.select(
             "tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("root").alias("top"),
             F.col("depth").alias("higher"), F.col("total").alias("more"),
         )
-        state = staged(state.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), F.coalesce("top", "root").alias("root"),
-            (F.col("depth") + F.coalesce("higher", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-        ), "replies")
+        moved = going.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), F.col("top").alias("root"),
+            (F.col("depth") + F.col("higher")).alias("depth"), (F.col("total") + F.col("more")).alias("total"),
+        )
+        state = staged(state.where("up is null").union(moved), "replies")
     return state.drop("up"), pointers
 
 
