@@ -35,9 +35,9 @@ from tidestock.llm.rows import map_rows, staged_lean
 
 LENGTH, PICKED, SEED = 50, 29, 7
 STEP = PICKED - SEED
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 #: Windows handled at a time, and rows of one picked hash that may wait for the next batch.
-PIECE, WAITING = 1 << 20, 1 << 20
+PIECE, WAITING = 1 << 18, 1 << 18
 LOWEST = -(1 << 63)
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -108,8 +108,8 @@ def cut_fragments(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            for top in range(0, batch.num_rows, 2048):
-                part = batch.slice(top, 2048)
+            for top in range(0, batch.num_rows, 256):
+                part = batch.slice(top, 256)
                 text = part.column("text").cast(pa.large_binary())
                 offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
                 if offsets[-1] == offsets[0]:
