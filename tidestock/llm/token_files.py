@@ -24,9 +24,9 @@ read back as null; repeated ids and rows are written each, ties in the order of
 from __future__ import annotations
 
 import os
+import re
 import struct
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import regex
@@ -35,17 +35,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.llm.rows import map_rows
+from tidestock.llm.store import Store
 from tidestock.session import staged
 
 BLOCK, SEGMENT_IDS, PERCENTILE = 128, 1 << 16, 90
-MAX_WORDS, MAX_STORED_CHARS = 400_000, 48
+MAX_STRETCHES, MAX_STORED_CHARS = 200_000, 48
 #: Fixed pattern of the byte-level vocabulary: what splits a text before the merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Where a text must not be cut at spaces, line ends, stops and commas alone.
+UNSAFE = re.compile(r"\s[\s.,]|[^\w\s][.,]|_[.,]")
 SEGMENTS = "part int, seq int, before long, n_ids long, payload binary"
 
 
 class WordEncoder:
-    """The library's ids by word: words are encoded once and kept in a bounded store."""
+    """The library's ids by stretch: short stretches are encoded once and kept in a bounded store.
+
+    In a text without two white spaces in a row, every match of the pattern ends before a space, before
+    and after a line end, and before a full stop or comma that follows a letter or digit. Such a text
+    is cut there; other texts are cut into matches.
+    """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,33 +61,36 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.store: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, equal to the library's with ``add_special_tokens=False``."""
-        whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        split = [[] if k in whole else WORDS.findall(t) for k, t in enumerate(texts)]
-        if len(self.store) > MAX_WORDS:
-            self.store.clear()
-        store = self.store
-        missing = list(set().union(*split).difference(store))
-        fresh: dict[str, bytes] = {}
-        if missing:
-            got = self.library.encode(missing, is_pretokenized=True, add_special_tokens=False)
-            ids, words = np.array(got.ids, "<u4"), np.array(got.word_ids)
-            ends = np.searchsorted(words, np.arange(len(missing)), side="right").tolist()
-            raw, start = ids.tobytes(), 0
-            for word, end in zip(missing, ends):
-                fresh[word] = raw[4 * start:4 * end]
-                start = end
-            store.update((w, b) for w, b in fresh.items() if len(w) <= MAX_STORED_CHARS)
-        out = []
-        for k, words in enumerate(split):
-            if k in whole:
-                out.append(np.array(self.library.encode(texts[k], add_special_tokens=False).ids, "<u4"))
-            else:
-                out.append(np.frombuffer(b"".join([store[w] if w in store else fresh[w] for w in words]), "<u4"))
-        return out
+        self.model = self.library.model
+        #: Fixed: how the byte-level vocabulary writes the 256 bytes.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        moved = [b for b in range(256) if b not in set(plain)]
+        self.written = {b: chr(256 + k) for k, b in enumerate(moved)}
+        self.store = Store(MAX_STRETCHES)
+
+    def stretch(self, text: str) -> bytes:
+        """Ids of one or more whole matches of the pattern, 4 bytes each."""
+        known = self.store.get(text)
+        if known is None:
+            ids = []
+            for match in WORDS.findall(text):
+                written = match.encode().decode("latin-1").translate(self.written)
+                ids += [t.id for t in self.model.tokenize(written)]
+            known = np.array(ids, "<u4").tobytes()
+            if len(text) <= MAX_STORED_CHARS:
+                self.store.put(text, known)
+        return known
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, equal to the library's with ``add_special_tokens=False``."""
+        if any(a in text for a in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+        if "\0" in text or UNSAFE.search(text):
+            stretches = WORDS.findall(text)
+        else:
+            stretches = text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,").split("\0")
+        known, stretch = self.store.young.get, self.stretch
+        return np.frombuffer(b"".join([known(s) or stretch(s) for s in stretches if s]), "<u4")
 
 
 @lru_cache(maxsize=2)
@@ -126,15 +137,24 @@ def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     return np.array(starts, "<u4"), b"".join(out)
 
 
-def unpack_block(data: bytes, start: int) -> np.ndarray:
-    """The 128 ids of the block that begins at ``start``."""
-    low, width, n = struct.unpack_from("<IBB", data, start)
-    at, size = start + 6, BLOCK * width // 8
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at)).reshape(BLOCK, width)
-    offsets = bits.astype(np.uint32) @ (np.uint32(1) << np.arange(width, dtype=np.uint32)) if width else np.zeros(BLOCK, np.uint32)
-    places = np.frombuffer(data, np.uint8, n, at + size)
-    offsets[places] = np.frombuffer(data, "<u4", n, at + size + n)
-    return offsets + np.uint32(low)
+def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """The ids of the blocks that begin at ``starts``, a row each; blocks of one width go together."""
+    every = np.frombuffer(data, np.uint8)
+    lowest = every[starts[:, None] + np.arange(4)].copy().view("<u4")[:, 0]
+    widths, counts = every[starts + 4].astype(np.int64), every[starts + 5].astype(np.int64)
+    out = np.zeros((len(starts), BLOCK), np.uint32)
+    for width in np.unique(widths[widths > 0]).tolist():
+        own = np.flatnonzero(widths == width)
+        packed = every[starts[own][:, None] + 6 + np.arange(BLOCK * width // 8)]
+        bits = np.unpackbits(packed, axis=1).reshape(len(own), BLOCK, width)
+        values = np.zeros((len(own), BLOCK), np.uint32)
+        for k in range(width):
+            values |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
+        out[own] = values
+    for k in np.flatnonzero(counts).tolist():
+        at, n = int(starts[k]) + 6 + BLOCK * int(widths[k]) // 8, int(counts[k])
+        out[k, every[at:at + n]] = np.frombuffer(data, "<u4", n, at + n)
+    return out + lowest[:, None]
 
 
 def write_segment(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
@@ -166,8 +186,8 @@ class Segment:
         self.payload, self.first = payload, at
 
     def ids(self, start: int, stop: int) -> np.ndarray:
-        blocks = [unpack_block(self.payload, self.first + s) for s in self.block_starts[start // BLOCK:-(-stop // BLOCK)].tolist()]
-        every = np.concatenate(blocks) if blocks else np.zeros(0, np.uint32)
+        starts = self.block_starts[start // BLOCK:-(-stop // BLOCK)].astype(np.int64) + self.first
+        every = unpack_blocks(self.payload, starts).ravel() if len(starts) else np.zeros(0, np.uint32)
         skipped = start // BLOCK * BLOCK
         return every[start - skipped:stop - skipped]
 
@@ -191,15 +211,14 @@ def write_tokens(
         own, part = encoder(tokenizer_file), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4")
         keys, arrays, held, seq, before = [], [], 0, 0, 0
-        while piece := list(islice(rows, 128)):
-            for (key, _), ids in zip(piece, own.encode([text for _, text in piece])):
-                keys.append(key)
-                arrays.append(np.concatenate([ids, end]))
-                held += len(ids) + 1
-                if held >= SEGMENT_IDS:
-                    yield part, seq, before, held, write_segment(keys, arrays)
-                    before += held
-                    keys, arrays, held, seq = [], [], 0, seq + 1
+        for key, text in rows:
+            keys.append(key)
+            arrays.append(np.concatenate([own.encode(text), end]))
+            held += len(arrays[-1])
+            if held >= SEGMENT_IDS:
+                yield part, seq, before, held, write_segment(keys, arrays)
+                before += held
+                keys, arrays, held, seq = [], [], 0, seq + 1
         if keys:
             yield part, seq, before, held, write_segment(keys, arrays)
 
