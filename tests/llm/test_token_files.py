@@ -40,25 +40,26 @@ def test_outliers_do_not_widen_blocks():
 @given(st.lists(st.text(alphabet="ab'sllve 09\n\t.,!é中Ⅷ²_ ́<|endoftext|>", max_size=40), max_size=6))
 def test_word_ids_are_the_librarys(texts):
     texts = [*texts, "a<|endoftext|>b"]
-    assert [token_files.encoder(FILE).encode(t).tolist() for t in texts] == [library(t) for t in texts]
+    assert [x.tolist() for x in token_files.encoder(FILE).encode_all(texts)] == [library(t) for t in texts]
 
 
-@settings(max_examples=500, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.sampled_from([" ", "\n", "\xa0", "\t", "\x1c", "a", "'s", "don't", ",", ".", "9", "_", "\u0301"]), max_size=9).map("".join))
 def test_cuts_at_spaces(text):
-    assert token_files.encoder(FILE).encode(text).tolist() == library(text)
+    assert [x.tolist() for x in token_files.encoder(FILE).encode_all(["a", text, "b,"])] == [library(t) for t in ("a", text, "b,")]
 
 
 def test_stores_are_bounded(monkeypatch):
     monkeypatch.setattr(token_files, "MAX_STRETCHES", 2)
     own = token_files.WordEncoder(FILE)
     text = "many words, again many words, and many more words than the stores hold"
-    assert own.encode(text).tolist() == library(text) and len(own.store) <= 4
+    assert own.encode_all([text])[0].tolist() == library(text) and len(own.store) <= 4
 
 
 @pytest.mark.parametrize("text", [t for _, t in EDGE] + [t for _, t in documents()])
 def test_given_texts(text):
     assert token_files.encoder(FILE).encode(text or "").tolist() == library(text)
+    assert token_files.encoder(FILE).encode_all([text or ""])[0].tolist() == library(text)
 
 
 def check(rows, docs):

@@ -26,9 +26,12 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -42,17 +45,26 @@ BLOCK, SEGMENT_IDS, PERCENTILE = 128, 1 << 16, 90
 MAX_STRETCHES, MAX_STORED_CHARS = 200_000, 48
 #: Fixed pattern of the byte-level vocabulary: what splits a text before the merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Where a text must not be cut at spaces, line ends, stops and commas alone.
-UNSAFE = re.compile(r"\s[\s.,]|[^\w\s][.,]|_[.,]")
+INNER_SPACE = re.compile(r"\s")
+#: Marks of a stretch: white space that may meet other, nothing at all, a stop first, no letter or digit last.
+BLANK, EMPTY, STOP, OPEN = 1, 2, 4, 8
+NO_STRETCH = array("I", [EMPTY]).tobytes()
+#: Characters that are encoded together.
+TOGETHER = 2 << 20
 SEGMENTS = "part int, seq int, before long, n_ids long, payload binary"
 
 
+def marks_of(text: str) -> int:
+    blank = text == " " or text != "\n" and (INNER_SPACE.search(text, 1) or text[0] != " " and text[0].isspace())
+    return BLANK * bool(blank) | STOP * (text[0] in ".,") | OPEN * (not text[-1].isalnum())
+
+
 class WordEncoder:
-    """The library's ids by stretch: short stretches are encoded once and kept in a bounded store.
+    """The library's ids by stretch: each distinct stretch of some texts is encoded once.
 
     In a text without two white spaces in a row, every match of the pattern ends before a space, before
-    and after a line end, and before a full stop or comma that follows a letter or digit. Such a text
-    is cut there; other texts are cut into matches.
+    and after a line end, and before a full stop or comma that follows a letter or digit. Such texts
+    are cut there, and short stretches are kept in a bounded store; other texts are cut into matches.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -68,15 +80,23 @@ class WordEncoder:
         self.written = {b: chr(256 + k) for k, b in enumerate(moved)}
         self.store = Store(MAX_STRETCHES)
 
+    def ids_of(self, match: str) -> list[int]:
+        """Ids of one match of the pattern."""
+        written = match.encode().decode("latin-1").translate(self.written)
+        return [t.id for t in self.model.tokenize(written)]
+
     def stretch(self, text: str) -> bytes:
-        """Ids of one or more whole matches of the pattern, 4 bytes each."""
+        """Marks, then the ids of one or more whole matches of the pattern, 4 bytes each."""
         known = self.store.get(text)
         if known is None:
-            ids = []
-            for match in WORDS.findall(text):
-                written = match.encode().decode("latin-1").translate(self.written)
-                ids += [t.id for t in self.model.tokenize(written)]
-            known = np.array(ids, "<u4").tobytes()
+            body = text[1:] if text[0] == " " else text
+            if body.isalpha() and body.isascii():  # one match, written as it is but for the space
+                ids = [t.id for t in self.model.tokenize(self.written[32] + body if body is not text else body)]
+                marks = 0
+            else:
+                ids = [i for match in WORDS.findall(text) for i in self.ids_of(match)]
+                marks = marks_of(text)
+            known = array("I", [marks, *ids]).tobytes()
             if len(text) <= MAX_STORED_CHARS:
                 self.store.put(text, known)
         return known
@@ -85,12 +105,45 @@ class WordEncoder:
         """Ids of a text, equal to the library's with ``add_special_tokens=False``."""
         if any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        if "\0" in text or UNSAFE.search(text):
-            stretches = WORDS.findall(text)
-        else:
-            stretches = text.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,").split("\0")
-        known, stretch = self.store.young.get, self.stretch
-        return np.frombuffer(b"".join([known(s) or stretch(s) for s in stretches if s]), "<u4")
+        return np.frombuffer(b"".join([self.stretch(m)[4:] for m in WORDS.findall(text)]), "<u4")
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """:meth:`encode` of each text, by their distinct stretches."""
+        if not texts:
+            return []
+        odd = np.array(["\0" in t or any(a in t for a in self.added) for t in texts])
+        marked = [
+            "" if o else t.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
+            for t, o in zip(texts, odd)
+        ]
+        cut = pc.split_pattern(pa.array(marked, pa.string()), "\0")
+        starts = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        which, stretches = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+        known = self.store.young.get
+        raw = [(known(s) or self.stretch(s)) if s else NO_STRETCH for s in stretches]
+        flat = np.frombuffer(b"".join(raw), "<u4")
+        sizes = np.array([len(r) for r in raw]) // 4
+        first = np.cumsum(sizes) - sizes
+        marks = flat[first]
+        first, sizes = first + 1, sizes - 1
+
+        # a text is odd, too, if two white spaces meet or a stop doesn't follow a letter or digit
+        own = marks[which]
+        bad = own & (BLANK | EMPTY) > 0
+        edge = np.append(starts[:-1], starts[1:] - 1)
+        bad[edge] = own[edge] & BLANK > 0
+        after = (own[1:] & STOP > 0) & (own[:-1] & OPEN > 0)
+        after[starts[1:-1] - 1] = False
+        bad[1:] |= after
+        odd |= np.logical_or.reduceat(bad, starts[:-1])
+
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(first[which] - ends + lengths, lengths) + np.arange(ends[-1])]
+        bounds = np.append(0, ends)[starts]
+        return [self.encode(t) if o else ids[a:b] for t, o, a, b in zip(texts, odd.tolist(), bounds.tolist(), bounds[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -199,6 +252,19 @@ class Segment:
             at += n
 
 
+def together(rows):
+    """Lists of rows ``(key, text)`` with about ``TOGETHER`` characters."""
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row[1])
+        if size >= TOGETHER:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def write_tokens(
     docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -211,14 +277,15 @@ def write_tokens(
         own, part = encoder(tokenizer_file), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4")
         keys, arrays, held, seq, before = [], [], 0, 0, 0
-        for key, text in rows:
-            keys.append(key)
-            arrays.append(np.concatenate([own.encode(text), end]))
-            held += len(arrays[-1])
-            if held >= SEGMENT_IDS:
-                yield part, seq, before, held, write_segment(keys, arrays)
-                before += held
-                keys, arrays, held, seq = [], [], 0, seq + 1
+        for some in together(rows):
+            for (key, _), ids in zip(some, own.encode_all([text for _, text in some])):
+                keys.append(key)
+                arrays.append(np.concatenate([ids, end]))
+                held += len(ids) + 1
+                if held >= SEGMENT_IDS:
+                    yield part, seq, before, held, write_segment(keys, arrays)
+                    before += held
+                    keys, arrays, held, seq = [], [], 0, seq + 1
         if keys:
             yield part, seq, before, held, write_segment(keys, arrays)
 
