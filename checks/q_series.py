@@ -6,6 +6,7 @@ from checks.registry import query, tables
 from checks.testbed import Testbed
 from tidestock.models.isolation import isolation_forest
 from tidestock.operators import facts, features, outliers, series, windows
+from tidestock.session import staged
 
 tables(
     t_item_days="SELECT item_id AS series_id, invoice_date, sum(qty) AS qty FROM t_lines GROUP BY ALL",
@@ -21,11 +22,12 @@ def _unit_root(source: str) -> str:
     return f"""
 SELECT series_id, CAST(n AS INTEGER) AS n_changes, round(t, 6) AS t_stat,
        CASE WHEN t IS NULL THEN NULL WHEN t < -2.86 THEN 0 ELSE 1 END AS d
-FROM (SELECT series_id, n, CASE WHEN n >= 10 AND sxx > 0 AND syy - slope * sxy > 0
+FROM (SELECT series_id, n, CASE WHEN n >= 3 AND sxx > 1e-12 * ss AND syy - slope * sxy > 1e-12 * ss
              THEN slope / sqrt((syy - slope * sxy) / (n - 2) / sxx) END AS t
-      FROM (SELECT series_id, count(before) AS n, regr_slope(qty - before, before) AS slope, regr_sxx(qty - before, before) AS sxx,
-                   regr_sxy(qty - before, before) AS sxy, regr_syy(qty - before, before) AS syy
-            FROM (SELECT *, lag(qty) OVER (PARTITION BY series_id ORDER BY invoice_date) AS before FROM {source})
+      FROM (SELECT series_id, count(before) AS n, sum(z * z) AS ss, regr_slope(z - before, before) AS slope,
+                   regr_sxx(z - before, before) AS sxx, regr_sxy(z - before, before) AS sxy, regr_syy(z - before, before) AS syy
+            FROM (SELECT *, lag(z) OVER (PARTITION BY series_id ORDER BY invoice_date) AS before
+                  FROM (SELECT *, qty - avg(qty) OVER (PARTITION BY series_id) AS z FROM {source}))
             GROUP BY series_id))"""
 
 
@@ -69,50 +71,137 @@ def future_days(t: Testbed):
     return series.future_days(_items(t), 30)
 
 
+_TEST_DAYS = """
+ (SELECT l.series_id, coalesce(a.qty, 0.0) AS a, coalesce(p.qty, 0.0) AS p
+  FROM (SELECT series_id, max(invoice_date) AS last, CAST(k AS INTEGER) AS j FROM t_item_days, range(0, 30) r(k) GROUP BY series_id, k) l
+  LEFT JOIN t_item_days a ON a.series_id = l.series_id AND a.invoice_date = l.last - 29 + l.j
+  LEFT JOIN t_item_days p ON p.series_id = l.series_id AND p.invoice_date = l.last - 36 + (l.j % 7))"""
+
+
 @query(
     "series_backtest",
-    """SELECT series_id, count(*) AS n_rows, round(1 - sum((a - p) ** 2) / nullif(var_pop(a) * count(*), 0), 6) AS r2,
+    f"""SELECT series_id, count(*) AS n_rows, round(1 - sum((a - p) ** 2) / nullif(var_pop(a) * count(*), 0), 6) AS r2,
               round(avg(abs(a - p)), 6) AS mae, round(sqrt(avg((a - p) ** 2)), 6) AS rmse
-       FROM (SELECT x.series_id, x.qty AS a, y.qty AS p
-             FROM (SELECT *, CAST(invoice_date - max(invoice_date) OVER (PARTITION BY series_id) + 29 AS INTEGER) AS j,
-                          count(*) OVER (PARTITION BY series_id) AS n FROM t_item_filled) x
-             JOIN t_item_filled y ON y.series_id = x.series_id AND y.invoice_date = x.invoice_date - x.j + (x.j % 7) - 7
-             WHERE x.j >= 0 AND x.n >= 37)
-       GROUP BY series_id""",
+       FROM {_TEST_DAYS} GROUP BY series_id""",
     {"r2": 6, "mae": 6, "rmse": 6},
 )
 def series_backtest(t: Testbed):
     return series.naive_backtest(_items(t))
 
 
+HORIZON, MULTIPLE = 360, 5.0
+FORECASTERS = {
+    "arima": series.arima_forecast, "seasonal_trend": series.seasonal_trend_forecast, "recursive_lag": series.recursive_lag_forecast,
+}
+
+
+def _contract(name: str):
+    """Per series: steps, dates, and how many rows are finite, not negative and within a multiple of the history."""
+    def build(t: Testbed):
+        items = _items(t)
+        rows = staged(FORECASTERS[name](items, HORIZON), "forecast")
+        highest = items.groupBy("series_id").agg(F.max("qty").alias("highest"))
+        qty = F.col("qty_forecast")
+        good = ~F.isnan(qty) & (qty >= 0) & (qty <= MULTIPLE * F.col("highest"))
+        if "qty_lower" in rows.columns:
+            good = good & (F.col("qty_lower") <= qty) & (qty <= F.col("qty_upper"))
+        return rows.join(highest, "series_id").groupBy("series_id").agg(
+            F.count("*").alias("n_rows"), F.count_distinct("step").alias("n_steps"), F.min("forecast_date").alias("first_date"),
+            F.max("forecast_date").alias("last_date"), F.sum(good.cast("long")).alias("n_good"),
+        )
+
+    return build
+
+
+for _name, _query in (
+    ("arima", "arima_bounds"), ("seasonal_trend", "seasonal_trend_contract"), ("recursive_lag", "recursive_contract"),
+):
+    query(_query, """
+SELECT series_id, 360 AS n_rows, 360 AS n_steps, CAST(max(invoice_date) + 1 AS DATE) AS first_date,
+       CAST(max(invoice_date) + 360 AS DATE) AS last_date, 360 AS n_good FROM t_item_days GROUP BY series_id""")(_contract(_name))
+
+
+@query(
+    "degenerate_forecasts",
+    """SELECT model, series_id, CAST(k AS INTEGER) AS step, CAST(max(invoice_date) + CAST(k AS INTEGER) AS DATE) AS forecast_date,
+              max(qty) AS qty_forecast, false AS fitted
+       FROM (SELECT item_id || '|' || strftime(invoice_date, '%Y-%m') AS series_id, invoice_date, sum(qty) AS qty FROM t_lines GROUP BY ALL),
+            range(1, 6) r(k), (VALUES ('arima'), ('seasonal_trend'), ('recursive_lag')) m(model)
+       GROUP BY model, series_id, k
+       HAVING min(qty) = max(qty) AND count(*) = date_diff('day', min(invoice_date), max(invoice_date)) + 1""",
+)
+def degenerate_forecasts(t: Testbed):
+    """Items by month: many series of one day or without variation, which go on as they are."""
+    lines = t.sales_lines().withColumn("item_month", F.concat_ws("|", "item_id", F.date_format("invoice_date", "yyyy-MM")))
+    every = series.as_series(lines, by="item_month")
+    days = F.datediff(F.max("invoice_date"), F.min("invoice_date")) + 1
+    flat = every.groupBy("series_id").agg(
+        (F.min("qty") == F.max("qty")).alias("even"), (F.count("*") == days).alias("whole")
+    ).where("even and whole")
+    rows = staged(every.join(flat, "series_id", "left_semi"), "flat-series")
+    out = None
+    for name, forecast in FORECASTERS.items():
+        part = forecast(rows, 5).select(
+            F.lit(name).alias("model"), "series_id", "step", "forecast_date", "qty_forecast", "fitted"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "series_model_backtest",
+    """SELECT model, series_id, 30 AS n_rows, true AS is_consistent
+       FROM (SELECT DISTINCT series_id FROM t_item_days), (VALUES ('arima'), ('seasonal_trend'), ('recursive_lag')) m(model)""",
+)
+def series_model_backtest(t: Testbed):
+    """Every item's back-test of every fitted model: a row each, with errors in their order."""
+    return _item_scores(t).select(
+        "model", "series_id", "n_rows",
+        ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-9) & (F.coalesce("r2", F.lit(0.0)) <= 1)).alias("is_consistent"),
+    )
+
+
+def _item_scores(t: Testbed):
+    items, out = staged(_items(t), "item-series"), None
+    for name, forecast in FORECASTERS.items():
+        part = series.model_backtest(items, forecast).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("series_model_backtest_rows")
+def series_model_backtest_rows(t: Testbed):
+    return _item_scores(t)
+
+
 @query("arima_forecast")
 def arima_forecast(t: Testbed):
-    return series.arima_forecast(_items(t), 30)
+    return series.arima_forecast(_items(t), HORIZON)
 
 
 @query("arima_forecast_total")
 def arima_forecast_total(t: Testbed):
-    return series.arima_forecast(_total(t), 360)
+    return series.arima_forecast(_total(t), HORIZON)
 
 
 @query("seasonal_trend_forecast")
 def seasonal_trend_forecast(t: Testbed):
-    return series.seasonal_trend_forecast(_items(t), 30)
+    return series.seasonal_trend_forecast(_items(t), HORIZON)
 
 
 @query("seasonal_trend_forecast_total")
 def seasonal_trend_forecast_total(t: Testbed):
-    return series.seasonal_trend_forecast(_total(t), 360)
+    return series.seasonal_trend_forecast(_total(t), HORIZON)
 
 
 @query("recursive_lag_forecast")
 def recursive_lag_forecast(t: Testbed):
-    return series.recursive_lag_forecast(_items(t), 30)
+    return series.recursive_lag_forecast(_items(t), HORIZON)
 
 
 @query("recursive_lag_forecast_total")
 def recursive_lag_forecast_total(t: Testbed):
-    return series.recursive_lag_forecast(_total(t), 360)
+    return series.recursive_lag_forecast(_total(t), HORIZON)
 
 
 @query("isolation_forest")

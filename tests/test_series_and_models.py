@@ -68,12 +68,47 @@ def test_recursive_lag_repeats_a_cycle(spark):
     assert np.allclose([r["qty_forecast"] for r in got], [float(i % 5) for i in range(200, 210)], atol=0.3)
 
 
-@pytest.mark.parametrize(
-    "forecast", [series.arima_forecast, series.seasonal_trend_forecast, series.recursive_lag_forecast]
-)
-def test_short_series_use_their_mean(spark, forecast):
-    got = forecast(frame(spark, [2.0, 4.0, 6.0]), 3).collect()
-    assert [r["qty_forecast"] for r in got] == [4.0] * 3
+FORECASTS = [series.arima_forecast, series.seasonal_trend_forecast, series.recursive_lag_forecast]
+
+
+@pytest.mark.parametrize("forecast", FORECASTS)
+def test_series_without_variation_go_on_as_they_are(spark, forecast):
+    df = frame(spark, [4.0] * 50, "flat").union(frame(spark, [7.0], "one"))
+    got = forecast(df, 360).collect()
+    assert len(got) == 720 and not any(r["fitted"] for r in got)
+    assert all(r["qty_forecast"] == {"flat": 4.0, "one": 7.0}[r["series_id"]] for r in got)
+
+
+@pytest.mark.parametrize("forecast", FORECASTS)
+def test_short_and_rough_series_are_fitted_and_stay_in_bounds(spark, forecast):
+    rng = np.random.default_rng(8)
+    df = frame(spark, [2.0, 4.0, 6.0], "short")
+    for k in range(25):
+        n = int(rng.integers(2, 400))
+        y = np.where(rng.random(n) < rng.uniform(0.01, 1), rng.integers(1, 98, n), 0).astype(float)
+        y[0] = 97.0
+        y[-1] = 1.0
+        df = df.union(frame(spark, y, f"s{k}"))
+    got = forecast(df, 360).toPandas()
+    assert got["series_id"].nunique() == 26 and got["fitted"].all()
+    assert np.isfinite(got["qty_forecast"]).all() and got["qty_forecast"].between(0, 5 * 97).all()
+
+
+def test_weights_that_fade(spark):
+    assert np.abs(np.roots([1, *-series.fading(np.array([1.5, 0.6, -0.1]))])).max() <= series.FADE + 1e-9
+    assert (series.fading(np.array([0.5, 0.1])) == [0.5, 0.1]).all()
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 40):
+        assert np.abs(np.roots([1, *-series.yule_walker(rng.normal(0, 1, n), 10)])).max() < 1 + 1e-9
+
+
+@pytest.mark.parametrize("level", [0.0, 1e2, 1e6, 1e8])
+def test_stationarity_keeps_its_digits(spark, level):
+    y = np.random.default_rng(6).normal(0, 1, 300) + level
+    got = series.stationarity(frame(spark, y)).first()["t_stat"]
+    # the values themselves carry rounding of 1e-16 times the level, which no computation can undo
+    assert got == pytest.approx(dickey_fuller(y - level), rel=max(1e-9, 1e-15 * level))
+    assert got == pytest.approx(series.unit_root_t(y), rel=1e-6)
 
 
 def test_naive_backtest_matches_brute_force(spark):
@@ -84,7 +119,8 @@ def test_naive_backtest_matches_brute_force(spark):
     actual, repeat = y[-30:], np.array([y[60 - 7 + j % 7] for j in range(30)])
     assert got["mae"] == pytest.approx(np.abs(actual - repeat).mean())
     assert got["r2"] == pytest.approx(1 - ((actual - repeat) ** 2).sum() / ((actual - actual.mean()) ** 2).sum())
-    assert series.naive_backtest(frame(spark, [1.0] * 36)).count() == 0
+    short = series.naive_backtest(frame(spark, [1.0] * 5)).first()
+    assert (short["n_rows"], short["mae"]) == (30, 5 / 30)
 
 
 def test_model_backtest_scores_every_test_day(spark):
@@ -92,6 +128,8 @@ def test_model_backtest_scores_every_test_day(spark):
     sparse = frame(spark, y, keep=lambda v: v != 0)
     got = series.model_backtest(sparse, series.recursive_lag_forecast, 30).first()
     assert got["n_rows"] == 30 and got["r2"] > 0.9
+    late = series.model_backtest(frame(spark, [3.0] * 6), series.arima_forecast, 30).first()
+    assert (late["n_rows"], late["mae"]) == (30, 18 / 30)
 
 
 def test_isolation_forest_flags_the_extremes(spark):

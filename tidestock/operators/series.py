@@ -1,14 +1,20 @@
 """Time-series operators over many daily series at once.
 
-A series is all rows with one ``series_id`` after summing per day, so a group never holds
-more rows than the calendar has days, however many raw rows the item has. Fitting runs per
-group in numpy; Spark aggregates, shuffles and spreads the groups.
+A series is all rows with one ``series_id`` after summing per day, so a series never holds
+more rows than the calendar has days, however many raw rows the item has. Each series is packed
+into one row of arrays; Spark aggregates, shuffles and spreads these rows and a task fits a batch
+of them in numpy.
+
+Every method fits series of any length: short ones are held near their mean by penalties and by
+autocovariances that fade with the number of days. A series without variation has nothing to fit
+(``fitted`` is false) and is continued as it is. All recursions are stable: the weights of a
+recursion are shrunk until its effect fades, so no value has to be clipped but for the floor 0.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,15 +26,17 @@ from tidestock.operators.metrics import regression_metrics
 
 # Model orders, window, horizons and the unit-root critical value.
 DICKEY_FULLER_5PCT = -2.86
-MIN_UNIT_ROOT = 10
 AR_ORDER, MA_ORDER, LONG_AR = 5, 2, 10
 YEARLY_TERMS, WEEKLY_TERMS = 10, 3
 INTERVAL_80 = 1.2816
 WINDOW = 30
 N_TEST = 30
 DAYS_PER_MONTH = 30
-MIN_POINTS = 30
 RIDGE = 1e-3
+#: Changes from which the regression behind the unit-root statistic has a residual variance.
+MIN_UNIT_ROOT = 3
+#: Largest modulus of the roots of a recursion.
+FADE = 0.995
 
 
 def as_series(daily: DataFrame, by: str | None = "item_id") -> DataFrame:
@@ -43,34 +51,41 @@ def as_series(daily: DataFrame, by: str | None = "item_id") -> DataFrame:
 def stationarity(series: DataFrame) -> DataFrame:
     """Dickey-Fuller t-statistic of every gap-filled series and the differencing order.
 
-    The regression of the daily change on the previous value needs only sums, and empty days
-    add nothing to them, so the sums come from the existing rows: no row per empty day.
+    The regression of the daily change on the previous value needs only sums. Empty days enter
+    them in closed form, so there is no row per empty day; all products are taken of values less
+    the series mean, so large levels cost no digits.
     """
-    week = Window.partitionBy("series_id").orderBy("invoice_date")
-    previous = F.when(
-        F.datediff("invoice_date", F.lag("invoice_date").over(week)) == 1, F.lag("qty").over(week)
+    whole = Window.partitionBy("series_id")
+    ordered = whole.orderBy("invoice_date")
+    days = F.datediff(F.max("invoice_date").over(whole), F.min("invoice_date").over(whole)) + 1
+    rows = series.withColumn("mean", F.sum("qty").over(whole) / days).withColumn("z", F.col("qty") - F.col("mean"))
+    gap = F.datediff("invoice_date", F.lag("invoice_date").over(ordered))
+    before, empty = F.lag("z").over(ordered), -F.col("mean")
+    # products of neighbouring days: two days with rows, or the empty ones between them
+    product = F.when(gap == 1, F.col("z") * before).otherwise(
+        before * empty + empty * F.col("z") + (gap - 2) * empty * empty
     )
-    rows = series.withColumn("_product", F.coalesce(F.col("qty") * previous, F.lit(0.0)))
-    sums = rows.groupBy("series_id").agg(
+    sums = rows.withColumns({"gap": gap, "product": product}).groupBy("series_id").agg(
         (F.datediff(F.max("invoice_date"), F.min("invoice_date"))).cast("double").alias("n"),
-        F.sum("qty").alias("s"),
-        F.sum(F.col("qty") * F.col("qty")).alias("ss"),
-        F.sum("_product").alias("cross"),
-        F.min_by("qty", "invoice_date").alias("first"),
-        F.max_by("qty", "invoice_date").alias("last"),
+        F.count("*").alias("rows"), F.first("mean").alias("mean"),
+        F.sum("z").alias("s"), F.sum(F.col("z") * F.col("z")).alias("ss"), F.sum("product").alias("cross"),
+        F.min_by("z", "invoice_date").alias("first"), F.max_by("z", "invoice_date").alias("last"),
     )
-    n = F.col("n")
-    sx, sy = F.col("s") - F.col("last"), F.col("s") - F.col("first")
-    sxx_raw = F.col("ss") - F.col("last") * F.col("last")
-    syy_raw = F.col("ss") - F.col("first") * F.col("first")
+    n, none = F.col("n"), F.col("n") + 1 - F.col("rows")
+    s, ss = F.col("s") - none * F.col("mean"), F.col("ss") + none * F.col("mean") * F.col("mean")
+    cross = F.coalesce("cross", F.lit(0.0))
+    sx, sy = s - F.col("last"), s - F.col("first")
+    sxx_raw = ss - F.col("last") * F.col("last")
+    syy_raw = ss - F.col("first") * F.col("first")
     change = sy - sx
     sxx = sxx_raw - F.try_divide(sx * sx, n)
-    sxy = (F.col("cross") - sxx_raw) - F.try_divide(sx * change, n)
-    syy = (syy_raw - 2.0 * F.col("cross") + sxx_raw) - F.try_divide(change * change, n)
+    sxy = (cross - sxx_raw) - F.try_divide(sx * change, n)
+    syy = (syy_raw - 2.0 * cross + sxx_raw) - F.try_divide(change * change, n)
     slope = F.try_divide(sxy, sxx)
     variance = F.try_divide(syy - slope * sxy, n - 2.0)
     statistic = F.try_divide(slope, F.sqrt(F.try_divide(variance, sxx)))
-    enough = (n >= MIN_UNIT_ROOT) & (sxx > 0) & (variance > 0)
+    tiny = 1e-12 * F.greatest(ss, F.lit(1e-300))  # a perfect fit leaves only rounding
+    enough = (n >= MIN_UNIT_ROOT) & (sxx > tiny) & (variance > tiny)
     return sums.select(
         "series_id", n.cast("int").alias("n_changes"), F.when(enough, statistic).alias("t_stat")
     ).withColumn("d", F.when(F.col("t_stat").isNotNull(), F.when(F.col("t_stat") < DICKEY_FULLER_5PCT, 0).otherwise(1)))
@@ -85,61 +100,85 @@ def future_days(series: DataFrame, days: int) -> DataFrame:
     )
 
 
-# --- numpy helpers used inside a group --------------------------------------------------
+# --- numpy helpers for one series ---------------------------------------------------------
 
 
-def dense(group: pd.DataFrame, until: pd.Timestamp) -> np.ndarray:
+def dense(days: np.ndarray, qty: np.ndarray, until: int) -> np.ndarray:
     """Daily values from the first day to ``until`` with 0 on empty days."""
-    offset = (group["invoice_date"] - group["invoice_date"].iloc[0]).dt.days.to_numpy()
-    filled = np.zeros((until - group["invoice_date"].iloc[0]).days + 1)
-    filled[offset] = group["qty"].to_numpy()
+    filled = np.zeros(until - days[0] + 1)
+    filled[days - days[0]] = qty
     return filled
 
 
-def unit_root_t(values: np.ndarray) -> float:
-    """t-statistic of the previous value in a regression of the daily change on it."""
+def unit_root_t(values: np.ndarray) -> float | None:
+    """t-statistic of the previous value in a regression of the daily change on it, as in :func:`stationarity`."""
+    if len(values) <= MIN_UNIT_ROOT:
+        return None
     before, change = values[:-1] - values[:-1].mean(), np.diff(values)
     change = change - change.mean()
-    spread = before @ before
-    if spread == 0:
-        return 0.0
+    spread, tiny = before @ before, 1e-12 * max(float(((values - values.mean()) ** 2).sum()), 1e-300)
+    if spread <= tiny:
+        return None
     slope = (before @ change) / spread
     rest = change - slope * before
-    return float(slope / np.sqrt(max(rest @ rest, 1e-300) / (len(change) - 2) / spread))
+    variance = rest @ rest / (len(change) - 2)
+    return float(slope / np.sqrt(variance / spread)) if variance > tiny else None
 
 
-def lag_matrix(values: np.ndarray, width: int) -> np.ndarray:
-    """Row t holds the ``width`` values before t, newest first."""
-    return np.lib.stride_tricks.sliding_window_view(values[:-1], width)[:, ::-1]
+def lags(values: np.ndarray, width: int) -> np.ndarray:
+    """Row t holds the ``width`` values before t, newest first; 0 before the first."""
+    padded = np.concatenate([np.zeros(width), values])
+    return np.lib.stride_tricks.sliding_window_view(padded[:-1], width)[:, ::-1]
 
 
 def ridge_fit(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
-    gram = x.T @ x + penalty * np.eye(x.shape[1])
-    return np.linalg.lstsq(gram, x.T @ y, rcond=None)[0]
-
-
-def arma_path(values: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
-    """Two-stage least squares ARMA forecast and its AIC."""
-    center = values.mean()
-    y = values - center
-    long_x = lag_matrix(y, LONG_AR)
-    noise = np.zeros(len(y))
-    noise[LONG_AR:] = y[LONG_AR:] - long_x @ ridge_fit(long_x, y[LONG_AR:], RIDGE)
-    x = np.hstack([
-        lag_matrix(y, AR_ORDER)[LONG_AR - AR_ORDER:], lag_matrix(noise, MA_ORDER)[LONG_AR - MA_ORDER:]
-    ])
-    target = y[LONG_AR:]
-    weights = ridge_fit(x, target, RIDGE)
-    rest = target - x @ weights
+    return np.linalg.solve(x.T @ x + penalty * np.eye(x.shape[1]), x.T @ y)
+
+
+def fading(weights: np.ndarray) -> np.ndarray:
+    """Weights of a recursion on its own past, shrunk so that all its roots stay within ``FADE``.
+
+    Multiplying the k-th weight by c^k multiplies every root by c.
+    """
+    companion = np.eye(len(weights), k=-1)
+    companion[0] = weights
+    largest = np.abs(np.linalg.eigvals(companion)).max()
+    if largest <= FADE:
+        return weights
+    return weights * (FADE / largest) ** np.arange(1, len(weights) + 1)
+
+
+def yule_walker(y: np.ndarray, order: int) -> np.ndarray:
+    """Autoregression from autocovariances divided by the number of days, which is always stationary."""
+    full = np.correlate(y, y, "full")[len(y) - 1:]
+    r = np.zeros(order + 1)
+    r[:min(len(full), order + 1)] = full[:order + 1]
+    toeplitz = r[np.abs(np.subtract.outer(np.arange(order), np.arange(order)))]
+    return np.linalg.solve(toeplitz + 1e-9 * r[0] * np.eye(order), r[1:])
+
+
+def arma_path(y: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
+    """Forecast and AIC of a stationary and invertible ARMA model of a series around 0.
+
+    Shocks come from a long stationary autoregression; both parts are then fitted to the lags of
+    values and shocks, and shrunk where they would not fade.
+    """
+    shocks = y - lags(y, LONG_AR) @ yule_walker(y, LONG_AR)
+    scale = float(y @ y) / len(y)
+    weights = ridge_fit(np.hstack([lags(y, AR_ORDER), lags(shocks, MA_ORDER)]), y, RIDGE * scale * len(y))
+    ar, ma = fading(weights[:AR_ORDER]), -fading(-weights[AR_ORDER:])
+    rest = np.zeros(len(y) + MA_ORDER)
+    own = lags(y, AR_ORDER) @ ar
+    for t in range(len(y)):
+        rest[t + MA_ORDER] = y[t] - own[t] - ma @ rest[t:t + MA_ORDER][::-1]
     sse = float(rest @ rest)
-    aic = len(target) * np.log(max(sse, 1e-12) / len(target)) + 2 * (len(weights) + 1)
-    past, shocks, path = list(y[-AR_ORDER:]), list(rest[-MA_ORDER:]), []
+    aic = len(y) * np.log(max(sse, 1e-12 * scale) / len(y)) + 2 * (len(weights) + 1)
+    past = list(np.concatenate([np.zeros(AR_ORDER), y])[-AR_ORDER:])
+    ahead = list(rest[-MA_ORDER:])
     for _ in range(steps):
-        inputs = past[: -AR_ORDER - 1: -1] + shocks[: -MA_ORDER - 1: -1]
-        path.append(float(np.clip(np.dot(weights, inputs), -1e12, 1e12)))
-        past.append(path[-1])
-        shocks.append(0.0)
-    return np.array(path) + center, float(aic)
+        past.append(float(ar @ past[: -AR_ORDER - 1: -1] + ma @ ahead[: -MA_ORDER - 1: -1]))
+        ahead.append(0.0)
+    return np.array(past[AR_ORDER:]), float(aic)
 
 
 def calendar_terms(days: np.ndarray) -> np.ndarray:
@@ -149,107 +188,114 @@ def calendar_terms(days: np.ndarray) -> np.ndarray:
     return np.column_stack([f(a) for a in angles for f in (np.sin, np.cos)])
 
 
-def _forecast_frame(group: pd.DataFrame, until: pd.Timestamp, path: np.ndarray, **extra) -> pd.DataFrame:
-    out = pd.DataFrame({
-        "series_id": group["series_id"].iloc[0],
-        "step": np.arange(1, len(path) + 1, dtype="int32"),
-        "forecast_date": (until + pd.to_timedelta(np.arange(1, len(path) + 1), unit="D")).date,
-        "qty_forecast": np.maximum(path, 0.0),
-    })
-    return out.assign(**extra)
-
+# --- forecasts ------------------------------------------------------------------------------
 
-def _by_series(series: DataFrame, fit: Callable, schema: str) -> DataFrame:
-    """Apply ``fit`` to each series with its rows in date order and its last known day.
+FORECAST = "series_id string, step int, forecast_date date, qty_forecast double, fitted boolean"
+EPOCH = np.datetime64("1970-01-01", "D")
 
-    That day is the last row's, unless a column ``until`` names a later one. Fitting is heavy
-    for few bytes, so the partition count is fixed: sized by bytes, a few tasks would get all
-    series.
-    """
-    spark = series.sparkSession
-    spread = series.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "series_id")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.assign(invoice_date=pd.to_datetime(group["invoice_date"])).sort_values("invoice_date")
-        until = group["until"] if "until" in group else group["invoice_date"]
-        return fit(group, pd.Timestamp(until.iloc[-1]))
-
-    return spread.groupBy("series_id").applyInPandas(run, schema)
 
+def _by_series(series: DataFrame, steps: int, fit: Callable, extra: dict[str, str]) -> DataFrame:
+    """Forecast rows of every series from ``fit(days, qty, last known day)``.
 
-FORECAST = "series_id string, step int, forecast_date date, qty_forecast double"
+    ``fit`` returns the path, whether there was anything to fit, and the ``extra`` values. The last
+    known day is the last row's, unless a column ``until`` names a later one. Fitting is heavy for
+    few bytes, so the partition count is fixed: sized by bytes, a few tasks would get all series.
+    """
+    number = lambda c: F.datediff(c, F.lit("1970-01-01"))
+    until = F.max(number("until")) if "until" in series.columns else F.max(number("invoice_date"))
+    packed = series.groupBy("series_id").agg(
+        F.array_sort(F.collect_list(F.struct(number("invoice_date").alias("day"), "qty"))).alias("rows"), until.alias("until")
+    ).select("series_id", F.col("rows.day").alias("days"), F.col("rows.qty").alias("qty"), "until")
+    partitions = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = np.arange(1, steps + 1, dtype="int32")
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                parts = []
+                for name, days, qty, last in batch.iloc[start:start + 256].itertuples(index=False):
+                    path, fitted, values = fit(np.asarray(days, dtype=np.int64), np.asarray(qty, dtype=float), int(last))
+                    parts.append((name, last, path, fitted, values))
+                n = len(parts)
+                dates = np.concatenate([EPOCH + (p[1] + step.astype(np.int64)) for p in parts])
+                out = pd.DataFrame({
+                    "series_id": np.repeat(np.array([p[0] for p in parts], dtype=object), steps),
+                    "step": np.tile(step, n), "forecast_date": dates.astype("datetime64[ns]"),
+                    "qty_forecast": np.maximum(np.concatenate([p[2] for p in parts]), 0.0),
+                    "fitted": np.repeat([p[3] for p in parts], steps),
+                })
+                out["forecast_date"] = out["forecast_date"].dt.date
+                for k, name in enumerate(extra):
+                    out[name] = np.concatenate([np.broadcast_to(p[4][k], steps) for p in parts])
+                yield out
+
+    schema = ", ".join([FORECAST, *[f"{name} {kind}" for name, kind in extra.items()]])
+    return packed.repartition(partitions, "series_id").mapInPandas(run, schema)
 
 
 def arima_forecast(series: DataFrame, steps: int) -> DataFrame:
-    """ARIMA(5, d, 2) on gap-filled series, d by the rule of :func:`stationarity`; floor 0, AIC per series.
-
-    A short or degenerate series is forecast by its mean.
-    """
-    def fit(group: pd.DataFrame, until: pd.Timestamp) -> pd.DataFrame:
-        values = dense(group, until)
-        d = int(len(values) > MIN_UNIT_ROOT and values.std() > 0 and unit_root_t(values) >= DICKEY_FULLER_5PCT)
-        path, aic = np.full(steps, values.mean()), np.nan
-        worked = np.diff(values) if d else values
-        if len(worked) >= max(MIN_POINTS, 2 * LONG_AR) and worked.std() > 0:
-            path, aic = arma_path(worked, steps)
-            path = values[-1] + np.cumsum(path) if d else path
-        return _forecast_frame(group, until, path, d=np.int32(d), aic=aic)
+    """ARIMA(5, d, 2) on gap-filled series, d by the rule of :func:`stationarity`; floor 0, AIC per series."""
+    def fit(days: np.ndarray, qty: np.ndarray, until: int):
+        values = dense(days, qty, until)
+        statistic = unit_root_t(values)
+        d = int(statistic is not None and statistic >= DICKEY_FULLER_5PCT)
+        worked = np.diff(values) if d else values - values.mean()
+        if np.ptp(values) == 0:
+            return np.full(steps, values[-1]), False, (np.int32(d), np.nan)
+        path, aic = arma_path(worked, steps)
+        return (values[-1] + np.cumsum(path) if d else path + values.mean()), True, (np.int32(d), aic)
 
-    return _by_series(series, fit, f"{FORECAST}, d int, aic double")
+    return _by_series(series, steps, fit, {"d": "int", "aic": "double"})
 
 
 def seasonal_trend_forecast(series: DataFrame, steps: int) -> DataFrame:
-    """Trend times yearly and weekly seasonality on days with rows, with an 80 % band; floor 0."""
-    def fit(group: pd.DataFrame, until: pd.Timestamp) -> pd.DataFrame:
-        days = group["invoice_date"].to_numpy().astype("datetime64[D]").astype(float)
-        y = np.maximum(group["qty"].to_numpy(), 0.0)
-        ahead = until.to_datetime64().astype("datetime64[D]").astype(float) + np.arange(1, steps + 1)
-        path, spread = np.full(steps, y.mean()), float(y.std())
-        if len(y) >= MIN_POINTS and y.std() > 0:
-            span = max(days.max() - days.min(), 1.0)
-
-            def trend_terms(x: np.ndarray) -> np.ndarray:
-                return np.column_stack([np.ones(len(x)), (x - days.min()) / span])
-
-            trend = ridge_fit(trend_terms(days), y, RIDGE)
-            floor = 0.05 * y.mean()
-            level = np.maximum(trend_terms(days) @ trend, floor)
-            season = ridge_fit(calendar_terms(days), y / level - 1.0, 1.0)
-            spread = float((y - level * (1.0 + calendar_terms(days) @ season)).std())
-            path = np.maximum(trend_terms(ahead) @ trend, floor) * (1.0 + calendar_terms(ahead) @ season)
+    """Trend plus yearly and weekly seasonality on days with rows, with an 80 % band; floor 0.
+
+    One penalised fit around the mean. The trend's unit is the longer of the history and the
+    horizon, so that the penalty holds the slope of short histories.
+    """
+    def fit(days: np.ndarray, qty: np.ndarray, until: int):
+        y = np.maximum(qty, 0.0)
+        if np.ptp(y) == 0:
+            return np.full(steps, y[-1]), False, (y[-1], y[-1])
+        unit = float(max(days[-1] - days[0], steps))
+
+        def terms(x: np.ndarray) -> np.ndarray:
+            return np.column_stack([(x - days[0]) / unit, calendar_terms(x.astype(float))])
+
+        x = terms(days)
+        center = x.mean(axis=0)
+        weights = ridge_fit(x - center, y - y.mean(), 1.0)
+        spread = float((y - y.mean() - (x - center) @ weights).std())
+        path = y.mean() + (terms(until + np.arange(1, steps + 1)) - center) @ weights
         band = INTERVAL_80 * spread
-        return _forecast_frame(group, until, path, qty_lower=path - band, qty_upper=path + band)
+        return path, True, (path - band, np.maximum(path, 0.0) + band)
 
-    return _by_series(series, fit, f"{FORECAST}, qty_lower double, qty_upper double")
+    return _by_series(series, steps, fit, {"qty_lower": "double", "qty_upper": "double"})
 
 
 def recursive_lag_forecast(series: DataFrame, steps: int, window: int = WINDOW) -> DataFrame:
-    """Linear model on the last ``window`` scaled days, each prediction feeding the next; floor 0."""
-    def fit(group: pd.DataFrame, until: pd.Timestamp) -> pd.DataFrame:
-        values = dense(group, until)
-        low, high = values.min(), values.max()
-        path = np.full(steps, values.mean())
-        if len(values) >= window + MIN_POINTS and high > low:
-            scaled = (values - low) / (high - low)
-            x = np.column_stack([np.ones(len(scaled) - window), lag_matrix(scaled, window)])
-            weights = ridge_fit(x, scaled[window:], RIDGE)
-            past = list(scaled[-window:])
-            for _ in range(steps):
-                step = weights[0] + float(np.dot(weights[1:], past[: -window - 1: -1]))
-                past.append(float(np.clip(step, -1e6, 1e6)))
-            path = np.array(past[window:]) * (high - low) + low
-        return _forecast_frame(group, until, path)
-
-    return _by_series(series, fit, FORECAST)
+    """Linear model on the last ``window`` days around the mean, each prediction feeding the next; floor 0."""
+    def fit(days: np.ndarray, qty: np.ndarray, until: int):
+        values = dense(days, qty, until)
+        spread = np.ptp(values)
+        if spread == 0:
+            return np.full(steps, values[-1]), False, ()
+        y = (values - values.mean()) / spread
+        weights = fading(ridge_fit(lags(y, window), y, RIDGE * len(y)))
+        past = list(np.concatenate([np.zeros(window), y])[-window:])
+        for _ in range(steps):
+            past.append(float(weights @ past[: -window - 1: -1]))
+        return np.array(past[window:]) * spread + values.mean(), True, ()
+
+    return _by_series(series, steps, fit, {})
 
 
 # --- back-tests -------------------------------------------------------------------------
 
 
 def _last_day(series: DataFrame) -> DataFrame:
-    return series.groupBy("series_id").agg(
-        F.min("invoice_date").alias("_first"), F.max("invoice_date").alias("_last")
-    )
+    return series.groupBy("series_id").agg(F.max("invoice_date").alias("_last"))
 
 
 def _value_on(series: DataFrame, day: str, name: str) -> DataFrame:
@@ -263,10 +309,10 @@ def _zero(column: str) -> Column:
 def naive_backtest(series: DataFrame, n_test: int = N_TEST, period: int = 7) -> DataFrame:
     """Metrics per series of repeating the last ``period`` training days over the last ``n_test`` days.
 
-    Only the test days are laid out, and both values are fetched by key; empty days count 0.
-    A series needs at least ``n_test + period`` days.
+    Only the test days are laid out, and both values are fetched by key; empty days count 0, and
+    so do days before the first one.
     """
-    spans = _last_day(series).where(F.datediff("_last", "_first") + 1 >= n_test + period)
+    spans = _last_day(series)
     step = F.explode(F.sequence(F.lit(0), F.lit(n_test - 1)))
     days = spans.select("series_id", "_last", step.alias("_step")).select(
         "series_id",
@@ -285,13 +331,19 @@ def model_backtest(series: DataFrame, forecast: Callable[[DataFrame, int], DataF
     """Metrics per series of a forecaster fitted without the last ``n_test`` days, joined by date.
 
     The training part ends exactly ``n_test`` days before the last day, sold or not; a series
-    that starts later has nothing to train on.
+    that starts later has nothing to train on and is forecast as 0.
     """
     last = F.max("invoice_date").over(Window.partitionBy("series_id"))
     train = series.withColumn("until", F.date_sub(last, n_test)).where(F.col("invoice_date") <= F.col("until"))
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(n_test - 1)))
+    days = _last_day(series).select("series_id", "_last", ahead.alias("_back")).select(
+        "series_id", F.date_sub("_last", F.col("_back")).alias("forecast_date")
+    )
     actual = _value_on(series, "forecast_date", "_actual")
-    rows = forecast(train, n_test).join(actual, ["series_id", "forecast_date"], "left").select(
-        "series_id", _zero("_actual").alias("actual"), F.col("qty_forecast").alias("prediction")
+    rows = (
+        days.join(forecast(train, n_test), ["series_id", "forecast_date"], "left")
+        .join(actual, ["series_id", "forecast_date"], "left")
+        .select("series_id", _zero("_actual").alias("actual"), _zero("qty_forecast").alias("prediction"))
     )
     return regression_metrics(rows, ["series_id"])
 
