@@ -10,7 +10,7 @@ the pieces per end, however long a run without spaces is.
 
 Two neighbouring characters that are neighbours in no piece are never joined, so a text falls into
 parts there (for the given vocabularies: before a space mark, at line ends, around most punctuation)
-whose encodings are independent. Each worker keeps bounded stores of parts and pair tests.
+whose encodings are independent. Each task keeps bounded stores of parts and pair tests.
 
 Characters outside the vocabulary become their UTF-8 bytes. Encoding has no begin or end ids and
 no sampling.
@@ -33,8 +33,8 @@ from tidestock.llm.store import Store
 
 MARK = "\u2581"
 NEVER = float("-inf")
-#: Bounds of the stores of a worker, and the longest part that is stored.
-MAX_PARTS, MAX_PAIRS, MAX_STORED_CHARS = 400_000, 250_000, 64
+#: Bounds of the stores of a task, and the longest part that is stored.
+MAX_PARTS, MAX_PAIRS, MAX_STORED_CHARS = 200_000, 100_000, 64
 
 
 class PieceCodec:
@@ -123,39 +123,48 @@ class PieceCodec:
                     return False
         return True
 
+    def follows(self, pair: tuple[str, str]) -> bool:
+        """:meth:`fits` by the store."""
+        known = self.pairs.get(pair)
+        if known is None:
+            known = self.fits(*pair)
+            self.pairs.put(pair, known)
+        return known
+
+    def single(self, before: str, character: str) -> str:
+        """The last token where no longer piece can be one."""
+        if before and not self.follows((before, character)):
+            raise ValueError(f"no last token after {before!r} for {character!r}")
+        return character
+
     def pieces(self, text: str) -> list[str]:
         """Pieces of one part by the table of last tokens."""
         n = len(text)
         if n == 1:
             return [text]
         last = [""] * (n + 1)
-        ends: list[list[int]] = [[] for _ in range(n + 1)]
-        for end, length in self.automaton.iter(text):
-            ends[end + 1].append(length)
-        pairs = self.pairs
-        known = pairs.young.get
-        for end in range(1, n + 1):
-            for length in (*ends[end], 1):
-                piece = text[end - length:end]
-                before = last[end - length]
-                if not before:
-                    if length == end and (length == 1 or piece in self.whole):
-                        last[end] = piece
-                        break
-                    continue
-                pair = before, piece
+        known, follows = self.pairs.young.get, self.follows
+        done = 0
+        for end, length in self.automaton.iter(text):  # by end, the longest first
+            end += 1
+            while done < end - 1:  # no piece of several characters ends there
+                done += 1
+                if not last[done]:
+                    last[done] = self.single(last[done - 1], text[done - 1])
+            if last[end]:
+                continue
+            before = last[end - length]
+            if before:
+                pair = before, text[end - length:end]
                 good = known(pair)
-                if good is None:
-                    good = pairs.get(pair)
-                    if good is None:
-                        good = self.fits(before, piece)
-                        pairs.put(pair, good)
-                        known = pairs.young.get
-                if good:
-                    last[end] = piece
-                    break
-            else:
-                raise ValueError(f"no last token for {text[:end]!r}")
+                if good or good is None and follows(pair):
+                    last[end] = pair[1]
+            elif length == end:
+                last[end] = text[:end]
+        while done < n:
+            done += 1
+            if not last[done]:
+                last[done] = self.single(last[done - 1], text[done - 1])
         out, end = [], n
         while end:
             out.append(last[end])
@@ -226,8 +235,11 @@ def encoded(
 
     def work(rows):
         own = codec(model_file)
-        for key, text in rows:
-            yield (key, *finish(own, own.encode(text)))
+        try:
+            for key, text in rows:
+                yield (key, *finish(own, own.encode(text)))
+        finally:  # workers outlive tasks; what they hold meanwhile is memory that others need
+            own.pairs, own.parts = Store(MAX_PAIRS), Store(MAX_PARTS)
 
     return map_rows(source, work, f"{ddl(source.drop(text_col))}, {columns}")
 
