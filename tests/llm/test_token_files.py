@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import EDGE, FOLDER, documents, edge_frame
 from hypothesis import given, settings
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tidestock.llm import token_files
 from tidestock.llm.queries import QUERIES
+from tidestock.llm.store import string_hashes
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(FILE)
@@ -50,10 +52,20 @@ def test_cuts_at_spaces(text):
 
 
 def test_stores_are_bounded(monkeypatch):
-    monkeypatch.setattr(token_files, "MAX_STRETCHES", 2)
+    monkeypatch.setattr(token_files, "MAX_STRETCHES", 20)
     own = token_files.WordEncoder(FILE)
-    text = "many words, again many words, and many more words than the stores hold"
-    assert own.encode_all([text])[0].tolist() == library(text) and len(own.store) <= 4
+    texts = ["many words, again many words, and many more words than the store holds"] + [f"a{i} b{i} c{i} many" for i in range(40)]
+    for text in texts:
+        assert own.encode_all([text])[0].tolist() == library(text)
+    assert len(own.store) <= 20
+
+
+def test_hashes_tell_strings_apart():
+    strings = sorted({"", "a", "aa", "ab", "ba", "b", "é", "\0", "\0\0", *(f"w{i}" for i in range(5000)), *(f"{i}w" for i in range(5000))})
+    for hashes in string_hashes(pa.array(strings)):
+        assert len(set(hashes.tolist())) == len(strings)
+    again = string_hashes(pa.array(["x", *strings]).slice(1))
+    assert (again[0] == string_hashes(pa.array(strings))[0]).all()
 
 
 @pytest.mark.parametrize("text", [t for _, t in EDGE] + [t for _, t in documents()])

@@ -1,7 +1,12 @@
-"""A bounded store of results by key, for the lifetime of a worker."""
+"""Bounded stores of results by key, for the lifetime of a task or worker."""
 
 from __future__ import annotations
 
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+
 
 class Store:
     """Keeps at most ``2 * bound`` entries: when ``bound`` new ones have come, all not used since the last time go."""
@@ -26,3 +31,71 @@ class Store:
 
     def __len__(self) -> int:
         return len(self.young) + len(self.old)
+
+
+#: Two independent hashes of short byte strings: a random weight for each byte value, an odd base for each place.
+_RANDOM = np.random.default_rng(40)
+_WEIGHTS = _RANDOM.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+def string_hashes(strings: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every string, from the array's bytes."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    lengths = np.diff(offsets)
+    out = np.zeros((2, len(strings)), np.uint64)
+    full = np.flatnonzero(lengths)
+    if len(full):
+        data = np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+        starts = offsets[full] - offsets[0]
+        place = np.arange(len(data)) - np.repeat(starts, lengths[full])
+        longest = int(lengths.max())
+        for k in range(2):
+            powers = np.cumprod(np.append(np.uint64(1), np.full(longest, _BASES[k], np.uint64)))
+            sums = np.add.reduceat(_WEIGHTS[k][data] * powers[place], starts)
+            sums += lengths[full].astype(np.uint64) * np.uint64(_BASES[1 - k])
+            sums = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            out[k, full] = sums ^ (sums >> np.uint64(29))
+    return out[0], out[1]
+
+
+class PackedStore:
+    """Lists of numbers by the two hashes of a string, about 40 bytes an entry.
+
+    Forgets everything when the bound is reached.
+    """
+
+    def __init__(self, bound: int):
+        self.bound = bound
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each entry is, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, values: list[list[int]]) -> None:
+        """New entries. What was found before may be elsewhere afterwards."""
+        sizes = np.fromiter(map(len, values), np.int32, len(values))
+        numbers = np.fromiter(chain.from_iterable(values), np.uint32, int(sizes.sum()))
+        if len(self.keys) + len(keys) > self.bound or self.used + len(numbers) > 16 * self.bound:
+            self.clear()
+        if self.used + len(numbers) > len(self.flat):
+            self.flat = np.append(self.flat[:self.used], np.zeros(self.used + 2 * len(numbers), np.uint32))
+        self.flat[self.used:self.used + len(numbers)] = numbers
+        first = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.used += len(numbers)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.checks = np.insert(self.keys, at, keys[order]), np.insert(self.checks, at, checks[order])
+        self.first, self.sizes = np.insert(self.first, at, first[order]), np.insert(self.sizes, at, sizes[order])

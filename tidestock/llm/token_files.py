@@ -26,7 +26,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -38,17 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.llm.rows import map_rows
-from tidestock.llm.store import Store
+from tidestock.llm.store import PackedStore, string_hashes
 from tidestock.session import staged
 
 BLOCK, SEGMENT_IDS, PERCENTILE = 128, 1 << 16, 90
-MAX_STRETCHES, MAX_STORED_CHARS = 200_000, 48
+MAX_STRETCHES = 1_500_000
 #: Fixed pattern of the byte-level vocabulary: what splits a text before the merges.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 INNER_SPACE = re.compile(r"\s")
 #: Marks of a stretch: white space that may meet other, nothing at all, a stop first, no letter or digit last.
 BLANK, EMPTY, STOP, OPEN = 1, 2, 4, 8
-NO_STRETCH = array("I", [EMPTY]).tobytes()
 #: Characters that are encoded together.
 TOGETHER = 2 << 20
 SEGMENTS = "part int, seq int, before long, n_ids long, payload binary"
@@ -64,7 +62,7 @@ class WordEncoder:
 
     In a text without two white spaces in a row, every match of the pattern ends before a space, before
     and after a line end, and before a full stop or comma that follows a letter or digit. Such texts
-    are cut there, and short stretches are kept in a bounded store; other texts are cut into matches.
+    are cut there, and the ids of stretches are kept in a bounded store; other texts are cut into matches.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -78,34 +76,32 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [b for b in range(256) if b not in set(plain)]
         self.written = {b: chr(256 + k) for k, b in enumerate(moved)}
-        self.store = Store(MAX_STRETCHES)
+        self.store = PackedStore(MAX_STRETCHES)
 
     def ids_of(self, match: str) -> list[int]:
         """Ids of one match of the pattern."""
         written = match.encode().decode("latin-1").translate(self.written)
         return [t.id for t in self.model.tokenize(written)]
 
-    def stretch(self, text: str) -> bytes:
-        """Marks, then the ids of one or more whole matches of the pattern, 4 bytes each."""
-        known = self.store.get(text)
-        if known is None:
-            body = text[1:] if text[0] == " " else text
+    def stretches(self, texts: list[str]) -> list[list[int]]:
+        """Marks, then the ids of the matches, of each stretch of one or more whole matches."""
+        tokenize, space = self.model.tokenize, self.written[32]
+        out = []
+        for text in texts:
+            body = text[1:] if text[:1] == " " else text
             if body.isalpha() and body.isascii():  # one match, written as it is but for the space
-                ids = [t.id for t in self.model.tokenize(self.written[32] + body if body is not text else body)]
-                marks = 0
+                out.append([0, *[t.id for t in tokenize(body if body is text else space + body)]])
+            elif not text:
+                out.append([EMPTY])
             else:
-                ids = [i for match in WORDS.findall(text) for i in self.ids_of(match)]
-                marks = marks_of(text)
-            known = array("I", [marks, *ids]).tobytes()
-            if len(text) <= MAX_STORED_CHARS:
-                self.store.put(text, known)
-        return known
+                out.append([marks_of(text), *[i for match in WORDS.findall(text) for i in self.ids_of(match)]])
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, equal to the library's with ``add_special_tokens=False``."""
         if any(a in text for a in self.added):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.frombuffer(b"".join([self.stretch(m)[4:] for m in WORDS.findall(text)]), "<u4")
+        return np.array([i for match in WORDS.findall(text) for i in self.ids_of(match)], "<u4")
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """:meth:`encode` of each text, by their distinct stretches."""
@@ -119,15 +115,19 @@ class WordEncoder:
         cut = pc.split_pattern(pa.array(marked, pa.string()), "\0")
         starts = cut.offsets.to_numpy()
         coded = cut.flatten().dictionary_encode()
-        which, stretches = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-
-        known = self.store.young.get
-        raw = [(known(s) or self.stretch(s)) if s else NO_STRETCH for s in stretches]
-        flat = np.frombuffer(b"".join(raw), "<u4")
-        sizes = np.array([len(r) for r in raw]) // 4
-        first = np.cumsum(sizes) - sizes
-        marks = flat[first]
-        first, sizes = first + 1, sizes - 1
+        which, store = coded.indices.to_numpy(), self.store
+        keys, checks = string_hashes(coded.dictionary)
+        at, there = store.find(keys, checks)
+        new = np.flatnonzero(~there)
+        if len(new):
+            store.add(keys[new], checks[new], self.stretches(coded.dictionary.take(pa.array(new)).to_pylist()))
+            at, there = store.find(keys, checks)
+            if not there.all():  # the store has forgotten those found before
+                new = np.flatnonzero(~there)
+                store.add(keys[new], checks[new], self.stretches(coded.dictionary.take(pa.array(new)).to_pylist()))
+                at, there = store.find(keys, checks)
+        flat, first, sizes = store.flat, store.first[at] + 1, store.sizes[at].astype(np.int64) - 1
+        marks = flat[first - 1]
 
         # a text is odd, too, if two white spaces meet or a stop doesn't follow a letter or digit
         own = marks[which]
