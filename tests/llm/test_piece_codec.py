@@ -17,6 +17,7 @@ def same(text):
     ids = CODEC.encode(text)
     assert ids == LIBRARY.encode(text or "")
     assert CODEC.as_decimal(ids) == ",".join(map(str, ids))
+    assert [x.tolist() for x in CODEC.encode_all(["a", text or "", "b."])] == [LIBRARY.encode(t) for t in ("a", text or "", "b.")]
 
 
 @pytest.mark.parametrize("text", [t for _, t in EDGE] + [t for _, t in documents()])
@@ -48,12 +49,13 @@ def test_long_runs(text):
 
 
 def test_stores_are_bounded(monkeypatch):
-    for name in ("MAX_PARTS", "MAX_PAIRS"):
-        monkeypatch.setattr(piece_codec, name, 3)
+    monkeypatch.setattr(piece_codec, "MAX_PARTS", 20)
+    monkeypatch.setattr(piece_codec, "MAX_PAIRS", 3)
     own = piece_codec.PieceCodec(MODEL)
     text = "many different words make the small stores overflow, again and again and many times"
-    assert own.encode(text) == LIBRARY.encode(text)
-    assert max(len(own.parts), len(own.pairs)) <= 6
+    for part in (text, "quite other words", text[::-1], text):
+        assert own.encode_all([part])[0].tolist() == LIBRARY.encode(part)
+    assert len(own.parts) <= 20 and len(own.pairs) <= 6
 
 
 def test_query(spark):

@@ -154,36 +154,53 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list
     return blocks
 
 
-def find_spans(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = (),
+def scan(
+    docs: DataFrame, benchmark: DataFrame, window: int, keep: list[str], text_col: str, item_col: str, item_text_col: str,
+    finish, columns: str,
 ) -> DataFrame:
-    """Per document: the ``keep`` columns, ``n_words``, ``spans`` of hit words and found ``items``."""
-    own = list(dict.fromkeys([id_col, *keep]))
-    source = docs.select(*own, F.col(text_col).alias("_text"))
-    kinds = ddl(source.drop("_text"))
-    found_columns = "spans array<struct<start: long, stop: long>>, items array<string>"
-    frame = source.withColumns({
+    """One pass over ``docs`` for each block of items.
+
+    ``finish(kept values, words, spans, items)`` makes the row of a document or None for no row.
+    """
+    frame = docs.select(*keep, F.col(text_col).alias("_text")).withColumns({
         "spans": F.expr("cast(array() as array<struct<start: bigint, stop: bigint>>)"),
         "items": F.expr("cast(array() as array<string>)"),
     })
+    between = ddl(frame)
 
-    def scan(frame: DataFrame, block: list, last: bool) -> DataFrame:
+    def over(frame: DataFrame, block: list, last: bool) -> DataFrame:
         def work(rows):
             automaton = ItemAutomaton(block, window)
             for *values, text, spans, items in rows:
                 words = folded_words(text)
                 more, names = automaton.matches(words)
                 spans = merged([*((s["start"], s["stop"]) for s in spans), *more])
-                spans = [{"start": a, "stop": b} for a, b in spans]
-                yield (*values, len(words) if last else text, spans, sorted(names.union(items)))
+                items = sorted(names.union(items))
+                if not last:
+                    yield (*values, text, [{"start": a, "stop": b} for a, b in spans], items)
+                elif (row := finish(values, words, spans, items)) is not None:
+                    yield row
 
-        return map_rows(frame, work, f"{kinds}, {'n_words long' if last else '_text string'}, {found_columns}")
+        return map_rows(frame, work, columns if last else between)
 
     blocks = item_blocks(benchmark, item_col, item_text_col)
     for block in blocks[:-1]:
-        frame = staged(scan(frame, block, last=False), "benchmark-block")
-    return scan(frame, blocks[-1], last=True)
+        frame = staged(over(frame, block, last=False), "benchmark-block")
+    return over(frame, blocks[-1], last=True)
+
+
+def find_spans(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """Per document: ``id_col``, ``n_words``, ``spans`` of hit words and found ``items``."""
+    def finish(values, words, spans, items):
+        return (*values, len(words), [{"start": a, "stop": b} for a, b in spans], items)
+
+    return scan(
+        docs, benchmark, window, [id_col], text_col, item_col, item_text_col, finish,
+        f"{ddl(docs.select(id_col))}, n_words long, spans array<struct<start: long, stop: long>>, items array<string>",
+    )
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -214,24 +231,20 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.2,
-    id_col: str = "doc_id", text_col: str = "text",
+    text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with hit spans cut from the texts, without documents hit on more than ``max_coverage`` of their words.
 
     Documents that are not hit keep their text exactly. ``text_col`` is the only column that changes.
     """
-    named, (key, text) = numbered(docs, id_col, text_col)
-    hits = find_spans(named, benchmark, window, key, text, keep=tuple(named.columns))
-
+    named, (text,) = numbered(docs, text_col)
     at = named.columns.index(text)
 
-    def cut(rows):
-        for *values, n_words, spans, _ in rows:
-            spans = [(s["start"], s["stop"]) for s in spans]
-            if sum(b - a for a, b in spans) > max_coverage * n_words:
-                continue
-            if spans:
-                values[at] = without_spans(values[at], spans)
-            yield tuple(values)
+    def cut(values, words, spans, _):
+        if sum(b - a for a, b in spans) > max_coverage * len(words):
+            return None
+        if spans:
+            values[at] = without_spans(values[at], spans)
+        return tuple(values)
 
-    return map_rows(hits, cut, ddl(named)).toDF(*docs.columns)
+    return scan(named, benchmark, window, named.columns, text, "item_id", "text", cut, ddl(named)).toDF(*docs.columns)

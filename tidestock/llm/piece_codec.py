@@ -10,7 +10,7 @@ the pieces per end, however long a run without spaces is.
 
 Two neighbouring characters that are neighbours in no piece are never joined, so a text falls into
 parts there (for the given vocabularies: before a space mark, at line ends, around most punctuation)
-whose encodings are independent. Each task keeps bounded stores of parts and pair tests.
+whose encodings are independent. Each worker keeps bounded stores of parts and pair tests.
 
 Characters outside the vocabulary become their UTF-8 bytes. Encoding has no begin or end ids and
 no sampling.
@@ -25,16 +25,21 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from tidestock.llm.rows import ddl, map_rows
-from tidestock.llm.store import Store
+from tidestock.llm.rows import ddl, map_rows, together
+from tidestock.llm.store import PackedStore, Store, ragged
 
 MARK = "\u2581"
 NEVER = float("-inf")
-#: Bounds of the stores of a task, and the longest part that is stored.
-MAX_PARTS, MAX_PAIRS, MAX_STORED_CHARS = 200_000, 100_000, 64
+#: Bounds of a worker's stores.
+MAX_PARTS, MAX_PAIRS = 2_000_000, 100_000
+#: Characters that are encoded together.
+TOGETHER = 1 << 20
 
 
 class PieceCodec:
@@ -69,7 +74,7 @@ class PieceCodec:
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
         self.decimal = [str(i) for i in range(lib.get_piece_size())]
-        self.pairs, self.parts = Store(MAX_PAIRS), Store(MAX_PARTS)
+        self.pairs, self.parts = Store(MAX_PAIRS), PackedStore(MAX_PARTS)
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the best adjacent pair, leftmost of equals, until none is left."""
@@ -171,46 +176,51 @@ class PieceCodec:
             end -= len(last[end])
         return out[::-1]
 
-    def part(self, text: str) -> tuple[int, ...]:
+    def part(self, text: str) -> list[int]:
         """Ids of a part."""
-        known = self.parts.get(text)
-        if known is None:
-            ids: list[int] = []
-            for piece in self.pieces(text):
-                own = self.ids.get(piece)
-                if own is None:
-                    ids.extend(self.byte_ids[b] for b in piece.encode())
-                else:
-                    ids.append(own)
-            known = tuple(ids)
-            if len(text) <= MAX_STORED_CHARS:
-                self.parts.put(text, known)
-        return known
+        ids: list[int] = []
+        for piece in self.pieces(text):
+            own = self.ids.get(piece)
+            if own is None:
+                ids.extend(self.byte_ids[b] for b in piece.encode())
+            else:
+                ids.append(own)
+        return ids
+
+    def encode(self, text: str | None) -> list[int]:
+        """All ids of a text."""
+        return self.ids_of(MARK + text.replace(" ", MARK)) if text else []
 
     def ids_of(self, text: str) -> list[int]:
         """Ids of any text that begins and ends where parts do."""
+        if not self.by_word:
+            return self.part(text) if text else []
         out, start = [], 0
         for k in range(1, len(text)):
             if text[k - 1:k + 1] not in self.neighbours:
-                out.extend(self.part(text[start:k]))
+                out += self.part(text[start:k])
                 start = k
-        out.extend(self.part(text[start:]))
-        return out
+        return out + self.part(text[start:]) if text else out
 
-    def encode(self, text: str | None) -> list[int]:
-        """All ids of a text."""
-        if not text:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """:meth:`encode` of each text, by the distinct stretches between spaces, line ends, stops and commas."""
+        if not texts:
             return []
-        if not self.by_word or "  " in text or text[0] == " " or MARK in text:
-            return self.ids_of(MARK + text.replace(" ", MARK))
-        split = MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")
-        if text[0] not in ".," and not self.into_stop.search(text):
-            split = split.replace(".", " .").replace(",", " ,")
-        known, ids = self.parts.young.get, []
-        for part in split.split(" "):
-            if part:
-                ids.extend(known(part) or self.ids_of(part))
-        return ids
+        odd = [
+            not t or not self.by_word or "  " in t or t[0] in " .," or MARK in t or "\0" in t or bool(self.into_stop.search(t))
+            for t in texts
+        ]
+        marked = [
+            "" if o else (MARK + t.replace(" ", f"\0{MARK}")).replace("\n", "\0\n\0").replace(".", "\0.").replace(",", "\0,")
+            for t, o in zip(texts, odd)
+        ]
+        cut = pc.split_pattern(pa.array(marked, pa.string()), "\0")
+        coded = cut.flatten().dictionary_encode()
+        which = coded.indices.to_numpy()
+        flat, first, sizes = self.parts.lists_of(coded.dictionary, lambda new: [self.ids_of(t) for t in new])
+        ids, ends = ragged(flat, first[which], sizes[which])
+        bounds = np.append(0, ends)[cut.offsets.to_numpy()].tolist()
+        return [np.array(self.encode(t), np.uint32) if o else ids[a:b] for t, o, a, b in zip(texts, odd, bounds, bounds[1:])]
 
     def as_decimal(self, ids: list[int]) -> str:
         """Ids as decimal numbers joined by commas."""
@@ -235,11 +245,9 @@ def encoded(
 
     def work(rows):
         own = codec(model_file)
-        try:
-            for key, text in rows:
-                yield (key, *finish(own, own.encode(text)))
-        finally:  # workers outlive tasks; what they hold meanwhile is memory that others need
-            own.pairs, own.parts = Store(MAX_PAIRS), Store(MAX_PARTS)
+        for some in together(rows, TOGETHER):
+            for (key, _), ids in zip(some, own.encode_all([text or "" for _, text in some])):
+                yield (key, *finish(own, ids.tolist()))
 
     return map_rows(source, work, f"{ddl(source.drop(text_col))}, {columns}")
 

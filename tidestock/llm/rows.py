@@ -51,6 +51,19 @@ def map_rows(df: DataFrame, func: Callable[[Iterator[tuple]], Iterable[tuple]],
     return df.mapInArrow(run, schema)
 
 
+def together(rows: Iterable[tuple], characters: int) -> Iterator[list[tuple]]:
+    """Lists of rows ``(key, text)`` with about so many characters."""
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row[1] or "")
+        if size >= characters or len(some) >= MAX_ROWS:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
     """``df`` with columns c0, c1, ... so that no column clashes with an operator's own, and the new names of ``names``."""
     columns = df.columns

@@ -91,7 +91,7 @@ class PackedStore:
         if len(self.keys) + len(keys) > self.bound or self.used + len(numbers) > 16 * self.bound:
             self.clear()
         if self.used + len(numbers) > len(self.flat):
-            self.flat = np.append(self.flat[:self.used], np.zeros(self.used + 2 * len(numbers), np.uint32))
+            self.flat = np.append(self.flat[:self.used], np.zeros(self.used // 2 + len(numbers), np.uint32))
         self.flat[self.used:self.used + len(numbers)] = numbers
         first = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
         self.used += len(numbers)
@@ -99,3 +99,23 @@ class PackedStore:
         at = np.searchsorted(self.keys, keys[order])
         self.keys, self.checks = np.insert(self.keys, at, keys[order]), np.insert(self.checks, at, checks[order])
         self.first, self.sizes = np.insert(self.first, at, first[order]), np.insert(self.sizes, at, sizes[order])
+
+    def lists_of(self, strings: pa.StringArray, compute) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(numbers, first, size)``: where in ``numbers`` each string's list is.
+
+        ``compute`` makes the lists of those strings that aren't known.
+        """
+        keys, checks = string_hashes(strings)
+        at, there = self.find(keys, checks)
+        while not there.all():  # a second time if the store has just forgotten those found before
+            new = np.flatnonzero(~there)
+            self.add(keys[new], checks[new], compute(strings.take(pa.array(new)).to_pylist()))
+            at, there = self.find(keys, checks)
+        return self.flat, self.first[at], self.sizes[at].astype(np.int64)
+
+
+def ragged(numbers: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists one after the other, and where each ends."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return numbers[np.repeat(first - ends + sizes, sizes) + np.arange(total)], ends

@@ -36,8 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestock.llm.rows import map_rows
-from tidestock.llm.store import PackedStore, string_hashes
+from tidestock.llm.rows import map_rows, together
+from tidestock.llm.store import PackedStore, ragged
 from tidestock.session import staged
 
 BLOCK, SEGMENT_IDS, PERCENTILE = 128, 1 << 16, 90
@@ -115,19 +115,9 @@ class WordEncoder:
         cut = pc.split_pattern(pa.array(marked, pa.string()), "\0")
         starts = cut.offsets.to_numpy()
         coded = cut.flatten().dictionary_encode()
-        which, store = coded.indices.to_numpy(), self.store
-        keys, checks = string_hashes(coded.dictionary)
-        at, there = store.find(keys, checks)
-        new = np.flatnonzero(~there)
-        if len(new):
-            store.add(keys[new], checks[new], self.stretches(coded.dictionary.take(pa.array(new)).to_pylist()))
-            at, there = store.find(keys, checks)
-            if not there.all():  # the store has forgotten those found before
-                new = np.flatnonzero(~there)
-                store.add(keys[new], checks[new], self.stretches(coded.dictionary.take(pa.array(new)).to_pylist()))
-                at, there = store.find(keys, checks)
-        flat, first, sizes = store.flat, store.first[at] + 1, store.sizes[at].astype(np.int64) - 1
-        marks = flat[first - 1]
+        which = coded.indices.to_numpy()
+        flat, first, sizes = self.store.lists_of(coded.dictionary, self.stretches)
+        marks, first, sizes = flat[first], first + 1, sizes - 1
 
         # a text is odd, too, if two white spaces meet or a stop doesn't follow a letter or digit
         own = marks[which]
@@ -139,9 +129,7 @@ class WordEncoder:
         bad[1:] |= after
         odd |= np.logical_or.reduceat(bad, starts[:-1])
 
-        lengths = sizes[which]
-        ends = np.cumsum(lengths)
-        ids = flat[np.repeat(first[which] - ends + lengths, lengths) + np.arange(ends[-1])]
+        ids, ends = ragged(flat, first[which], sizes[which])
         bounds = np.append(0, ends)[starts]
         return [self.encode(t) if o else ids[a:b] for t, o, a, b in zip(texts, odd.tolist(), bounds.tolist(), bounds[1:].tolist())]
 
@@ -252,19 +240,6 @@ class Segment:
             at += n
 
 
-def together(rows):
-    """Lists of rows ``(key, text)`` with about ``TOGETHER`` characters."""
-    some, size = [], 0
-    for row in rows:
-        some.append(row)
-        size += len(row[1])
-        if size >= TOGETHER:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
 def write_tokens(
     docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -277,7 +252,7 @@ def write_tokens(
         own, part = encoder(tokenizer_file), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4")
         keys, arrays, held, seq, before = [], [], 0, 0, 0
-        for some in together(rows):
+        for some in together(rows, TOGETHER):
             for (key, _), ids in zip(some, own.encode_all([text for _, text in some])):
                 keys.append(key)
                 arrays.append(np.concatenate([ids, end]))
