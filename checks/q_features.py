@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.testbed import EVENT_NAMES, Testbed
-from tidestock.functions.numeric import floor_zero
+from tidestock.functions.numeric import floor_zero, one_row
 from tidestock.operators import encoding, facts, features, outliers, splits, windows
 
 
@@ -427,18 +427,42 @@ def zscore_outlier_share(t: Testbed):
     return outliers.zscore_outlier_share(t.daily_table(spiked=True))
 
 
-@query("preprocess_pipeline", "SELECT s.* FROM t_spiked s, t_bounds b WHERE s.qty BETWEEN b.lower_bound AND b.upper_bound")
+_KEY = ["item_id", "invoice_date", "site"]
+
+
+@query(
+    "preprocess_pipeline",
+    """SELECT detector, n_rows, n_outliers, n_rows - n_removed AS n_kept FROM
+       (SELECT count(*) AS n_rows, count(*) FILTER (qty < lower_bound OR qty > upper_bound) AS n_removed FROM t_spiked, t_bounds),
+       (SELECT 'iqr' AS detector, count(*) AS n_outliers FROM t_spiked, t_bounds WHERE qty < lower_bound OR qty > upper_bound
+        UNION ALL SELECT 'zscore', count(*) FILTER (z > 3)
+        FROM (SELECT abs(qty - avg(qty) OVER ()) / stddev_pop(qty) OVER () AS z FROM t_spiked))""",
+)
 def preprocess_pipeline(t: Testbed):
-    return outliers.clean(t.daily_table(spiked=True))
+    """The exact detectors beside what is kept; the forest's row is checked by ``preprocess_forest_share``."""
+    seen = outliers.preprocess(t.daily_table(spiked=True), _KEY)
+    kept = seen["rows"].agg(F.count("*").alias("n_kept"))
+    rows = seen["detectors"].where("detector <> 'isolation_forest'").drop("share_pct")
+    return rows.withColumn("n_kept", one_row(kept)["n_kept"])
+
+
+@query("preprocess_forest_share", "SELECT count(*) AS n_rows, true AS is_small_share FROM t_spiked")
+def preprocess_forest_share(t: Testbed):
+    seen = outliers.preprocess(t.daily_table(spiked=True), _KEY)
+    return seen["detectors"].where("detector = 'isolation_forest'").select("n_rows", (F.col("share_pct") <= 5).alias("is_small_share"))
 
 
 @query(
     "preprocess_winsor",
-    """SELECT invoice_date, site, item_id, least(greatest(qty, lower_bound), upper_bound) AS qty, last_price
-       FROM t_spiked, t_bounds""",
+    """SELECT round(avg(least(greatest(qty, lower_bound), upper_bound)), 6) AS mean_after, count(*) AS n_after,
+              round((SELECT avg(qty) FROM t_spiked), 6) AS mean_before FROM t_spiked, t_bounds""",
+    {"mean_after": 6, "mean_before": 6},
 )
 def preprocess_winsor(t: Testbed):
-    return outliers.clean(t.daily_table(spiked=True), method="winsor")
+    seen = outliers.preprocess(t.daily_table(spiked=True), _KEY, method="winsor")
+    before = one_row(seen["describe"])["mean"]
+    after = seen["rows"].agg(F.avg("qty").alias("mean_after"), F.count("*").alias("n_after"))
+    return after.withColumn("mean_before", before)
 
 
 @query("masked_p99_cap", f"SELECT invoice_date, round({_CAPPED}, 6) AS qty FROM t_flagged", {"qty": 6})

@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidestock.models import regressors, store
+from tidestock.models.linear import ItemLinearModel
 from tidestock.models.isolation import isolation_forest, mean_path
 from tidestock.models.regressors import INPUTS, Settings
 from tidestock.operators import series
@@ -200,6 +201,27 @@ def test_models_do_not_depend_on_partitioning(spark):
     assert one.select("invoice_date", "prediction").exceptAll(two.select("invoice_date", "prediction")).count() == 0
 
 
+def test_linear_model_equals_dummy_regression(spark):
+    rows = model_rows(spark, 300)
+    data = rows.toPandas()
+    model = regressors.fit_linear(rows)
+    dummies = pd.get_dummies(data["item_id"]).to_numpy(float)
+    x = np.hstack([data[regressors.NUMERIC_INPUTS].to_numpy(float), dummies])
+    want = x @ np.linalg.lstsq(x, data["qty"].to_numpy(), rcond=None)[0]
+    got = model.transform(rows).select("invoice_date", "raw_prediction").toPandas().sort_values("invoice_date")
+    assert np.allclose(got["raw_prediction"], want[np.argsort(data["invoice_date"])])
+    folder = new_path(spark, "linear")
+    model.save(folder)
+    again = ItemLinearModel.load(spark, folder)
+    unseen = rows.limit(1).withColumn("item_id", F.lit("new"))
+    assert again.transform(unseen).first()["raw_prediction"] == pytest.approx(model.transform(unseen).first()["raw_prediction"])
+
+
+def test_forests_may_use_all_inputs():
+    forest = regressors.base_estimators(Settings())["random_forest"]
+    assert forest.getFeatureSubsetStrategy() == "all" and forest.getMaxBins() == Settings.max_bins
+
+
 def test_out_of_fold_covers_each_row_once(spark):
     rows = model_rows(spark, 200)
     vectors = regressors.training_vectors(

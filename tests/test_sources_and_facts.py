@@ -194,3 +194,18 @@ def test_value_counts_top(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), (None,)], "k string")
     assert [tuple(r) for r in facts.value_counts(df, "k", top=1).collect()] == [("a", 2)]
     assert facts.value_counts(df.withColumn("x", F.lit(1)), "x").first()["n_rows"] == 4
+
+
+def test_latest_values_need_no_sort(spark):
+    raw = lines(spark)
+    daily = facts.attach_last_price(facts.daily_sales(raw), facts.last_price(raw, ["seq"]))
+    for df in (facts.last_price(raw, ["seq"]), facts.last_price(raw), facts.item_stats(daily)):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_item_stats_takes_the_last_known_values(spark):
+    rows = [("A", date(2024, 1, 1), "S1", 1.0, 5.0), ("A", date(2024, 1, 3), "S1", 2.0, None), ("A", date(2024, 1, 3), "S2", 9.0, None),
+            ("A", date(2024, 1, 2), "S9", 4.0, 7.0), ("B", date(2024, 1, 1), "S1", None, None)]
+    daily = spark.createDataFrame(rows, "item_id string, invoice_date date, site string, qty double, last_price double")
+    got = {r["item_id"]: tuple(r)[1:] for r in facts.item_stats(daily).collect()}
+    assert got == {"A": (4.0, 9.0, 7.0), "B": (None, None, None)}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -18,16 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.functions.numeric import floor_zero
-from tidestock.operators.encoding import one_hot_item, standard_scale
+from tidestock.models.linear import ItemLinearModel, fit_item_linear
+from tidestock.operators.features import FEATURES
 from tidestock.operators.metrics import regression_metrics
 from tidestock.operators.splits import with_fold
 from tidestock.session import staged
 
 # Model inputs (the item enters as its label code) and default settings.
-INPUTS = [
-    "day", "year", "weekday", "item_code", "qty_mean_item", "qty_mean_item_month",
-    "qty_lag_1", "month", "qty_lag_7", "quarter",
-]
+INPUTS = ["item_code" if c == "item_id" else c for c in FEATURES]
 NUMERIC_INPUTS = [c for c in INPUTS if c != "item_code"]
 ROW_KEY = ("item_id", "invoice_date", "site")
 SEED = 42
@@ -36,7 +36,12 @@ IMPORTANCE_DEPTH = 5
 
 @dataclass(frozen=True)
 class Settings:
-    """Sizes of the ensemble models; depth of the forest is bounded because trees are held in memory."""
+    """Sizes of the ensemble models.
+
+    The depth of the forest is bounded because trees are held in memory; ``max_bins`` is how many
+    ranges of an input, such as the item code, a split can tell apart. ``parallelism`` models are
+    fitted at a time.
+    """
 
     forest_trees: int = 100
     forest_depth: int = 12
@@ -49,6 +54,8 @@ class Settings:
     folds: int = 5
     ridge_alpha: float = 1.0
     scale_meta: bool = True
+    max_bins: int = 128
+    parallelism: int = 4
 
 
 HOLDOUT_SETTINGS = Settings(
@@ -63,13 +70,16 @@ def assembler(inputs: Sequence[str] = tuple(INPUTS)) -> VectorAssembler:
 def base_estimators(s: Settings, label: str = "qty") -> dict[str, object]:
     """Forest, shallow boosting and deep boosting, keyed by model name."""
     forest = RandomForestRegressor(
-        labelCol=label, numTrees=s.forest_trees, maxDepth=s.forest_depth, seed=SEED,
+        labelCol=label, numTrees=s.forest_trees, maxDepth=s.forest_depth, seed=SEED, maxBins=s.max_bins,
+        featureSubsetStrategy="all",
     )
     shallow = GBTRegressor(
         labelCol=label, maxIter=s.boost_rounds, maxDepth=s.boost_depth, stepSize=s.boost_step, seed=SEED,
+        maxBins=s.max_bins,
     )
     deep = GBTRegressor(
         labelCol=label, maxIter=s.deep_rounds, maxDepth=s.deep_depth, stepSize=s.deep_step, seed=SEED,
+        maxBins=s.max_bins,
     )
     models = {"random_forest": forest, "gbt": shallow, "gbt_deep": deep}
     for name, model in models.items():
@@ -77,16 +87,9 @@ def base_estimators(s: Settings, label: str = "qty") -> dict[str, object]:
     return models
 
 
-def fit_linear(train: DataFrame, test: DataFrame, label: str = "qty") -> DataFrame:
-    """Least squares on scaled numbers and the one-hot item; returns ``test`` with predictions."""
-    def vectors(df: DataFrame) -> DataFrame:
-        scaled = standard_scale(one_hot_item(df, train), NUMERIC_INPUTS, fit_on=train)
-        return assembler([*[f"{c}_scaled" for c in NUMERIC_INPUTS], "item_vector"]).transform(scaled)
-
-    model = LinearRegression(labelCol=label, regParam=0.0, predictionCol="raw_prediction").fit(
-        staged(vectors(train).select(label, "features"), "linear-train")
-    )
-    return _with_prediction(model.transform(vectors(test)), "raw_prediction")
+def fit_linear(train: DataFrame, label: str = "qty") -> ItemLinearModel:
+    """Least squares on the numeric inputs with an effect for each item."""
+    return fit_item_linear(train, NUMERIC_INPUTS, label)
 
 
 def _with_prediction(df: DataFrame, column: str) -> DataFrame:
@@ -98,21 +101,34 @@ def training_vectors(
 ) -> DataFrame:
     """Staged (label, features, *extra) in an order fixed by the row key.
 
-    Forests draw their samples by partition and row position; with rows placed and sorted by
-    key the same training set gives the same model however it was partitioned before.
+    Forests draw their samples by partition and row position; with rows placed by key in a set
+    number of partitions and sorted, the same training set gives the same model however it was
+    partitioned before. Trees make many passes, so the number is not left to the size.
     """
     order = [*key, label]
     rows = assembler().transform(train).select(*dict.fromkeys([*order, "features", *extra]))
-    placed = rows.repartition(*key).sortWithinPartitions(*order)
+    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartition(partitions, *key).sortWithinPartitions(*order)
     return staged(placed.select(label, "features", *extra), "training-vectors")
 
 
+def as_pipeline(fitted, column: str = "raw_prediction") -> PipelineModel:
+    """A fitted base model behind the vector of inputs, writing ``column``."""
+    return PipelineModel([assembler(), fitted.copy().setPredictionCol(column)])
+
+
 def fit_single(
     name: str, train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
 ) -> PipelineModel:
     """One ensemble model as a pipeline that writes ``raw_prediction``."""
-    estimator = base_estimators(settings, label)[name].setPredictionCol("raw_prediction")
-    return PipelineModel([assembler(), estimator.fit(training_vectors(train, label, key))])
+    return as_pipeline(base_estimators(settings, label)[name].fit(training_vectors(train, label, key)))
+
+
+def fit_all(jobs: list, parallelism: int) -> list:
+    """Fitted models of ``(estimator, rows)`` pairs, some at a time."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        fit = inheritable_thread_target(lambda job: job[0].fit(job[1]))
+        return list(pool.map(fit, jobs))
 
 
 def out_of_fold(vectors: DataFrame, settings: Settings, label: str = "qty") -> DataFrame:
@@ -121,15 +137,15 @@ def out_of_fold(vectors: DataFrame, settings: Settings, label: str = "qty") -> D
     ``vectors`` is a staged table (label, features, fold); each fold's rows are scored by its
     own three models and the parts are united, so every row appears exactly once.
     """
-    parts = []
-    for fold in range(settings.folds):
-        rest, part = vectors.where(F.col("fold") != fold), vectors.where(F.col("fold") == fold)
-        for estimator in base_estimators(settings, label).values():
-            part = estimator.fit(rest).transform(part)
-        parts.append(part)
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
+    estimators = list(base_estimators(settings, label).values())
+    folds = range(settings.folds)
+    models = iter(fit_all([(e, vectors.where(F.col("fold") != k)) for k in folds for e in estimators], settings.parallelism))
+    united = None
+    for fold in folds:
+        part = vectors.where(F.col("fold") == fold)
+        for _ in estimators:
+            part = next(models).transform(part)
+        united = part if united is None else united.unionByName(part)
     return united
 
 
@@ -147,27 +163,40 @@ def fit_ridge(scored: DataFrame, alpha: float, scale: bool, label: str = "qty")
     return ridge.fit(scored)
 
 
-def fit_stacking(
-    train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
-) -> PipelineModel:
-    """Stacked model: out-of-fold base predictions feed a ridge regression.
+def fit_bases(vectors: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, object]:
+    """The three base models fitted on all rows of ``vectors``, by name."""
+    estimators = base_estimators(settings, label)
+    return dict(zip(estimators, fit_all([(e, vectors) for e in estimators.values()], settings.parallelism), strict=True))
+
+
+def stack(vectors: DataFrame, bases: dict[str, object], settings: Settings = Settings(), label: str = "qty") -> PipelineModel:
+    """Stacked model from fitted base models and their out-of-fold predictions on ``vectors``.
 
     The result is an ordinary pipeline: inputs -> vector -> three base models -> vector of
     their predictions -> ridge, writing ``raw_prediction``.
     """
-    vectors = training_vectors(with_fold(train, key, settings.folds), label, key, ["fold"])
-    bases = base_estimators(settings, label)
     meta_inputs = VectorAssembler(inputCols=[f"p_{name}" for name in bases], outputCol="meta_features")
     scored = staged(
         meta_inputs.transform(out_of_fold(vectors, settings, label)).select(label, "meta_features"),
         "out-of-fold",
     )
     ridge = fit_ridge(scored, settings.ridge_alpha, settings.scale_meta, label)
-    fitted = [estimator.fit(vectors) for estimator in bases.values()]
-    return PipelineModel([assembler(), *fitted, meta_inputs, ridge])
+    return PipelineModel([assembler(), *bases.values(), meta_inputs, ridge])
+
 
+def folded_vectors(train: DataFrame, settings: Settings, key: Sequence[str] = ROW_KEY, label: str = "qty") -> DataFrame:
+    return training_vectors(with_fold(train, key, settings.folds), label, key, ["fold"])
 
-def predict_rows(model: PipelineModel, rows: DataFrame) -> DataFrame:
+
+def fit_stacking(
+    train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
+) -> PipelineModel:
+    """Stacked model: out-of-fold base predictions feed a ridge regression."""
+    vectors = folded_vectors(train, settings, key, label)
+    return stack(vectors, fit_bases(vectors, settings, label), settings, label)
+
+
+def predict_rows(model: PipelineModel | ItemLinearModel, rows: DataFrame) -> DataFrame:
     """Rows with ``prediction``, not below 0; helper columns of the model are dropped."""
     scored = model.transform(rows)
     return _with_prediction(scored, "raw_prediction").select(*rows.columns, "prediction")
@@ -175,7 +204,7 @@ def predict_rows(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def feature_importance(train: DataFrame, label: str = "qty", inputs: Sequence[str] = tuple(NUMERIC_INPUTS)) -> DataFrame:
     """Importance of each numeric input in a shallow tree, largest first."""
-    vectors = assembler(inputs).transform(train).select(label, "features")
+    vectors = staged(assembler(inputs).transform(train).select(label, "features"), "importance-vectors")
     tree = DecisionTreeRegressor(labelCol=label, maxDepth=IMPORTANCE_DEPTH, seed=SEED).fit(vectors)
     weights = tree.featureImportances.toArray()
     rows = [(name, float(weight)) for name, weight in zip(inputs, weights, strict=True)]
@@ -184,22 +213,29 @@ def feature_importance(train: DataFrame, label: str = "qty", inputs: Sequence[st
     )
 
 
-def fit_models(train: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, PipelineModel]:
-    """The three ensemble models and the stacked one, fitted on one training set."""
-    models = {name: fit_single(name, train, settings, label=label) for name in base_estimators(settings, label)}
-    models["stacking"] = fit_stacking(train, settings, label=label)
-    return models
+def fit_models(train: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, object]:
+    """Linear, the three ensemble models and the stacked one on one training set; each base is fitted once."""
+    vectors = folded_vectors(train, settings, label=label)
+    bases = fit_bases(vectors, settings, label)
+    return {
+        "linear": fit_linear(train, label),
+        **{name: as_pipeline(fitted) for name, fitted in bases.items()},
+        "stacking": stack(vectors, bases, settings, label),
+    }
+
+
+def scored_rows(models: dict[str, object], test: DataFrame, label: str = "qty") -> DataFrame:
+    """(model, actual, prediction, *columns of the test rows) of every model."""
+    rows = None
+    for name, model in models.items():
+        part = predict_rows(model, test).withColumns({"model": F.lit(name), "actual": F.col(label)})
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def train_and_evaluate(
     train: DataFrame, test: DataFrame, settings: Settings = Settings(), label: str = "qty"
-) -> tuple[dict[str, PipelineModel], DataFrame]:
+) -> tuple[dict[str, object], DataFrame]:
     """(fitted models, metrics of the five models on one split, one row per model)."""
     models = fit_models(train, settings, label)
-    scored = {"linear": fit_linear(train, test, label)}
-    scored.update({name: predict_rows(model, test) for name, model in models.items()})
-    rows = None
-    for name, df in scored.items():
-        part = df.select(F.lit(name).alias("model"), F.col(label).alias("actual"), "prediction")
-        rows = part if rows is None else rows.unionByName(part)
-    return models, regression_metrics(rows, ["model"])
+    return models, regression_metrics(scored_rows(models, test, label), ["model"])

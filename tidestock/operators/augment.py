@@ -1,12 +1,14 @@
 """Synthetic rows derived from a feature table, with hash-derived randomness.
 
 Draws are made without replacement in hash order, so a set never has more rows than its
-pool. Ordering by a hash and limiting keeps only the wanted rows in every task.
+pool. A hash threshold keeps a small multiple of the wanted rows before they are ordered, so no
+task merges a full set from every partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,13 +25,27 @@ from tidestock.session import staged
 # Mixed columns, noise share and set sizes.
 NUMERIC = ["qty", "qty_mean_item", "qty_mean_item_month", "qty_lag_1", "qty_lag_7"]
 NOISE_FACTOR = 0.02
-N_INTERPOLATED = 300
-N_JITTERED = 300
-N_RARE = 200
+SLACK, SPARE = 4, 200
 ROW_KEY = ("item_id", "invoice_date", "site")
 NOT_NULL = ["qty_lag_1", "qty_lag_7", "qty_mean_item"]
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Rows of the drawn sets and the share of noise."""
+
+    interpolated: int = 300
+    jittered: int = 300
+    rare: int = 200
+    noise_factor: float = NOISE_FACTOR
+
+
+def _likely(df: DataFrame, draw: Column, n: int) -> DataFrame:
+    """Rows that can be among the ``n`` smallest draws: about ``SLACK * n + SPARE``, whatever the table size."""
+    rows = one_row(df.agg(F.count("*").alias("n")))["n"]
+    return df.where(draw * rows < SLACK * n + SPARE)
+
+
 def _recalendar(date: Column) -> dict[str, Column]:
     """Calendar fields of a moved row; the day number is kept from the source row."""
     fields = calendar_fields(date)
@@ -52,11 +68,17 @@ def gaussian_noise(df: DataFrame, factor: float = NOISE_FACTOR, key: Sequence[st
     return df.withColumns(noisy).withColumn("source", F.lit("gaussian_noise"))
 
 
-def interpolate_rows(df: DataFrame, n: int = N_INTERPOLATED, key: Sequence[str] = ROW_KEY) -> DataFrame:
-    """Points between neighbouring rows of an item, mixed with a weight in [0.2, 0.8)."""
+def interpolate_rows(df: DataFrame, n: int = Sizes.interpolated, key: Sequence[str] = ROW_KEY) -> DataFrame:
+    """Points between neighbouring rows of an item, mixed with a weight in [0.2, 0.8).
+
+    Only the items of likely rows are paired. A third of the likely rows may be the last of their
+    item, which have no neighbour; the threshold allows for that.
+    """
     columns = _numeric_of(df)
-    pairs = adjacent_rows(df, [*columns, "invoice_date"])
-    drawn = pairs.orderBy(uniform(row_key(key), "interpolate-pick"), *key).limit(n)
+    draw = uniform(row_key(key), "interpolate-pick")
+    items = _likely(df, draw, n).select("item_id").distinct()
+    pairs = adjacent_rows(df.join(items, "item_id", "left_semi"), [*columns, "invoice_date"])
+    drawn = pairs.orderBy(draw, *key).limit(n)
     weight = F.lit(0.2) + F.lit(0.6) * uniform(row_key(key), "interpolate-weight")
     following = F.col("next_row")
     days = F.datediff(following["invoice_date"], "invoice_date")
@@ -68,10 +90,11 @@ def interpolate_rows(df: DataFrame, n: int = N_INTERPOLATED, key: Sequence[str]
     return dated.select(*df.columns).withColumn("source", F.lit("interpolation"))
 
 
-def seasonal_jitter(df: DataFrame, n: int = N_JITTERED, key: Sequence[str] = ROW_KEY) -> DataFrame:
+def seasonal_jitter(df: DataFrame, n: int = Sizes.jittered, key: Sequence[str] = ROW_KEY) -> DataFrame:
     """Rows moved by -30 to 29 days with the quantity scaled by 0.95 to 1.05."""
     identity = row_key(key)
-    drawn = df.orderBy(uniform(identity, "jitter-pick"), *key).limit(n)
+    draw = uniform(identity, "jitter-pick")
+    drawn = _likely(df, draw, n).orderBy(draw, *key).limit(n)
     shift = F.floor(uniform(identity, "jitter-shift") * 60).cast("int") - 30
     scale = F.lit(0.95) + F.lit(0.10) * uniform(identity, "jitter-scale")
     moved = drawn.withColumns({
@@ -84,7 +107,7 @@ def seasonal_jitter(df: DataFrame, n: int = N_JITTERED, key: Sequence[str] = ROW
     return moved.withColumns(fields).withColumn("source", F.lit("seasonal_jitter"))
 
 
-def rare_mix(df: DataFrame, n: int = N_RARE, key: Sequence[str] = ROW_KEY) -> DataFrame:
+def rare_mix(df: DataFrame, n: int = Sizes.rare, key: Sequence[str] = ROW_KEY) -> DataFrame:
     """Mixtures of two rows from the lowest and highest tenth, weight in [0.3, 0.7).
 
     Two hash orders of the pool are paired by rank; ranks run over the ``n`` drawn rows only.
@@ -95,11 +118,11 @@ def rare_mix(df: DataFrame, n: int = N_RARE, key: Sequence[str] = ROW_KEY) -> Da
 
     def draw(side: str) -> DataFrame:
         order = [uniform(row_key(key), f"rare-{side}"), *[F.col(k) for k in key]]
-        picked = pool.orderBy(*order).limit(n)
+        picked = _likely(pool, order[0], n).orderBy(*order).limit(n)
         return picked.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
 
     other = draw("second").select("_rank", *[F.col(c).alias(f"_other_{c}") for c in columns])
-    mixed = draw("first").join(F.broadcast(other), "_rank").withColumn(
+    mixed = draw("first").join(other, "_rank").withColumn(
         "_weight", F.lit(0.3) + F.lit(0.4) * uniform(row_key(key), "rare-weight")
     )
     values = {
@@ -111,9 +134,12 @@ def rare_mix(df: DataFrame, n: int = N_RARE, key: Sequence[str] = ROW_KEY) -> Da
     return rows.select(*df.columns).withColumn("source", F.lit("rare_mix"))
 
 
-def union_augmented(df: DataFrame) -> DataFrame:
+def union_augmented(df: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     """Original rows and the four generated sets, aligned by column name."""
-    parts = [gaussian_noise(df), interpolate_rows(df), seasonal_jitter(df), rare_mix(df)]
+    parts = [
+        gaussian_noise(df, sizes.noise_factor), interpolate_rows(df, sizes.interpolated),
+        seasonal_jitter(df, sizes.jittered), rare_mix(df, sizes.rare),
+    ]
     united = df.withColumn("source", F.lit("original"))
     for part in parts:
         united = united.unionByName(part, allowMissingColumns=True)
@@ -124,12 +150,12 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def augmented_table(df: DataFrame) -> DataFrame:
+def augmented_table(df: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
     """Union, new label codes, NULL rows and exact duplicates removed.
 
     ``df`` feeds all five sets: pass a staged table. The union is staged as well, because
     the two dictionaries and the coded rows read it.
     """
     codes = {"site": "site_code", "item_id": "item_code"}
-    united = staged(union_augmented(df).drop(*codes.values()), "augmented")
+    united = staged(union_augmented(df, sizes).drop(*codes.values()), "augmented")
     return dedupe_rows(drop_incomplete(label_encode(united, codes), NOT_NULL))

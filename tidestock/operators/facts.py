@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +30,29 @@ def daily_purchases(lines: DataFrame) -> DataFrame:
     return daily_quantity(lines, ["invoice_date", "supplier", "item_id"])
 
 
+def day_order(df: DataFrame, date: str, sequence: str) -> Column:
+    """Date, then a whole number, as one decimal: an ordering that hash aggregation can hold."""
+    day = F.unix_date(F.col(date).cast("date")).cast("decimal(10,0)") * F.lit(Decimal(10**20))
+    return day + F.coalesce(F.col(sequence), F.lit(-(1 << 63))).cast("decimal(20,0)")
+
+
 def last_price(lines: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """Latest non-null unit price per item.
 
     ``tie_break`` columns make the order total where one item has several prices on its last
-    day. ``max_by`` keeps one candidate per item and task, so a hot item costs nothing extra.
+    day. With one whole number, or none, the aggregation over the lines is hash-based and keeps one
+    candidate per item and task. Other orders first narrow the lines to each item's last day.
     """
     known = with_keys(lines, ["item_id", "unit_price"])
-    newest = F.struct("invoice_date", *tie_break)
-    return known.groupBy("item_id").agg(F.max_by("unit_price", newest).alias("last_price"))
+    kinds = dict(known.dtypes)
+    if not tie_break or len(tie_break) == 1 and kinds[tie_break[0]] in ("tinyint", "smallint", "int", "bigint"):
+        newest = day_order(known, "invoice_date", tie_break[0]) if tie_break else F.unix_date(F.col("invoice_date").cast("date"))
+        return known.groupBy("item_id").agg(F.max_by("unit_price", newest).alias("last_price"))
+    days = known.groupBy(F.col("item_id").alias("_item")).agg(F.max("invoice_date").alias("_day"))
+    on_last = (F.col("item_id") == F.col("_item")) & (F.col("invoice_date") == F.col("_day"))
+    return known.join(days, on_last, "left_semi").groupBy("item_id").agg(
+        F.max_by("unit_price", F.struct(*tie_break)).alias("last_price")
+    )
 
 
 def attach_last_price(daily: DataFrame, price: DataFrame) -> DataFrame:
@@ -62,17 +77,27 @@ def mean_qty_by_item(df: DataFrame) -> DataFrame:
 
 
 def item_stats(daily: DataFrame, order: Sequence[str] = ("invoice_date", "site")) -> DataFrame:
-    """Per item: mean quantity, latest quantity (used for both lags) and latest price."""
-    newest = F.struct(*order)
+    """Per item: mean quantity, latest quantity (used for both lags) and latest price.
+
+    The last days come from a hash aggregation; only their rows, one for each site, are compared.
+    """
+    date, *ties = order
+    known = with_keys(daily, ["item_id"])
+    last_day = lambda c: F.max(F.when(F.col(c).isNotNull(), F.col(date)))
+    days = known.groupBy("item_id").agg(
+        F.avg("qty").alias("qty_mean_item"), last_day("qty").alias("_qty_day"), last_day("last_price").alias("_price_day")
+    )
+    on_last = (F.col(date) == F.col("_qty_day")) | (F.col(date) == F.col("_price_day"))
+    rows = known.join(days.drop("qty_mean_item"), "item_id").where(on_last)
 
-    def latest(column: str) -> Column:
-        return F.max_by(column, F.when(F.col(column).isNotNull(), newest))
+    def latest(column: str, day: str) -> Column:
+        there = (F.col(date) == F.col(day)) & F.col(column).isNotNull()
+        return F.array_max(F.collect_list(F.when(there, F.struct(*ties, F.col(column).alias("_value")))))["_value"]
 
-    return with_keys(daily, ["item_id"]).groupBy("item_id").agg(
-        F.avg("qty").alias("qty_mean_item"),
-        latest("qty").alias("qty_last"),
-        latest("last_price").alias("last_price"),
+    picked = rows.groupBy("item_id").agg(
+        latest("qty", "_qty_day").alias("qty_last"), latest("last_price", "_price_day").alias("last_price")
     )
+    return days.select("item_id", "qty_mean_item").join(picked, "item_id", "left")
 
 
 def monthly_revenue(df: DataFrame, qty: str, revenue: str) -> DataFrame:

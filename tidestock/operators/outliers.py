@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.functions.numeric import clamp, divide_or, one_row
 from tidestock.functions.quantiles import exact_quantiles
+from tidestock.models.isolation import isolation_forest
+from tidestock.operators.facts import describe
 
 # Default detection limits.
 IQR_LOWER_FACTOR = 1.5
@@ -100,14 +104,30 @@ def clean(df: DataFrame, column: str = "qty", method: str = "iqr") -> DataFrame:
     raise ValueError(f"unknown method {method!r}")
 
 
-def masked_cap(series: DataFrame, normal: Column, column: str = "qty", probability: float = 0.99) -> DataFrame:
-    """Cap normal days at their own quantile; other days keep their value.
+def preprocess(df: DataFrame, key: Sequence[str], column: str = "qty", method: str = "iqr") -> dict[str, DataFrame]:
+    """What the three detectors find, and the treated table.
 
-    ``series`` is a day-level table, so the exact quantile of its few thousand rows fits one task.
+    ``describe``: distribution of the column; ``detectors``: rows, outliers and share by the quartile
+    fences, the z-score and the isolation forest; ``rows``: the table after :func:`clean`. ``df`` is
+    read by each of them: pass a staged table. ``key`` identifies its rows.
     """
-    cap = one_row(series.agg(
-        F.percentile(F.when(normal, F.col(column)), F.lit(probability)).alias("cap")
-    ))["cap"]
+    bounds = iqr_bounds(df, column)
+    forest = isolation_forest(df, column, list(key))
+    parts = {
+        "iqr": iqr_outlier_share(df, bounds, column),
+        "zscore": zscore_outlier_share(df, column),
+        "isolation_forest": _share(forest, F.col("anomaly") == -1),
+    }
+    detectors = None
+    for name, part in parts.items():
+        row = part.select(F.lit(name).alias("detector"), *part.columns)
+        detectors = row if detectors is None else detectors.unionByName(row)
+    return {"describe": describe(df, column), "detectors": detectors, "rows": clean(df, column, method)}
+
+
+def masked_cap(series: DataFrame, normal: Column, column: str = "qty", probability: float = 0.99) -> DataFrame:
+    """Cap normal days at their own quantile; other days keep their value."""
+    cap = one_row(exact_quantiles(series.where(normal), column, {"cap": probability}))["cap"]
     value = F.col(column)
     return series.withColumn(column, F.when(normal & (value > cap), cap).otherwise(value))
 

@@ -12,6 +12,7 @@ from tidestock.operators.facts import (
     attach_last_price,
     daily_purchases,
     daily_sales,
+    day_order,
     last_price,
     with_keys,
 )
@@ -57,7 +58,7 @@ def staged_daily(lines: DataFrame, sequence: str) -> DataFrame:
         "daily-groups",
     )
     price = with_keys(groups, ["newest"]).groupBy("item_id").agg(
-        F.max_by("price", F.struct("invoice_date", "newest")).alias("last_price")
+        F.max_by("price", day_order(groups, "invoice_date", "newest")).alias("last_price")
     )
     daily = with_keys(groups, keys).drop("newest", "price")
     return staged(attach_last_price(daily, price), "daily-sales")

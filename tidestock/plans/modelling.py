@@ -20,7 +20,7 @@ from tidestock.models.regressors import (
 )
 from tidestock.models.store import load_model, save_model
 from tidestock.operators import series
-from tidestock.operators.augment import augmented_table
+from tidestock.operators.augment import Sizes, augmented_table
 from tidestock.operators.encoding import encode_with
 from tidestock.operators.features import feature_table
 from tidestock.operators.forecast import fitted_revenue_monthly, forecast_detail, forecast_features
@@ -31,7 +31,7 @@ from tidestock.operators.metrics import (
     regression_metrics,
     revenue_gap,
 )
-from tidestock.operators.outliers import clean
+from tidestock.operators.outliers import clean, preprocess
 from tidestock.operators.splits import holdout_month_split, random_split
 from tidestock.plans.planning import run_planning
 from tidestock.session import staged
@@ -104,20 +104,23 @@ def full_pipeline(
     folder: str,
     settings: Settings = Settings(),
     months: int = 12,
-    augment: bool = False,
+    augment: Sizes | None = None,
 ) -> dict[str, DataFrame]:
-    """Clean, build features, fit and compare models, save the stacked one, forecast and plan.
+    """Preprocess, build features, fit and compare models, save the stacked one, forecast and plan.
 
-    ``augment`` adds synthetic rows to the training part only.
+    ``augment`` adds synthetic rows of these sizes to the training part only. All models, those of
+    time series too, see the same treated rows.
     """
     spark = daily.sparkSession
-    features = staged_features(daily)
+    seen = preprocess(daily, SPLIT_KEY)
+    treated = staged(seen["rows"], "clean-daily")
+    features = staged(feature_table(treated), "features")
     train, test = random_split(features, SPLIT_KEY)
-    if augment:
-        enlarged = augmented_table(staged(train, "train")).drop("item_code", "site_code")
+    if augment is not None:
+        enlarged = augmented_table(staged(train, "train"), augment).drop("item_code", "site_code")
         train = staged(enlarged.join(item_codes(features), "item_id"), "augmented-train")
     models, scores = train_and_evaluate(train, test, settings)
-    scores = staged(scores.unionByName(series_scores(daily)), "scores")
+    scores = staged(scores.unionByName(series_scores(treated)), "scores")
     best = compare_models(scores)
 
     stacking, codes = models["stacking"], item_codes(features)
@@ -129,6 +132,8 @@ def full_pipeline(
     plan = run_planning(model_detail(stacking, features, codes, months), bom, stock_fg, stock_comp, stage=True)
     return {
         **plan,
+        "describe": seen["describe"],
+        "detectors": seen["detectors"],
         "scores": best,
         "importance": feature_importance(train),
         "fitted_monthly": fitted_revenue_monthly(predict_rows(stacking, features)),
