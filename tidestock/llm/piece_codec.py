@@ -10,7 +10,7 @@ the pieces per end, however long a run without spaces is.
 
 Two neighbouring characters that are neighbours in no piece are never joined, so a text falls into
 parts there (for the given vocabularies: before a space mark, at line ends, around most punctuation)
-whose encodings are independent. Each worker keeps bounded stores of parts and pair tests.
+whose encodings are independent. Each task keeps bounded stores of parts and pair tests.
 
 Characters outside the vocabulary become their UTF-8 bytes. Encoding has no begin or end ids and
 no sampling.
@@ -36,7 +36,7 @@ from tidestock.llm.store import PackedStore, Store, ragged
 
 MARK = "\u2581"
 NEVER = float("-inf")
-#: Bounds of a worker's stores.
+#: Bounds of a task's stores.
 MAX_PARTS, MAX_PAIRS = 2_000_000, 100_000
 #: Characters that are encoded together.
 TOGETHER = 1 << 20
@@ -245,9 +245,13 @@ def encoded(
 
     def work(rows):
         own = codec(model_file)
-        for some in together(rows, TOGETHER):
-            for (key, _), ids in zip(some, own.encode_all([text or "" for _, text in some])):
-                yield (key, *finish(own, ids.tolist()))
+        try:
+            for some in together(rows, TOGETHER):
+                for (key, _), ids in zip(some, own.encode_all([text or "" for _, text in some])):
+                    yield (key, *finish(own, ids.tolist()))
+        finally:  # workers outlive tasks; what they hold meanwhile is memory that others need
+            own.parts.clear()
+            own.pairs = Store(MAX_PAIRS)
 
     return map_rows(source, work, f"{ddl(source.drop(text_col))}, {columns}")
 
