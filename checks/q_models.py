@@ -33,8 +33,28 @@ def _split(t: Testbed):
     return splits.random_split(rows, SPLIT_KEY)
 
 
+def _vectors(t: Testbed):
+    keyed = splits.with_fold(_split(t)[0], SPLIT_KEY, Settings.folds)
+    return _shared(t, "vectors", lambda: regressors.training_vectors(keyed, "qty", extra=["fold", *SPLIT_KEY]))
+
+
+def _out_of_fold(t: Testbed):
+    return _shared(t, "out-of-fold", lambda: staged(
+        regressors.out_of_fold(_vectors(t)).select("qty", *SPLIT_KEY, "p_random_forest", "p_gbt", "p_gbt_deep"), "out-of-fold"
+    ))
+
+
 def _models(t: Testbed):
-    return _shared(t, "models", lambda: regressors.fit_models(_split(t)[0]))
+    """The five models, as ``fit_models`` makes them, from shared vectors and out-of-fold predictions."""
+    def build():
+        bases = regressors.fit_bases(_vectors(t))
+        return {
+            "linear": regressors.fit_linear(_split(t)[0]),
+            **{name: regressors.as_pipeline(fitted) for name, fitted in bases.items()},
+            "stacking": regressors.stack(_vectors(t), bases, scored=_out_of_fold(t)),
+        }
+
+    return _shared(t, "models", build)
 
 
 def _scored(t: Testbed):
@@ -115,12 +135,9 @@ def linear_orthogonal(t: Testbed):
     )
 
 
-@query("out_of_fold_rows", """SELECT item_id, invoice_date, site, 1 AS times FROM t_features""")
+@query("out_of_fold_rows", f"SELECT item_id, invoice_date, site, 1 AS times FROM t_features WHERE NOT {_U} < 0.2")
 def out_of_fold_rows(t: Testbed):
-    keyed = splits.with_fold(staged(feature_rows(t), "features"), SPLIT_KEY, Settings.folds)
-    vectors = regressors.training_vectors(keyed, "qty", extra=["fold", *SPLIT_KEY])
-    scored = regressors.out_of_fold(vectors)
-    return scored.groupBy(*SPLIT_KEY).agg(F.count("p_gbt_deep").cast("int").alias("times"))
+    return _out_of_fold(t).groupBy(*SPLIT_KEY).agg(F.count("p_gbt_deep").cast("int").alias("times"))
 
 
 @query(

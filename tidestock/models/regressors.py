@@ -55,7 +55,7 @@ class Settings:
     ridge_alpha: float = 1.0
     scale_meta: bool = True
     max_bins: int = 128
-    parallelism: int = 4
+    parallelism: int = 8
 
 
 HOLDOUT_SETTINGS = Settings(
@@ -101,14 +101,13 @@ def training_vectors(
 ) -> DataFrame:
     """Staged (label, features, *extra) in an order fixed by the row key.
 
-    Forests draw their samples by partition and row position; with rows placed by key in a set
-    number of partitions and sorted, the same training set gives the same model however it was
-    partitioned before. Trees make many passes, so the number is not left to the size.
+    Forests draw their samples by partition and row position; with rows placed and sorted by
+    key the same training set gives the same model however it was partitioned before. Trees make
+    many short passes, so the number of partitions follows the size.
     """
     order = [*key, label]
     rows = assembler().transform(train).select(*dict.fromkeys([*order, "features", *extra]))
-    partitions = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartition(partitions, *key).sortWithinPartitions(*order)
+    placed = rows.repartition(*key).sortWithinPartitions(*order)
     return staged(placed.select(label, "features", *extra), "training-vectors")
 
 
@@ -131,7 +130,7 @@ def fit_all(jobs: list, parallelism: int) -> list:
         return list(pool.map(fit, jobs))
 
 
-def out_of_fold(vectors: DataFrame, settings: Settings, label: str = "qty") -> DataFrame:
+def out_of_fold(vectors: DataFrame, settings: Settings = Settings(), label: str = "qty") -> DataFrame:
     """Base predictions of every row by models that did not see its fold.
 
     ``vectors`` is a staged table (label, features, fold); each fold's rows are scored by its
@@ -169,18 +168,20 @@ def fit_bases(vectors: DataFrame, settings: Settings = Settings(), label: str =
     return dict(zip(estimators, fit_all([(e, vectors) for e in estimators.values()], settings.parallelism), strict=True))
 
 
-def stack(vectors: DataFrame, bases: dict[str, object], settings: Settings = Settings(), label: str = "qty") -> PipelineModel:
+def stack(
+    vectors: DataFrame, bases: dict[str, object], settings: Settings = Settings(), label: str = "qty",
+    scored: DataFrame | None = None,
+) -> PipelineModel:
     """Stacked model from fitted base models and their out-of-fold predictions on ``vectors``.
 
     The result is an ordinary pipeline: inputs -> vector -> three base models -> vector of
-    their predictions -> ridge, writing ``raw_prediction``.
+    their predictions -> ridge, writing ``raw_prediction``. ``scored`` gives the out-of-fold
+    predictions where the caller has them already.
     """
     meta_inputs = VectorAssembler(inputCols=[f"p_{name}" for name in bases], outputCol="meta_features")
-    scored = staged(
-        meta_inputs.transform(out_of_fold(vectors, settings, label)).select(label, "meta_features"),
-        "out-of-fold",
-    )
-    ridge = fit_ridge(scored, settings.ridge_alpha, settings.scale_meta, label)
+    scored = out_of_fold(vectors, settings, label) if scored is None else scored
+    meta = staged(meta_inputs.transform(scored).select(label, "meta_features"), "out-of-fold")
+    ridge = fit_ridge(meta, settings.ridge_alpha, settings.scale_meta, label)
     return PipelineModel([assembler(), *bases.values(), meta_inputs, ridge])
 
 
