@@ -9,12 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import chat_trees, chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, suffix_dedup, token_files
+from tidestock.llm import chat_trees, chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_reply_trees": sql.REPLY_TREES, "op2_induced_suffixes": sql.REPEATED_STRINGS,
+    "op7_decontaminate": sql.BENCHMARK_SPANS, "op10_deletion_neighbourhood": sql.NEAR_LINES,
+}
 
 
 def query(build):
@@ -53,22 +56,6 @@ def op1_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-ORACLES["op1_reply_trees"] = r"""
-WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL
-  SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)
-)
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('<|im_start|>' || '<|im_end|>') + 2 + length(role) + length(text)
-      + len(regexp_extract_all(text, '<\\*\|'))) AS BIGINT) AS formatted_chars
-FROM turns GROUP BY conv_id
-"""
-
-
 @query
 def op2_induced_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     def digest(data, starts, stops):
