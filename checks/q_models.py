@@ -3,6 +3,8 @@
 Fitting is what takes the time, so the queries of one session and folder share their fits.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from checks.q_features import feature_rows
@@ -44,10 +46,17 @@ def _out_of_fold(t: Testbed):
     ))
 
 
+def _base(t: Testbed, name: str):
+    return _shared(t, f"base-{name}", lambda: regressors.base_estimators(Settings())[name].fit(_vectors(t)))
+
+
 def _models(t: Testbed):
     """The five models, as ``fit_models`` makes them, from shared vectors and out-of-fold predictions."""
     def build():
-        bases = regressors.fit_bases(_vectors(t))
+        names = list(regressors.base_estimators(Settings()))
+        _vectors(t)
+        with ThreadPoolExecutor(len(names)) as pool:
+            bases = dict(zip(names, pool.map(lambda name: _base(t, name), names), strict=True))
         return {
             "linear": regressors.fit_linear(_split(t)[0]),
             **{name: regressors.as_pipeline(fitted) for name, fitted in bases.items()},
@@ -66,7 +75,12 @@ def _scored(t: Testbed):
 
 def _scores(name: str):
     def build(t: Testbed):
-        return metrics.regression_metrics(_scored(t).where(F.col("model") == name))
+        train, test = _split(t)
+        if name in regressors.base_estimators(Settings()):
+            model = regressors.as_pipeline(_base(t, name))
+        else:
+            model = regressors.fit_linear(train) if name == "linear" else _models(t)[name]
+        return metrics.regression_metrics(regressors.predict_rows(model, test).withColumn("actual", F.col("qty")))
 
     return build
 
