@@ -16,7 +16,8 @@ MAX_ROWS, MAX_BYTES = 8192, 8 << 20
 
 
 def _weight(value) -> int:
-    return len(value) if isinstance(value, (str, bytes, list)) else 8
+    """Bytes of a Python value, roughly; a list element costs a pointer and an object."""
+    return len(value) if isinstance(value, (str, bytes)) else 36 * len(value) if isinstance(value, list) else 8
 
 
 def map_rows(df: DataFrame, func: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
