@@ -136,6 +136,42 @@ def test_shard_far_larger_than_memory(monkeypatch):
     assert (d.repeated_windows(bodies, keys) == want).all()
 
 
+def hot_corpus():
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    docs = [(k, text(60) + "https://www.example.org/about/terms?id=" + text(60)) for k in range(150)]
+    docs += [(k, text(60) + "All rights reserved by the holders of this collection, see the license file." + text(60)) for k in range(150, 300)]
+    return docs + [(300, docs[7][1][20:]), (301, docs[200][1][:150])]
+
+
+def test_hot_picked_hash_is_split_below_a_shard(spark, monkeypatch):
+    docs = hot_corpus()
+    monkeypatch.setattr(d, "SHARD_BYTES", 2500)
+    frame = spark.createDataFrame(docs, "key long, text string").selectExpr("key", "shiftrightunsigned(xxhash64(text), 33) version", "text")
+    largest = lambda rows: rows.selectExpr("picked", "n + 50 size").groupBy("picked").sum("size").agg({"sum(size)": "max"}).first()[0]
+    wanted = d.pair_fragments(d.cut_fragments(frame)).where("not repeat").drop("repeat")
+    split, repeats = d.split_hot(frame, wanted)
+    assert largest(wanted) > d.SHARD_BYTES >= largest(split)
+    assert repeats
+    assert result(frame.selectExpr("key doc_id", "text")) == plain(docs)
+
+
+@pytest.mark.parametrize("level", range(1, d.LEVELS + 1))
+def test_equal_windows_meet_in_one_part(level):
+    seen = {}
+    for _, text in hot_corpus():
+        data = text.encode()
+        for _, _, first, n in d.fragments(np.frombuffer(data, np.uint8), np.array([len(data)])):
+            for a, k in zip(first.tolist(), n.tolist()):
+                parts = d.parts_of(data[a:a + k + 49], level)
+                assert [w for _, _, b, m in parts for w in range(b, b + m)] == list(range(k))
+                for picked, _, b, m in parts:
+                    for w in range(a + b, a + b + m):
+                        assert seen.setdefault(data[w:w + 50], picked) == picked
+                if level == d.LEVELS:
+                    assert {m for *_, m in parts} == {1}
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     rows = QUERIES["op2_induced_suffixes"](spark, folder).collect()

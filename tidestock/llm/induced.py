@@ -10,6 +10,8 @@ Queues carry ``(position, common prefix)`` tuples. The common prefix of two neig
 one more than the least common prefix between their sources, so it is carried along, not compared.
 Queues beyond a memory budget go to a temporary file and are read back when their bucket's turn
 comes; texts beyond it are mapped from one. The files are scratch of one task and vanish with it.
+Only queues and text are spooled: types, runs, ranks and one whole bucket are arrays in memory, 39 bytes
+at the peak for each byte of text (measured on shards of 1 and 4 MB). Callers bound the text.
 
 Order and common prefixes are exact up to ``CAP`` characters; suffixes that agree further come in
 any order. A whole bucket is handled at once, with one numpy operation for each step.

@@ -14,7 +14,9 @@ smaller id, judged on the input. Every start of such a string is a *window*.
    from the texts and dealt to shards by the picked hash. A shard's suffixes are sorted by external
    induced sorting (:mod:`tidestock.llm.induced`), which carries common prefixes along; in each run
    of suffixes with a common prefix of 50 or more, windows of all but the least document are repeats.
-   A shard may be larger than memory: its queues are spooled to disk and its text is mapped.
+   A shard is held in memory. That is bounded because no picked hash has more than ``SHARD_BYTES`` there:
+   a hot one is split by more of its windows' content, which equal windows share, and steps 2 and 3
+   are taken for its parts (:func:`split_hot`).
 4. Repeated windows are gathered per document; their union is removed.
 
 Defined results: null and empty texts have no bytes; texts below 50 bytes stay whole; rows with equal
@@ -23,6 +25,9 @@ id are one document, so they don't remove each other's bytes; a null id comes fi
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from hashlib import blake2b
 from itertools import groupby
 
 import numpy as np
@@ -36,6 +41,8 @@ from tidestock.llm.rows import map_rows, staged_lean
 LENGTH, PICKED, SEED = 50, 29, 7
 STEP = PICKED - SEED
 SHARD_BYTES = 1 << 20
+#: Halvings of the places that the picked substring has in a window, until each is on its own.
+LEVELS = (STEP - 1).bit_length()
 #: Windows handled at a time, and rows of one picked hash that may wait for the next batch.
 PIECE, WAITING = 1 << 18, 1 << 18
 LOWEST = -(1 << 63)
@@ -228,27 +235,84 @@ def _runs(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - edges[::2]).tolist()))
 
 
-def compare_shards(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Repeated windows ``key, place, n`` among the ``wanted`` fragments ``picked, key, place, n``."""
-    size = wanted.agg(F.sum(F.col("n") + LENGTH)).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
+def cut_bodies(docs: DataFrame, wanted: DataFrame, emit: Callable, columns: str) -> DataFrame:
+    """The rows that ``emit(picked, key, place, body)`` makes of each of the ``wanted`` fragments and its bytes."""
     version = F.shiftright("place", 32).alias("version")
     start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("start")
     own = wanted.select("key", version, F.struct(start, "n", "picked").alias("cut")).groupBy("key", "version").agg(
         F.collect_list("cut").alias("cuts")
     )
 
-    def emit(rows):
+    def work(rows):
         for key, version, text, cuts in rows:
             data = text.encode()
             for c in cuts:
                 a = c["start"]
-                yield c["picked"] % shards, key, version << 32 | a, data[a:a + c["n"] + LENGTH - 1]
+                yield from emit(c["picked"], key, version << 32 | a, data[a:a + c["n"] + LENGTH - 1])
 
-    bodies = map_rows(
-        docs.join(own, ["key", "version"]).select("key", "version", "text", "cuts"), emit,
-        "shard int, key long, place long, body binary",
-    )
+    return map_rows(docs.join(own, ["key", "version"]).select("key", "version", "text", "cuts"), work, columns)
+
+
+def parts_of(body: bytes, level: int) -> list[tuple[int, int, int, int]]:
+    """Parts ``(picked, whole, first window, windows)`` of a fragment, both hashes signed.
+
+    The picked substring's place in the window, 0 to 21, falls into one of ``2 ** level`` ranges. What all
+    windows of a range have in common, 39 bytes at level 1 and 50 at the last, names the part. Place and
+    common bytes are content of the window, so equal windows meet again.
+    """
+    n, out = len(body) - LENGTH + 1, []
+    picked = int(picks(body + bytes(8), 1)[0])
+    first = 0
+    while first < n:
+        which = (picked - first << level) // STEP
+        low, high = -(-which * STEP >> level), -(-(which + 1) * STEP >> level) - 1
+        stop = min(n, picked - low + 1)
+        common = bytes([low, high]) + body[picked - low:picked - high + LENGTH]
+        name = lambda data, size: int.from_bytes(blake2b(data, digest_size=size).digest(), "little", signed=True)
+        out.append((name(common, 4), name(body[first:stop + LENGTH - 1], 8), first, stop - first))
+        first = stop
+    return out
+
+
+def hot_hashes(wanted: DataFrame) -> DataFrame:
+    """``picked`` hashes with more bytes than a shard."""
+    size = wanted.groupBy("picked").agg(F.sum(F.col("n") + LENGTH).alias("size"))
+    return staged_lean(size.where(F.col("size") > SHARD_BYTES).select("picked"), "hot-fragments")
+
+
+def split_hot(docs: DataFrame, wanted: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``wanted`` with hot picked hashes split, and frames ``key, place, n`` of repeats found on the way.
+
+    At the last level a part is one window and all its fragments are equal, so none but the least
+    document's stays: no hash is hot then, however many documents have it.
+    """
+    cool, repeats = [], []
+    for level in range(1, LEVELS + 1):
+        hot = hot_hashes(wanted)
+        if hot.isEmpty():
+            break
+        cool.append(wanted.join(hot, "picked", "left_anti").select("picked", "key", "place", "n"))
+
+        def emit(_, key, place, body, level=level):
+            for picked, whole, first, n in parts_of(body, level):
+                yield picked, whole, key, place + first, n
+
+        parts = cut_bodies(docs, wanted.join(hot, "picked", "left_semi"), emit, FRAGMENT)
+        pairs = staged_lean(pair_fragments(parts), "fragments")
+        repeats.append(pairs.where("repeat").select("key", "place", "n"))
+        wanted = pairs.where("not repeat").select("picked", "key", "place", "n")
+    return reduce(DataFrame.union, cool, wanted), repeats
+
+
+def compare_shards(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Repeated windows ``key, place, n`` among the ``wanted`` fragments ``picked, key, place, n``."""
+    size = wanted.agg(F.sum(F.col("n") + LENGTH)).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
+
+    def emit(picked, key, place, body):
+        yield picked % shards, key, place, body
+
+    bodies = cut_bodies(docs, wanted, emit, "shard int, key long, place long, body binary")
 
     def work(rows):
         for _, group in groupby(rows, key=lambda r: r[0]):
@@ -288,8 +352,9 @@ def repeated_spans(docs: DataFrame, finish, columns: str, id_col: str = "doc_id"
         F.coalesce(text_col, F.lit("")).alias("text"),
     )
     pairs = staged_lean(pair_fragments(cut_fragments(frame)), "fragments")
-    found = staged_lean(compare_shards(frame, pairs.where("not repeat").drop("repeat")), "repeats")
-    windows = pairs.where("repeat").select("key", "place", "n").union(found)
+    wanted, repeats = split_hot(frame, pairs.where("not repeat").drop("repeat"))
+    found = staged_lean(compare_shards(frame, wanted), "repeats")
+    windows = reduce(DataFrame.union, repeats, pairs.where("repeat").select("key", "place", "n").union(found))
     start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("start")
     own = windows.select("key", F.shiftright("place", 32).alias("version"), F.struct(start, "n").alias("w"))
     own = own.groupBy("key", "version").agg(F.collect_list("w.start").alias("starts"), F.collect_list("w.n").alias("counts"))
