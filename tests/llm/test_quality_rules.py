@@ -52,6 +52,20 @@ def test_query_against_plain_version(spark):
         assert not (r.base_failed and r.kept)
 
 
+def test_rules_that_hit_different_good_documents_stay_within_the_limit_together(spark):
+    good = [(i, [50 if i < 126 and i % 3 == k else 0 for k in range(3)]) for i in range(600)]  # 7 % by each rule
+    bad = [(1000 + i, [40] * 3) for i in range(100)]
+    measures = spark.createDataFrame(
+        [(i, "en", False, *severities) for i, severities in good + bad],
+        "doc_id long, stratum string, base_failed boolean, symbols int, shouting int, repetition int",
+    )
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in good + bad], "doc_id long, quality int")
+    judged = q.judge(measures, q.choose_cutoffs(measures, labels))
+    assert judged.where("doc_id < 1000 and not kept").count() <= 60
+    apart = measures.replace(50, 0, ["shouting", "repetition"]).replace(50, 30, ["symbols"])
+    assert q.judge(apart, q.choose_cutoffs(apart, labels)).where("not kept").count() == 100
+
+
 def junk(spark):
     words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda".split()
     rows, labels = [], []

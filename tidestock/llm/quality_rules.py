@@ -3,11 +3,13 @@
 Every document gets counts (:func:`measure`) and, from them, one severity of 0 to 100 per rule.
 A rule rejects a document whose severity reaches the cutoff of the document's stratum.
 :func:`choose_cutoffs` certifies cutoffs: with probability ``1 - error`` over the draw of the
-labelled rows, *no* certified cutoff of any stratum and rule rejects more than ``limit`` of the
-good documents of its stratum.
+labelled rows, in *no* stratum the certified cutoffs of all rules together reject more than
+``limit`` of the good documents that pass the base rules. Good documents that fail the base rules
+don't count: these rules are fixed, hold without labels and reject whatever the cutoffs are.
 
-The test is exact: a cutoff that rejects x of n good labelled documents has the p-value
-P(Binomial(n, limit) <= x). Within one stratum and rule the cutoffs are tested from the most
+As a document goes if any rule hits, each rule has an equal share of the limit, ``limit`` divided
+by the number of rules, whichever documents the rules hit. The test is exact: a cutoff that rejects
+x of n good labelled documents has the p-value P(Binomial(n, share) <= x). Within one stratum and rule the cutoffs are tested from the most
 lenient to the strictest and testing ends at the first failure (fixed-sequence testing, which
 needs no correction); across strata and rules the error is divided by their number (Bonferroni).
 Where the labels are too few to certify anything, the rule stays idle in that stratum.
@@ -133,6 +135,7 @@ def choose_cutoffs(
 ) -> DataFrame:
     """``stratum, rule, cutoff`` for every stratum and rule with a certified cutoff.
 
+    ``limit`` holds for what all rules of a stratum reject together, each having an equal share.
     Label counts by severity are aggregated over all labelled documents; each group that then
     reaches Python holds at most 101 rows.
     """
@@ -153,7 +156,7 @@ def choose_cutoffs(
         good, bad = [0] * (STEPS + 1), [0] * (STEPS + 1)
         for severity, g, b in zip(table["severity"], table["good"], table["bad"]):
             good[severity], bad[severity] = int(g), int(b)
-        cutoff = certified(good, bad, limit, error / tests)
+        cutoff = certified(good, bad, limit / len(RULES), error / tests)
         table = table.iloc[:1][["stratum", "rule"]].copy()
         table["cutoff"] = [cutoff or STEPS + 1]
         return table
