@@ -46,6 +46,31 @@ def test_long_runs_are_linear():
         pii.proposals(run)
 
 
+def test_long_values_are_proposed_whole():
+    key, late = "a1B2c3D4" * 50, "abcdefgh" * 10 + "7" + "ijklmnop" * 30
+    found = lambda text: {(k, p, text[a:b]) for k, p, a, b in pii.proposals(text)}
+    assert {("secret", 3, key), ("secret", 4, key)} <= found(f"my api_key = {key} and more")
+    assert ("secret", 4, late) in found(f"bearer {late} and more")
+    assert found("letters only " + "abcdefgh" * 50) == set()
+    for address in ("b" * 80 + " [at] mail [dot] example.org", "joe (at) " + "c" * 70 + ".a.b.c.d.e.example.com"):
+        assert ("email", 1, address) in found(f"write to {address}, please")
+    text = f"my api_key = {key}"
+    assert pii.votes_of(text, "secret", 13, 413, False)[-1] == 1
+
+
+def test_long_runs_of_wider_patterns_are_linear():
+    for run in ("a" * 300_000, "token=" * 50_000, "a[at]" * 60_000, "a[at]" + "a." * 150_000, "a-" * 150_000, "ab1" * 100_000):
+        pii.proposals(run + " (at) token: ")
+
+
+def test_long_secrets_are_added_whole(spark):
+    key = lambda i, n: "g".join(sha256(f"{i}-{k // 8}")[k % 8 * 4:][:4] for k in range(8 * n))
+    rows = [(i, f"some words here token = {key(i, 1 if i < 40 else 12)} more words") for i in range(60)]
+    out = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        assert [(s.kind, text[s.start:s.stop]) for s in out[i]] == [("secret", text[24:-11])]
+
+
 def test_em_separates_reliable_from_unreliable_votes():
     rng = np.random.default_rng(3)
     truth = rng.random(4000) < 0.3

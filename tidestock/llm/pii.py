@@ -41,11 +41,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
+#: The wider patterns take whole runs of any length; possessive repeats keep them linear.
 AT = re.compile(r"(?i)[\[({] ?at ?[\])}]")
-SPELLED = re.compile(r"(?<![\w.+-])[\w.+-]{1,64} ?[\[({] ?at ?[\])}] ?[\w-]{1,63}(?: ?(?:\.|[\[({] ?dot ?[\])}]) ?[\w-]{1,63}){1,4}", re.I)
+SPELLED = re.compile(r"(?<![\w.+-])[\w.+-]++ ?[\[({] ?at ?[\])}] ?[\w-]++(?: ?(?:\.|[\[({] ?dot ?[\])}]) ?[\w-]++)+", re.I)
 LOOSE_PHONE = re.compile(r"(?<![\w+.-])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])")
-ASSIGNED = re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d|auth)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-+/.=]{8,256})")
-RANDOM = re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,64}[0-9])[A-Za-z0-9_+/=-]{24,256}(?![A-Za-z0-9_+/=-])")
+ASSIGNED = re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d|auth)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_\-+/.=]{8,}+)")
+RANDOM = re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{24,}+")
 
 #: Word lists of the gazetteer and context labelers.
 TOP_DOMAINS = frozenset("com org net edu gov info io co de fr es uk it nl eu example test".split())
