@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidestock.functions.hashing import row_key, uniform
 from tidestock.operators import encoding, features, outliers, splits, windows
-from tidestock.operators.augment import augmented_table, gaussian_noise, rare_mix, union_augmented
+from tidestock.operators.augment import augmented_table, gaussian_noise, interpolate_rows, rare_mix, union_augmented
 
 START = date(2023, 1, 1)
 
@@ -201,6 +202,17 @@ def test_augmentation_invariants(spark):
     assert united.select(*drawn).exceptAll(again.select(*drawn)).count() == 0
 
 
+def test_interpolation_draws_all_it_can_from_a_long_tail_of_single_rows(spark):
+    table = spark.range(5060).selectExpr(
+        "CAST(IF(id < 60, id div 2, id) AS STRING) AS item_id", "date_add(DATE '2024-03-01', CAST(id % 2 AS INT)) AS invoice_date",
+        "'S' AS site", "CAST(id AS DOUBLE) AS qty",
+    )
+    draw = uniform(row_key(["item_id", "invoice_date", "site"]), "interpolate-pick")
+    first = table.where("qty < 60 and qty % 2 = 0").orderBy(draw).limit(10)
+    assert {r.item_id for r in interpolate_rows(table, 10).collect()} == {r.item_id for r in first.collect()}
+    assert interpolate_rows(table, 10).count() == 10
+
+
 def test_rare_mix_needs_two_rows(spark):
     df, _ = hot_daily(spark)
     one = features.mean_features(features.date_features(df)).where("item_id = 'D'")

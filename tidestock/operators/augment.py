@@ -40,9 +40,12 @@ class Sizes:
     noise_factor: float = NOISE_FACTOR
 
 
-def _likely(df: DataFrame, draw: Column, n: int) -> DataFrame:
-    """Rows that can be among the ``n`` smallest draws: about ``SLACK * n + SPARE``, whatever the table size."""
-    rows = one_row(df.agg(F.count("*").alias("n")))["n"]
+def _likely(df: DataFrame, draw: Column, n: int, fit: Column | None = None) -> DataFrame:
+    """Rows that can be among the ``n`` smallest draws: about ``SLACK * n + SPARE``, whatever the table size.
+
+    Where not all rows may be drawn, the aggregate ``fit`` counts those that may.
+    """
+    rows = one_row(df.agg((F.count("*") if fit is None else fit).alias("n")))["n"]
     return df.where(draw * rows < SLACK * n + SPARE)
 
 
@@ -71,12 +74,13 @@ def gaussian_noise(df: DataFrame, factor: float = NOISE_FACTOR, key: Sequence[st
 def interpolate_rows(df: DataFrame, n: int = Sizes.interpolated, key: Sequence[str] = ROW_KEY) -> DataFrame:
     """Points between neighbouring rows of an item, mixed with a weight in [0.2, 0.8).
 
-    Only the items of likely rows are paired. A third of the likely rows may be the last of their
-    item, which have no neighbour; the threshold allows for that.
+    Only the items of likely rows are paired. The last row of an item has no neighbour, so the
+    threshold is set by the number of rows less that of items.
     """
     columns = _numeric_of(df)
     draw = uniform(row_key(key), "interpolate-pick")
-    items = _likely(df, draw, n).select("item_id").distinct()
+    pairs = F.count("*") - F.count_distinct("item_id")
+    items = _likely(df, draw, n, pairs).select("item_id").distinct()
     pairs = adjacent_rows(df.join(items, "item_id", "left_semi"), [*columns, "invoice_date"])
     drawn = pairs.orderBy(draw, *key).limit(n)
     weight = F.lit(0.2) + F.lit(0.6) * uniform(row_key(key), "interpolate-weight")
