@@ -23,3 +23,9 @@ def edge_frame(spark, rows=EDGE, extra=True):
     if extra:
         frame = frame.selectExpr("doc_id", "text", "'en' as lang", "'s' as n_words", "1 as spans", "2L as size", "0 as _text0")
     return frame
+
+
+def thue_morse(n):
+    """The word of ``n`` letters a and b, and its complement: polynomials modulo powers of two can't tell them apart."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate({97: "b", 98: "a"})

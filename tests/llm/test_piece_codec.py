@@ -1,7 +1,7 @@
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import EDGE, FOLDER, documents, edge_frame
+from helpers import EDGE, FOLDER, documents, edge_frame, thue_morse
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,6 +48,12 @@ def test_long_runs(text):
     same(text)
 
 
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_polynomials_confuse(n):
+    texts = list(thue_morse(n))
+    assert [x.tolist() for x in CODEC.encode_all(texts)] == [LIBRARY.encode(t) for t in texts]
+
+
 def test_stores_are_bounded(monkeypatch):
     monkeypatch.setattr(piece_codec, "MAX_PARTS", 20)
     monkeypatch.setattr(piece_codec, "MAX_PAIRS", 3)

@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from helpers import EDGE, FOLDER, documents, edge_frame
+from helpers import EDGE, FOLDER, documents, edge_frame, thue_morse
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -51,6 +51,12 @@ def test_cuts_at_spaces(text):
     assert [x.tolist() for x in token_files.encoder(FILE).encode_all(["a", text, "b,"])] == [library(t) for t in ("a", text, "b,")]
 
 
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_polynomials_confuse(n):
+    texts = list(thue_morse(n))
+    assert [x.tolist() for x in token_files.encoder(FILE).encode_all(texts)] == [library(t) for t in texts]
+
+
 def test_stores_are_bounded(monkeypatch):
     monkeypatch.setattr(token_files, "MAX_STRETCHES", 20)
     own = token_files.WordEncoder(FILE)

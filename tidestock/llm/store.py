@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from itertools import chain
 
 import numpy as np
@@ -33,34 +34,15 @@ class Store:
         return len(self.young) + len(self.old)
 
 
-#: Two independent hashes of short byte strings: a random weight for each byte value, an odd base for each place.
-_RANDOM = np.random.default_rng(40)
-_WEIGHTS = _RANDOM.integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-
-
 def string_hashes(strings: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every string, from the array's bytes."""
-    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
-    lengths = np.diff(offsets)
-    out = np.zeros((2, len(strings)), np.uint64)
-    full = np.flatnonzero(lengths)
-    if len(full):
-        data = np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-        starts = offsets[full] - offsets[0]
-        place = np.arange(len(data)) - np.repeat(starts, lengths[full])
-        longest = int(lengths.max())
-        for k in range(2):
-            powers = np.cumprod(np.append(np.uint64(1), np.full(longest, _BASES[k], np.uint64)))
-            sums = np.add.reduceat(_WEIGHTS[k][data] * powers[place], starts)
-            sums += lengths[full].astype(np.uint64) * np.uint64(_BASES[1 - k])
-            sums = (sums ^ (sums >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            out[k, full] = sums ^ (sums >> np.uint64(29))
-    return out[0], out[1]
+    """The two halves of a 128-bit BLAKE2 digest of every string: no two different texts are known to share one."""
+    digests = b"".join(hashlib.blake2b(s.encode(), digest_size=16).digest() for s in strings.to_pylist())
+    halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
 
 
 class PackedStore:
-    """Lists of numbers by the two hashes of a string, about 40 bytes an entry.
+    """Lists of numbers by the two halves of a string's hash, about 40 bytes an entry.
 
     Forgets everything when the bound is reached.
     """
