@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import chat_trees, chosen_path, decontaminate, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files
+from tidestock.llm import chat_trees, chosen_path, decontaminate, exact_dedup, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -17,6 +17,7 @@ QUERIES = {}
 ORACLES = {
     "op1_reply_trees": sql.REPLY_TREES, "op2_induced_suffixes": sql.REPEATED_STRINGS,
     "op7_decontaminate": sql.BENCHMARK_SPANS, "op10_deletion_neighbourhood": sql.NEAR_LINES,
+    "op13_exact_dedup": sql.EQUAL_TEXTS,
 }
 
 
@@ -157,3 +158,10 @@ def op10_deletion_neighbourhood(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.col(n_lines).alias("n_lines"), F.col(n_removed).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(
+        table(spark, folder, "documents"), keep="largest", normalised=exact_dedup.lower_ascii
+    )

@@ -86,3 +86,10 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
        sha256(coalesce(body, '')) AS kept_sha256
 FROM documents d LEFT JOIN cut c ON c.doc_id = d.doc_id
 """
+
+EQUAL_TEXTS = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS body FROM documents)
+WINDOW same AS (PARTITION BY body)
+"""
