@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import chat_trees, chosen_path, decontaminate, exact_dedup, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files
+from tidestock.llm import chat_trees, chosen_path, decontaminate, exact_dedup, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files, whitening
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -160,6 +160,22 @@ def op10_deletion_neighbourhood(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_eigen_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    columns = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    model = whitening.fit_whitening(vectors)
+    if model is None:
+        return spark.createDataFrame([], columns)
+    white = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return white.select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long"), "whitened",
+        F.array(*map(F.lit, model.explained))[F.col("place")].alias("explained"),
+        F.lit(whitening.identity_error(vectors, model)).alias("identity_error"),
+    )
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(
