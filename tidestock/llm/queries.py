@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestock.llm import chat_trees, chosen_path, decontaminate, exact_dedup, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files, whitening
+from tidestock.llm import alignment, chat_trees, chosen_path, decontaminate, exact_dedup, line_dedup, piece_codec, pii, quality_rules, sharding, sql, suffix_dedup, token_files, whitening
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
@@ -160,6 +160,24 @@ def op10_deletion_neighbourhood(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_fragment_monoid(spark: SparkSession, folder: str) -> DataFrame:
+    def digest(groups, encoder):
+        return [
+            (int(a), int(b), int(n), sha256(w) if w else "")
+            for a, b, n, w in zip(groups.n_a, groups.n_b, groups.pieces, groups.written(encoder))
+        ]
+
+    columns = "n_a long, n_b long, n_groups long, groups_sha256 string"
+    blocks = alignment.link_blocks(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest, columns,
+    )
+    return alignment.document_links(blocks, columns).select(
+        F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+    )
+
+
 @query
 def op12_eigen_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
