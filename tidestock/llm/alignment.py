@@ -27,10 +27,12 @@ tokens and no groups; texts and ids may repeat, every row counts as a document;
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +50,8 @@ from tidestock.session import staged
 
 MARK = "▁"
 CHUNK, FAN_IN = 1 << 15, 8
-#: Bytes of text that are aligned together and make a block; id pairs of one group that are listed singly.
-TOGETHER, DIRECT = 1 << 21, 1 << 12
+#: Bytes of text that are aligned together, A tokens of a block, id pairs of one group that are listed singly.
+TOGETHER, BLOCK, DIRECT = 1 << 19, 1 << 20, 1 << 12
 MAX_STRETCHES = 400_000
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 BLANK_END, BAD = 1, 2
@@ -60,6 +62,7 @@ class PairEncoder:
     """Both tokenizers, the bytes of their ids, and a bounded store of stretches."""
 
     def __init__(self, a_file: str, b_file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.a, self.b = Tokenizer.from_file(a_file), sentencepiece.SentencePieceProcessor(model_file=b_file)
@@ -91,12 +94,24 @@ class PairEncoder:
         """Flags, number of A ids, A ids and B ids of each; all begin with a space."""
         a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
         b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        out = []
-        for s, x, y in zip(stretches, a, b):
-            y = y if len(s) > 1 else [self.b.piece_to_id(MARK)]
-            whole = s.encode()
-            same = b"".join([self.a_bytes[i] for i in x]) == whole == b"".join([self.b_bytes[i] for i in y])
-            out.append([BLANK_END * s[-1].isspace() + BAD * (not same), len(x), *x, *y])
+        if " " in stretches:
+            b[stretches.index(" ")] = [self.b.piece_to_id(MARK)]
+        bad = self.differing(stretches, a, self.a_bytes, self.a_lengths) | self.differing(stretches, b, self.b_bytes, self.b_lengths)
+        flags = [BLANK_END * s[-1].isspace() for s in stretches]
+        for k in np.flatnonzero(bad).tolist():
+            flags[k] |= BAD
+        return [[flag, len(x), *x, *y] for flag, x, y in zip(flags, a, b)]
+
+    @staticmethod
+    def differing(stretches: list[str], ids: list[list[int]], bytes_of: list[bytes], lengths: np.ndarray) -> np.ndarray:
+        """Which stretches their tokens don't give back."""
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
+        sums = np.append(0, np.cumsum(lengths[flat]))[np.append(0, np.cumsum(counts))]
+        whole = [s.encode() for s in stretches]
+        out = np.diff(sums) != np.fromiter(map(len, whole), np.int64, len(whole))
+        if out.any() or b"".join(map(bytes_of.__getitem__, flat.tolist())) != b"".join(whole):
+            out = np.array([b"".join(map(bytes_of.__getitem__, x)) != w for x, w in zip(ids, whole)])
         return out
 
     def look_up(self, marked: list[str], separator: str) -> tuple[np.ndarray, ...]:
@@ -378,23 +393,33 @@ def link_blocks(
         "entries binary, places binary, links binary, pairs array<long>, holders array<int>"
     )
 
+    def closed(number, some):
+        keys, rows, text, pair, count = zip(*some)
+        offsets = np.cumsum([0, *map(len, keys)])
+        pairs, place = np.unique(np.concatenate(pair), return_inverse=True)
+        entries = np.bincount(np.concatenate([t + o for t, o in zip(text, offsets)]), minlength=offsets[-1])
+        docs = [(key, *values) for key, values in zip(chain(*keys), chain(*rows))]
+        return (
+            number, docs, packed(entries), packed(place), packed(np.concatenate(count)),
+            pairs.tolist(), np.bincount(place, minlength=len(pairs)).tolist(),
+        )
+
     def blocks(some, own):
-        number = TaskContext.get().partitionId() << 32
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for keys, found in some:
             text, pair, count = found.links()
             pairs, place = np.unique(pair, return_inverse=True)
-            order = np.argsort(text * len(pairs) + place, kind="stable")
-            text, place, count = text[order], place[order], count[order]
-            new = np.append(True, (np.diff(text) != 0) | (np.diff(place) != 0))[:len(text)]
-            first = np.flatnonzero(new)
-            count = np.add.reduceat(count, first) if len(first) else count
-            text, place = text[first], place[first]
-            rows = [(key, *values) for key, values in zip(keys.to_pylist(), finish(found, own))]
-            number += 1
-            yield (
-                number, rows, packed(np.bincount(text, minlength=len(rows))), packed(place), packed(count),
-                pairs.tolist(), np.bincount(place, minlength=len(pairs)).tolist(),
-            )
+            code = text * len(pairs) + place
+            order = np.argsort(code, kind="stable")
+            first = np.flatnonzero(np.diff(code[order], prepend=-1))
+            count = np.add.reduceat(count[order], first) if len(first) else count
+            held.append((keys.to_pylist(), finish(found, own), text[order[first]], pair[order[first]], count))
+            size += len(found.a)
+            if size >= BLOCK:
+                yield closed(number, held)
+                number, held, size = number + 1, [], 0
+        if held:
+            yield closed(number, held)
 
     def batch_of(row, schema):
         return pa.RecordBatch.from_arrays([
@@ -416,7 +441,7 @@ def link_blocks(
         own = pair_encoder(*files)
         some = ((b.column(0), Fragments.of(b.columns[1:]).closed()) for batch in batches for b in fragment_slices(batch))
         for row in blocks(some, own):
-            row = (row[0] | 1 << 31, *row[1:])  # apart from those of short texts
+            row = (row[0] + (1 << 31), *row[1:])  # apart from those of short texts
             yield batch_of(row, schema)
 
     both = short.mapInArrow(whole, kinds).union(long_texts(long, files).mapInArrow(composed, kinds))
