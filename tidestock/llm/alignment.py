@@ -52,7 +52,7 @@ MARK = "▁"
 CHUNK, FAN_IN = 1 << 15, 8
 #: Bytes of text that are aligned together, A tokens of a block, id pairs of one group that are listed singly.
 TOGETHER, BLOCK, DIRECT = 1 << 19, 1 << 20, 1 << 12
-MAX_STRETCHES = 400_000
+MAX_STRETCHES = 300_000
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 BLANK_END, BAD = 1, 2
 FRAGMENT = "ok boolean, a array<int>, b array<int>, a_sizes array<int>, b_sizes array<int>"
@@ -338,7 +338,8 @@ def long_texts(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
     while highest:
         parts = parts.groupBy("row", F.floor(F.col("seq") / FAN_IN)).applyInArrow(meet, kinds)
         highest //= FAN_IN
-    return parts.select("key", "ok", "a", "b", "a_sizes", "b_sizes")
+    # written, so that no task holds the workers of two steps
+    return staged(parts.select("key", "ok", "a", "b", "a_sizes", "b_sizes"), "composed")
 
 
 def sources(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
