@@ -53,6 +53,33 @@ def stationarity_total(t: Testbed):
     return series.stationarity(_total(t))
 
 
+@query(
+    "stationarity_lag_1",
+    """
+SELECT series_id, CAST(n AS INTEGER) AS n_changes, 1 AS lags, round(b / sqrt((syy - b * sxy - c * swy) / (n - 3) * sww / det), 6) AS t_stat
+FROM (SELECT *, (sww * sxy - sxw * swy) / det AS b, (sxx * swy - sxw * sxy) / det AS c
+      FROM (SELECT *, sxx * sww - sxw * sxw AS det
+            FROM (SELECT series_id, count(*) AS n, var_pop(x) * n AS sxx, var_pop(w) * n AS sww, covar_pop(x, w) * n AS sxw,
+                         covar_pop(x, y) * n AS sxy, covar_pop(w, y) * n AS swy, var_pop(y) * n AS syy
+                  FROM (SELECT series_id, lag(z) OVER p AS x, lag(z) OVER p - lag(z, 2) OVER p AS w, z - lag(z) OVER p AS y
+                        FROM (SELECT *, qty - avg(qty) OVER (PARTITION BY series_id) AS z,
+                                     count(*) OVER (PARTITION BY series_id) AS days FROM t_item_filled) WHERE days >= 30
+                        WINDOW p AS (PARTITION BY series_id ORDER BY invoice_date))
+                  WHERE w IS NOT NULL GROUP BY series_id)))""",
+    {"t_stat": 6},
+)
+def stationarity_lag_1(t: Testbed):
+    """One lagged change, on series of 30 days at least (shorter ones may have no residual variance)."""
+    tested = series.augmented_stationarity(_items(t), 1, False)
+    return tested.where("n_changes >= 28").select("series_id", "n_changes", "lags", "t_stat")
+
+
+@query("stationarity_augmented")
+def stationarity_augmented(t: Testbed):
+    """Lagged changes chosen by AIC, with p-values."""
+    return series.augmented_stationarity(_items(t))
+
+
 @query(
     "difference_series",
     "SELECT invoice_date, qty, qty - lag(qty) OVER (ORDER BY invoice_date) AS change FROM t_filled",

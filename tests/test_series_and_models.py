@@ -10,7 +10,9 @@ from tidestock.models import regressors, store
 from tidestock.models.linear import ItemLinearModel
 from tidestock.models.isolation import isolation_forest, mean_path
 from tidestock.models.regressors import INPUTS, Settings
-from tidestock.operators import series
+from tidestock.operators import arma, series
+from tidestock.operators.seasonal import TrendTimesSeason
+from tidestock.operators.unitroot import augmented_dickey_fuller, default_lags, p_value
 from tidestock.session import new_path, staged
 
 START = date(2022, 1, 1)
@@ -41,7 +43,8 @@ def test_stationarity_matches_least_squares_on_gap_filled_values(spark):
     got = {r["series_id"]: r for r in series.stationarity(df).collect()}
     assert got["sparse"]["t_stat"] == pytest.approx(dickey_fuller(sparse), rel=1e-9)
     assert got["walk"]["t_stat"] == pytest.approx(dickey_fuller(walk), rel=1e-6)
-    assert series.unit_root_t(sparse) == pytest.approx(dickey_fuller(sparse))
+    plain = augmented_dickey_fuller(np.flatnonzero(sparse), sparse[sparse != 0], 0, False)
+    assert plain[2] == pytest.approx(dickey_fuller(sparse))
     assert (got["sparse"]["d"], got["walk"]["d"], got["short"]["d"], got["flat"]["d"]) == (0, 1, None, None)
 
 
@@ -95,12 +98,124 @@ def test_short_and_rough_series_are_fitted_and_stay_in_bounds(spark, forecast):
     assert np.isfinite(got["qty_forecast"]).all() and got["qty_forecast"].between(0, 5 * 97).all()
 
 
-def test_weights_that_fade(spark):
-    assert np.abs(np.roots([1, *-series.fading(np.array([1.5, 0.6, -0.1]))])).max() <= series.FADE + 1e-9
-    assert (series.fading(np.array([0.5, 0.1])) == [0.5, 0.1]).all()
+def test_weights_that_fade():
+    got = arma.fading(np.array([[1.5, 0.6, -0.1], [0.5, 0.1, 0.0], [0.6, 0.6, 0.6]]))
+    for row in got:
+        assert np.abs(np.roots([1, *-row])).max() <= arma.FADE + 1e-9
+    assert (got[1] == [0.5, 0.1, 0.0]).all()
     rng = np.random.default_rng(5)
     for n in (1, 2, 7, 40):
-        assert np.abs(np.roots([1, *-series.yule_walker(rng.normal(0, 1, n), 10)])).max() < 1 + 1e-9
+        assert np.abs(np.roots([1, *-arma.yule_walker(rng.normal(0, 1, (1, n)), 10)[0]])).max() < 1 + 1e-9
+
+
+def augmented(y, lags=None, choose=True):
+    """The test by least squares on all columns."""
+    change, most = np.diff(y), default_lags(len(y)) if lags is None else min(lags, len(y) // 2 - 2)
+
+    def fit(p, start):
+        t = np.arange(start, len(change))
+        x = np.column_stack([np.ones(len(t)), y[t], *[change[t - k] for k in range(1, p + 1)]])
+        weights = np.linalg.lstsq(x, change[t], rcond=None)[0]
+        rest = change[t] - x @ weights
+        return len(t), weights, rest @ rest, x
+
+    used = most
+    if choose:
+        used = int(np.argmin([n * np.log(sse / n) + 2 * p for p in range(most + 1) for n, _, sse, _ in [fit(p, most)]]))
+    n, weights, sse, x = fit(used, used)
+    return n, used, weights[1] / np.sqrt(sse / (n - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+
+
+@pytest.mark.parametrize("lags, choose", [(None, True), (0, False), (1, False), (5, True), (12, False)])
+def test_augmented_stationarity_matches_least_squares(spark, lags, choose):
+    rng = np.random.default_rng(9)
+    data = {f"walk{n}": np.cumsum(rng.normal(0, 1, n)) for n in (12, 60, 400)}
+    data |= {f"wave{n}": 20 + 5 * np.sin(np.arange(n)) + rng.normal(0, 1, n) for n in (9, 150)}
+    data["sparse"] = np.where(rng.random(900) < 0.1, rng.integers(1, 50, 900), 0).astype(float)
+    data["sparse"][[0, -1]] = 7.0
+    df = None
+    for name, y in data.items():
+        part = frame(spark, y, name, keep=lambda v: v != 0)
+        df = part if df is None else df.union(part)
+    df = df.union(frame(spark, [1.0, 2.0, 4.0], "short")).union(frame(spark, [4.0] * 30, "flat"))
+    got = {r["series_id"]: r for r in series.augmented_stationarity(df, lags, choose).collect()}
+    assert len(got) == len(data) + 2
+    for name, y in data.items():
+        r = got[name]
+        n, used, statistic = augmented(y, lags, choose)
+        assert (r["n_changes"], r["lags"]) == (n, used), name
+        assert r["t_stat"] == pytest.approx(statistic, rel=1e-6)
+        assert r["p_value"] == pytest.approx(p_value(statistic)) and r["d"] == int(r["p_value"] >= 0.05)
+    assert got["short"]["t_stat"] is got["flat"]["t_stat"] is got["flat"]["d"] is None
+
+
+def test_p_values_of_known_statistics():
+    for statistic, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
+        assert p_value(statistic) == pytest.approx(p, rel=0.03)
+    assert (p_value(-30.0), p_value(3.0)) == (0.0, 1.0) and p_value(-1.62) == pytest.approx(p_value(-1.60), rel=0.05)
+
+
+def simulated(ar, ma, n, days, seed):
+    rng = np.random.default_rng(seed)
+    shocks, y = rng.normal(0, 1, (n, days + 50)), np.zeros((n, days + 50))
+    for t in range(5, days + 50):
+        y[:, t] = shocks[:, t] + sum(w * y[:, t - 1 - k] for k, w in enumerate(ar)) + sum(w * shocks[:, t - 1 - k] for k, w in enumerate(ma))
+    return y[:, 50:]
+
+
+def responses(ar, ma, steps=8):
+    """What a shock of 1 adds to the values after it."""
+    out = [1.0]
+    for t in range(1, steps):
+        out.append((ma[t - 1] if t <= len(ma) else 0.0) + sum(w * out[t - 1 - k] for k, w in enumerate(ar) if k < t))
+    return np.array(out)
+
+
+def test_arma_fit_lowers_the_error_and_finds_the_process():
+    ar, ma = np.array([0.6, -0.3, 0.1, 0.0, 0.1]), np.array([0.5, 0.2])
+    y = simulated(ar, ma, 12, 6000, 3)
+    length = np.full(len(y), y.shape[1])
+    weights, shocks, error = arma.fit(y, length)
+    start = (arma.shocks_of(y, arma.start_weights(y, length)) ** 2).sum(axis=1)
+    true = (arma.shocks_of(y, np.tile(np.r_[ar, ma], (len(y), 1))) ** 2).sum(axis=1)
+    assert (error <= start).all() and (error <= true * (1 + 1e-4)).all()
+    assert np.allclose((shocks**2).sum(axis=1), error)
+    for row in weights:
+        assert np.allclose(responses(row[:5], row[5:]), responses(ar, ma), atol=0.06)
+
+
+def test_arma_batches_do_not_mix_series():
+    """A series gives the same forecast alone and beside longer ones; rough ones end, too."""
+    rng = np.random.default_rng(4)
+    parts = [rng.normal(0, 1, n).cumsum() for n in (3, 1, 40, 200)]
+    parts.append(np.where(rng.random(300) < 0.05, 9.0, 0.0))
+    matrix, length = series._aligned(parts)
+    together, aic = arma.paths(matrix, length, 20)
+    for k, y in enumerate(parts):
+        alone, own = arma.paths(y[None, :], np.array([len(y)]), 20)
+        assert np.allclose(alone[0], together[k], rtol=1e-5, atol=1e-6) and own[0] == pytest.approx(aic[k], rel=1e-6, abs=1e-4)
+    weights, _, error = arma.fit(matrix, length)
+    assert (error <= (arma.shocks_of(matrix, arma.start_weights(matrix, length)) ** 2).sum(axis=1)).all()
+    for row in weights:
+        assert max(np.abs(np.roots([1, *-row[:5]])).max(), np.abs(np.roots([1, *row[5:]])).max()) <= arma.FADE + 1e-9
+
+
+def test_trend_times_season_is_exact_without_noise():
+    days = np.arange(10_000, 11_500)
+    true = lambda d: (50 + 0.03 * (d - 10_000)) * (1 + 0.4 * np.sin(2 * np.pi * d / 365.25) + 0.2 * np.cos(2 * np.pi * d / 7))
+    model, ahead = TrendTimesSeason(days, true(days), 1500.0), np.arange(11_500, 11_860)
+    assert np.abs(model.at(ahead) - true(ahead)).max() < 1e-4 and model.spread < 1e-4
+    rng = np.random.default_rng(7)
+    gaps = np.sort(rng.choice(days, 700, replace=False))
+    assert np.abs(TrendTimesSeason(gaps, true(gaps), 1500.0).at(ahead) - true(ahead)).max() < 1e-2
+
+
+def test_trend_times_season_never_raises_its_error():
+    rng = np.random.default_rng(8)
+    for n in (2, 3, 10, 40, 300):
+        days = np.sort(rng.choice(1500, n, replace=False)) + 9_000
+        model = TrendTimesSeason(days, rng.integers(1, 98, n).astype(float), 1500.0)
+        assert (np.diff(model.errors) <= 1e-9 * model.errors[0]).all() and np.isfinite(model.at(days)).all()
 
 
 @pytest.mark.parametrize("level", [0.0, 1e2, 1e6, 1e8])
@@ -109,7 +224,7 @@ def test_stationarity_keeps_its_digits(spark, level):
     got = series.stationarity(frame(spark, y)).first()["t_stat"]
     # the values themselves carry rounding of 1e-16 times the level, which no computation can undo
     assert got == pytest.approx(dickey_fuller(y - level), rel=max(1e-9, 1e-15 * level))
-    assert got == pytest.approx(series.unit_root_t(y), rel=1e-6)
+    assert got == pytest.approx(augmented_dickey_fuller(np.arange(300), y, 0, False)[2], rel=1e-6)
 
 
 def test_naive_backtest_matches_brute_force(spark):

@@ -3,7 +3,7 @@
 A series is all rows with one ``series_id`` after summing per day, so a series never holds
 more rows than the calendar has days, however many raw rows the item has. Each series is packed
 into one row of arrays; Spark aggregates, shuffles and spreads these rows and a task fits a batch
-of them in numpy.
+of them in numpy (:mod:`arma`, :mod:`seasonal`, :mod:`unitroot`).
 
 Every method fits series of any length: short ones are held near their mean by penalties and by
 autocovariances that fade with the number of days. A series without variation has nothing to fit
@@ -22,12 +22,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidestock.operators import arma
+from tidestock.operators.arma import fading
 from tidestock.operators.metrics import regression_metrics
+from tidestock.operators.seasonal import TrendTimesSeason
+from tidestock.operators.unitroot import SIGNIFICANT, augmented_dickey_fuller
 
-# Model orders, window, horizons and the unit-root critical value.
+# Window, horizons and the critical value of the plain unit-root statistic.
 DICKEY_FULLER_5PCT = -2.86
-AR_ORDER, MA_ORDER, LONG_AR = 5, 2, 10
-YEARLY_TERMS, WEEKLY_TERMS = 10, 3
 INTERVAL_80 = 1.2816
 WINDOW = 30
 N_TEST = 30
@@ -35,8 +37,8 @@ DAYS_PER_MONTH = 30
 RIDGE = 1e-3
 #: Changes from which the regression behind the unit-root statistic has a residual variance.
 MIN_UNIT_ROOT = 3
-#: Largest modulus of the roots of a recursion.
-FADE = 0.995
+#: Series that a task fits together.
+BATCH = 256
 
 
 def as_series(daily: DataFrame, by: str | None = "item_id") -> DataFrame:
@@ -91,6 +93,27 @@ def stationarity(series: DataFrame) -> DataFrame:
     ).withColumn("d", F.when(F.col("t_stat").isNotNull(), F.when(F.col("t_stat") < DICKEY_FULLER_5PCT, 0).otherwise(1)))
 
 
+def augmented_stationarity(series: DataFrame, lags: int | None = None, choose: bool = True) -> DataFrame:
+    """Augmented Dickey-Fuller test of every gap-filled series: changes used, lagged changes, statistic,
+    p-value and differencing order.
+
+    ``lags`` bounds the lagged changes (by default it grows with the fourth root of the number of days);
+    ``choose`` takes the number with the least information criterion, else all of them are used.
+    A series that is too short or without variation has no statistic.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for names, rows in _batches(frames):
+            tested = [augmented_dickey_fuller(days, qty, lags, choose) or (None,) * 4 for days, qty, _ in rows]
+            n, used, statistic, p = zip(*tested)
+            order = [None if v is None else int(v >= SIGNIFICANT) for v in p]
+            out = pd.DataFrame({"series_id": names, "t_stat": pd.array(statistic, "Float64"), "p_value": pd.array(p, "Float64")})
+            for name, values in (("n_changes", n), ("lags", used), ("d", order)):
+                out[name] = pd.array(values, "Int32")
+            yield out[["series_id", "n_changes", "lags", "t_stat", "p_value", "d"]]
+
+    return packed_series(series).mapInPandas(run, "series_id string, n_changes int, lags int, t_stat double, p_value double, d int")
+
+
 def future_days(series: DataFrame, days: int) -> DataFrame:
     """The next ``days`` calendar days of every series."""
     last = series.groupBy("series_id").agg(F.max("invoice_date").alias("_last"))
@@ -110,21 +133,6 @@ def dense(days: np.ndarray, qty: np.ndarray, until: int) -> np.ndarray:
     return filled
 
 
-def unit_root_t(values: np.ndarray) -> float | None:
-    """t-statistic of the previous value in a regression of the daily change on it, as in :func:`stationarity`."""
-    if len(values) <= MIN_UNIT_ROOT:
-        return None
-    before, change = values[:-1] - values[:-1].mean(), np.diff(values)
-    change = change - change.mean()
-    spread, tiny = before @ before, 1e-12 * max(float(((values - values.mean()) ** 2).sum()), 1e-300)
-    if spread <= tiny:
-        return None
-    slope = (before @ change) / spread
-    rest = change - slope * before
-    variance = rest @ rest / (len(change) - 2)
-    return float(slope / np.sqrt(variance / spread)) if variance > tiny else None
-
-
 def lags(values: np.ndarray, width: int) -> np.ndarray:
     """Row t holds the ``width`` values before t, newest first; 0 before the first."""
     padded = np.concatenate([np.zeros(width), values])
@@ -135,158 +143,150 @@ def ridge_fit(x: np.ndarray, y: np.ndarray, penalty: float) -> np.ndarray:
     return np.linalg.solve(x.T @ x + penalty * np.eye(x.shape[1]), x.T @ y)
 
 
-def fading(weights: np.ndarray) -> np.ndarray:
-    """Weights of a recursion on its own past, shrunk so that all its roots stay within ``FADE``.
-
-    Multiplying the k-th weight by c^k multiplies every root by c.
-    """
-    companion = np.eye(len(weights), k=-1)
-    companion[0] = weights
-    largest = np.abs(np.linalg.eigvals(companion)).max()
-    if largest <= FADE:
-        return weights
-    return weights * (FADE / largest) ** np.arange(1, len(weights) + 1)
-
-
-def yule_walker(y: np.ndarray, order: int) -> np.ndarray:
-    """Autoregression from autocovariances divided by the number of days, which is always stationary."""
-    full = np.correlate(y, y, "full")[len(y) - 1:]
-    r = np.zeros(order + 1)
-    r[:min(len(full), order + 1)] = full[:order + 1]
-    toeplitz = r[np.abs(np.subtract.outer(np.arange(order), np.arange(order)))]
-    return np.linalg.solve(toeplitz + 1e-9 * r[0] * np.eye(order), r[1:])
-
-
-def arma_path(y: np.ndarray, steps: int) -> tuple[np.ndarray, float]:
-    """Forecast and AIC of a stationary and invertible ARMA model of a series around 0.
-
-    Shocks come from a long stationary autoregression; both parts are then fitted to the lags of
-    values and shocks, and shrunk where they would not fade.
-    """
-    shocks = y - lags(y, LONG_AR) @ yule_walker(y, LONG_AR)
-    scale = float(y @ y) / len(y)
-    weights = ridge_fit(np.hstack([lags(y, AR_ORDER), lags(shocks, MA_ORDER)]), y, RIDGE * scale * len(y))
-    ar, ma = fading(weights[:AR_ORDER]), -fading(-weights[AR_ORDER:])
-    rest = np.zeros(len(y) + MA_ORDER)
-    own = lags(y, AR_ORDER) @ ar
-    for t in range(len(y)):
-        rest[t + MA_ORDER] = y[t] - own[t] - ma @ rest[t:t + MA_ORDER][::-1]
-    sse = float(rest @ rest)
-    aic = len(y) * np.log(max(sse, 1e-12 * scale) / len(y)) + 2 * (len(weights) + 1)
-    past = list(np.concatenate([np.zeros(AR_ORDER), y])[-AR_ORDER:])
-    ahead = list(rest[-MA_ORDER:])
-    for _ in range(steps):
-        past.append(float(ar @ past[: -AR_ORDER - 1: -1] + ma @ ahead[: -MA_ORDER - 1: -1]))
-        ahead.append(0.0)
-    return np.array(past[AR_ORDER:]), float(aic)
-
-
-def calendar_terms(days: np.ndarray) -> np.ndarray:
-    """Yearly and weekly Fourier terms of day numbers."""
-    angles = [2 * np.pi * k * days / 365.25 for k in range(1, YEARLY_TERMS + 1)]
-    angles += [2 * np.pi * k * days / 7.0 for k in range(1, WEEKLY_TERMS + 1)]
-    return np.column_stack([f(a) for a in angles for f in (np.sin, np.cos)])
-
-
 # --- forecasts ------------------------------------------------------------------------------
 
 FORECAST = "series_id string, step int, forecast_date date, qty_forecast double, fitted boolean"
 EPOCH = np.datetime64("1970-01-01", "D")
 
 
-def _by_series(series: DataFrame, steps: int, fit: Callable, extra: dict[str, str]) -> DataFrame:
-    """Forecast rows of every series from ``fit(days, qty, last known day)``.
+Series = list[tuple[np.ndarray, np.ndarray, int]]
+Fitted = tuple[np.ndarray, np.ndarray, list[np.ndarray]]
+
 
-    ``fit`` returns the path, whether there was anything to fit, and the ``extra`` values. The last
-    known day is the last row's, unless a column ``until`` names a later one. Fitting is heavy for
+def packed_series(series: DataFrame) -> DataFrame:
+    """(series_id, days, qty, until): one row for each series, days as ascending numbers.
+
+    The last known day is the last row's, unless a column ``until`` names a later one. Fitting is heavy for
     few bytes, so the partition count is fixed: sized by bytes, a few tasks would get all series.
     """
     number = lambda c: F.datediff(c, F.lit("1970-01-01"))
     until = F.max(number("until")) if "until" in series.columns else F.max(number("invoice_date"))
-    packed = series.groupBy("series_id").agg(
-        F.array_sort(F.collect_list(F.struct(number("invoice_date").alias("day"), "qty"))).alias("rows"), until.alias("until")
-    ).select("series_id", F.col("rows.day").alias("days"), F.col("rows.qty").alias("qty"), "until")
+    rows = F.array_sort(F.collect_list(F.struct(number("invoice_date").alias("day"), "qty")))
+    packed = series.groupBy("series_id").agg(rows.alias("rows"), until.alias("until"))
     partitions = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.select("series_id", F.col("rows.day").alias("days"), F.col("rows.qty").alias("qty"), "until").repartition(
+        partitions, "series_id"
+    )
+
+
+def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list[str], Series]]:
+    for frame in frames:
+        for start in range(0, len(frame), BATCH):
+            part = frame.iloc[start:start + BATCH]
+            rows = [
+                (np.asarray(days, dtype=np.int64), np.asarray(qty, dtype=float), int(last))
+                for days, qty, last in zip(part["days"], part["qty"], part["until"])
+            ]
+            yield list(part["series_id"]), rows
+
+
+def _by_series(series: DataFrame, steps: int, fit: Callable[[Series], Fitted], extra: dict[str, str]) -> DataFrame:
+    """Forecast rows of every series from ``fit`` of a batch.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ``fit`` returns the paths, whether there was anything to fit, and the ``extra`` values, for each
+    series or for each of its steps.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         step = np.arange(1, steps + 1, dtype="int32")
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                parts = []
-                for name, days, qty, last in batch.iloc[start:start + 256].itertuples(index=False):
-                    path, fitted, values = fit(np.asarray(days, dtype=np.int64), np.asarray(qty, dtype=float), int(last))
-                    parts.append((name, last, path, fitted, values))
-                n = len(parts)
-                dates = np.concatenate([EPOCH + (p[1] + step.astype(np.int64)) for p in parts])
-                out = pd.DataFrame({
-                    "series_id": np.repeat(np.array([p[0] for p in parts], dtype=object), steps),
-                    "step": np.tile(step, n), "forecast_date": dates.astype("datetime64[ns]"),
-                    "qty_forecast": np.maximum(np.concatenate([p[2] for p in parts]), 0.0),
-                    "fitted": np.repeat([p[3] for p in parts], steps),
-                })
-                out["forecast_date"] = out["forecast_date"].dt.date
-                for k, name in enumerate(extra):
-                    out[name] = np.concatenate([np.broadcast_to(p[4][k], steps) for p in parts])
-                yield out
+        for names, rows in _batches(frames):
+            paths, fitted, values = fit(rows)
+            n = len(rows)
+            dates = np.concatenate([EPOCH + (last + step.astype(np.int64)) for _, _, last in rows])
+            out = pd.DataFrame({
+                "series_id": np.repeat(np.array(names, dtype=object), steps),
+                "step": np.tile(step, n), "forecast_date": dates.astype("datetime64[ns]"),
+                "qty_forecast": np.maximum(paths, 0.0).ravel(), "fitted": np.repeat(fitted, steps),
+            })
+            out["forecast_date"] = out["forecast_date"].dt.date
+            for name, value in zip(extra, values, strict=True):
+                out[name] = np.repeat(value, steps) if value.ndim == 1 else value.ravel()
+            yield out
 
     schema = ", ".join([FORECAST, *[f"{name} {kind}" for name, kind in extra.items()]])
-    return packed.repartition(partitions, "series_id").mapInPandas(run, schema)
+    return packed_series(series).mapInPandas(run, schema)
+
+
+def _flat(rows: Series, steps: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Gap-filled values of every series, paths that go on with the last one, and which series vary."""
+    filled = [dense(*row) for row in rows]
+    paths = np.repeat([v[-1] for v in filled], steps).reshape(len(rows), steps)
+    return filled, paths, np.array([np.ptp(v) > 0 for v in filled])
+
+
+def _aligned(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Series as rows of a matrix that end together, zeros in front, and their lengths."""
+    length = np.array([len(v) for v in values])
+    out = np.zeros((len(values), length.max()))
+    for row, v in zip(out, values):
+        row[len(row) - len(v):] = v
+    return out, length
+
+
+def differencing(days: np.ndarray, qty: np.ndarray, until: int) -> int:
+    """1 unless the augmented Dickey-Fuller test up to the last known day rejects a unit root."""
+    if days[-1] < until:
+        days, qty = np.append(days, until), np.append(qty, 0.0)
+    tested = augmented_dickey_fuller(days, qty)
+    return int(tested is not None and tested[3] >= SIGNIFICANT)
 
 
 def arima_forecast(series: DataFrame, steps: int) -> DataFrame:
-    """ARIMA(5, d, 2) on gap-filled series, d by the rule of :func:`stationarity`; floor 0, AIC per series."""
-    def fit(days: np.ndarray, qty: np.ndarray, until: int):
-        values = dense(days, qty, until)
-        statistic = unit_root_t(values)
-        d = int(statistic is not None and statistic >= DICKEY_FULLER_5PCT)
-        worked = np.diff(values) if d else values - values.mean()
-        if np.ptp(values) == 0:
-            return np.full(steps, values[-1]), False, (np.int32(d), np.nan)
-        path, aic = arma_path(worked, steps)
-        return (values[-1] + np.cumsum(path) if d else path + values.mean()), True, (np.int32(d), aic)
+    """ARIMA(5, d, 2) on gap-filled series, d by the augmented Dickey-Fuller test; floor 0, AIC per series."""
+    def fit(rows: Series) -> Fitted:
+        filled, paths, varies = _flat(rows, steps)
+        d, aic = np.zeros(len(rows), np.int32), np.full(len(rows), np.nan)
+        for k in np.flatnonzero(varies).tolist():
+            d[k] = differencing(*rows[k])
+        own = np.flatnonzero(varies)
+        if len(own):
+            worked = [np.diff(filled[k]) if d[k] else filled[k] - filled[k].mean() for k in own]
+            ahead, aic[own] = arma.paths(*_aligned(worked), steps)
+            for k, path in zip(own.tolist(), ahead):
+                paths[k] = filled[k][-1] + np.cumsum(path) if d[k] else path + filled[k].mean()
+        return paths, varies, [d, aic]
 
     return _by_series(series, steps, fit, {"d": "int", "aic": "double"})
 
 
 def seasonal_trend_forecast(series: DataFrame, steps: int) -> DataFrame:
-    """Trend plus yearly and weekly seasonality on days with rows, with an 80 % band; floor 0.
+    """Trend times yearly and weekly seasonality on days with rows, with an 80 % band; floor 0.
 
-    One penalised fit around the mean. The trend's unit is the longer of the history and the
-    horizon, so that the penalty holds the slope of short histories.
+    The trend's unit is the longer of the history and the horizon, so that the penalty holds the slope of
+    short histories.
     """
-    def fit(days: np.ndarray, qty: np.ndarray, until: int):
-        y = np.maximum(qty, 0.0)
-        if np.ptp(y) == 0:
-            return np.full(steps, y[-1]), False, (y[-1], y[-1])
-        unit = float(max(days[-1] - days[0], steps))
-
-        def terms(x: np.ndarray) -> np.ndarray:
-            return np.column_stack([(x - days[0]) / unit, calendar_terms(x.astype(float))])
-
-        x = terms(days)
-        center = x.mean(axis=0)
-        weights = ridge_fit(x - center, y - y.mean(), 1.0)
-        spread = float((y - y.mean() - (x - center) @ weights).std())
-        path = y.mean() + (terms(until + np.arange(1, steps + 1)) - center) @ weights
-        band = INTERVAL_80 * spread
-        return path, True, (path - band, np.maximum(path, 0.0) + band)
+    def fit(rows: Series) -> Fitted:
+        n = len(rows)
+        paths, varies, spread = np.zeros((n, steps)), np.zeros(n, bool), np.zeros(n)
+        for k, (days, qty, until) in enumerate(rows):
+            y = np.maximum(qty, 0.0)
+            varies[k] = np.ptp(y) > 0
+            paths[k] = y[-1]
+            if varies[k]:
+                model = TrendTimesSeason(days, y, float(max(days[-1] - days[0], steps)))
+                paths[k], spread[k] = model.at(until + np.arange(1, steps + 1)), model.spread
+        band = INTERVAL_80 * spread[:, None]
+        return paths, varies, [paths - band, np.maximum(paths, 0.0) + band]
 
     return _by_series(series, steps, fit, {"qty_lower": "double", "qty_upper": "double"})
 
 
 def recursive_lag_forecast(series: DataFrame, steps: int, window: int = WINDOW) -> DataFrame:
     """Linear model on the last ``window`` days around the mean, each prediction feeding the next; floor 0."""
-    def fit(days: np.ndarray, qty: np.ndarray, until: int):
-        values = dense(days, qty, until)
-        spread = np.ptp(values)
-        if spread == 0:
-            return np.full(steps, values[-1]), False, ()
-        y = (values - values.mean()) / spread
-        weights = fading(ridge_fit(lags(y, window), y, RIDGE * len(y)))
-        past = list(np.concatenate([np.zeros(window), y])[-window:])
-        for _ in range(steps):
-            past.append(float(weights @ past[: -window - 1: -1]))
-        return np.array(past[window:]) * spread + values.mean(), True, ()
+    def fit(rows: Series) -> Fitted:
+        filled, paths, varies = _flat(rows, steps)
+        own = np.flatnonzero(varies).tolist()
+        if own:
+            mean = np.array([filled[k].mean() for k in own])[:, None]
+            spread = np.array([np.ptp(filled[k]) for k in own])[:, None]
+            scaled = [(filled[k] - m) / s for k, m, s in zip(own, mean[:, 0], spread[:, 0])]
+            weights = fading(np.stack([ridge_fit(lags(y, window), y, RIDGE * len(y)) for y in scaled]))
+            out = np.zeros((len(own), window + steps))
+            for row, y in zip(out, scaled):
+                row[:window] = np.concatenate([np.zeros(window), y])[-window:]
+            for t in range(steps):
+                out[:, window + t] = (weights * out[:, t:t + window][:, ::-1]).sum(axis=1)
+            paths[own] = out[:, window:] * spread + mean
+        return paths, varies, []
 
     return _by_series(series, steps, fit, {})
 
