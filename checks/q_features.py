@@ -145,6 +145,49 @@ def mean_by_item_month(t: Testbed):
     return windows.mean_by(rows, ["item_id", "month"], "qty", "qty_mean_item_month")
 
 
+@query(
+    "mean_by_item_past",
+    """SELECT item_id, invoice_date, site, qty, round(avg(qty) OVER (PARTITION BY item_id ORDER BY invoice_date, site
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS qty_mean_item FROM t_daily""",
+    {"qty_mean_item": 6},
+)
+def mean_by_item_past(t: Testbed):
+    return _past_means(t).drop("month", "qty_mean_item_month")
+
+
+@query(
+    "mean_by_item_month_past",
+    """SELECT item_id, invoice_date, site, qty, CAST(month(invoice_date) AS INTEGER) AS month,
+              round(avg(qty) OVER (PARTITION BY item_id, month(invoice_date) ORDER BY invoice_date, site
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 6) AS qty_mean_item_month FROM t_daily""",
+    {"qty_mean_item_month": 6},
+)
+def mean_by_item_month_past(t: Testbed):
+    return _past_means(t).drop("qty_mean_item")
+
+
+def _past_means(t: Testbed):
+    rows = t.daily_table().drop("last_price").withColumn("month", F.month("invoice_date"))
+    return features.mean_features(rows, leak_free=True)
+
+
+@query(
+    "feature_table_past",
+    """SELECT item_id, invoice_date, site, qty, qty_lag_7, round(coalesce(
+                  avg(qty) OVER (PARTITION BY item_id, month ORDER BY invoice_date, site ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                  avg(qty) OVER (PARTITION BY item_id ORDER BY invoice_date, site ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 6)
+              AS qty_mean_item_month
+       FROM (SELECT *, lag(qty, 7) OVER (PARTITION BY item_id ORDER BY invoice_date, site) AS qty_lag_7 FROM t_dated)
+       QUALIFY qty_lag_7 IS NOT NULL AND last_price IS NOT NULL""",
+    {"qty_mean_item_month": 6},
+)
+def feature_table_past(t: Testbed):
+    """Feature rows whose means know nothing of the row itself or of later ones."""
+    return features.feature_table(t.daily_table(), leak_free=True).select(
+        "item_id", "invoice_date", "site", "qty", "qty_lag_7", "qty_mean_item_month"
+    )
+
+
 @query(
     "lag_features",
     """SELECT item_id, invoice_date, site, qty, lag(qty, 1) OVER w AS qty_lag_1, lag(qty, 7) OVER w AS qty_lag_7

@@ -8,8 +8,8 @@ from tidestock.operators import facts, forecast, replenish
 from tidestock.plans.planning import baseline_detail, run_planning
 
 
-def _plan(t: Testbed):
-    return run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp())
+def _plan(t: Testbed, stage: bool = False):
+    return run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp(), stage)
 
 
 _PLAN = """item_id, round(requirement, 4) AS requirement, {extra}, label, qty_on_hand, round(purchase, 4) AS purchase,
@@ -191,7 +191,7 @@ def comp_purchases(t: Testbed):
     _ROUND,
 )
 def final_stock(t: Testbed):
-    plan = _plan(t)
+    plan = _plan(t, stage=True)
     parts = [
         plan[f"final_stock_{kind}"].select(F.lit(kind).alias("kind"), "item_id", "final_stock")
         for kind in ("fg", "comp")
@@ -229,7 +229,7 @@ _KPI = """SELECT '{kind}' AS kind, count(*) AS n_items, count(*) FILTER (purchas
     {"requirement": 4, "purchase": 4, "final_stock": 4},
 )
 def plan_kpis(t: Testbed):
-    plan = _plan(t)
+    plan = _plan(t, stage=True)
     parts = [
         replenish.plan_kpis(plan[f"final_stock_{kind}"]).select(F.lit(kind).alias("kind"), "*")
         for kind in ("fg", "comp")

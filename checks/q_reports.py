@@ -12,8 +12,8 @@ _ROUND = {"requirement": 4, "purchase": 4, "coverage_pct": 4, "stock_after": 4}
 _BAND = """CASE WHEN coverage_pct < 25 THEN 'stockout_risk' WHEN coverage_pct < 75 THEN 'low_stock' ELSE 'sufficient' END AS band"""
 
 
-def _plan(t: Testbed):
-    return run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp())
+def _plan(t: Testbed, stage: bool = False):
+    return run_planning(baseline_detail(t.daily_table()), t.bom(), t.stock_fg(), t.stock_comp(), stage)
 
 
 @query("top_requirements", f"SELECT {_TOP} FROM t_fg_plan ORDER BY t_fg_plan.requirement DESC, item_id LIMIT 20", _ROUND)
@@ -59,7 +59,7 @@ def top_comp_purchases(t: Testbed):
     _ROUND,
 )
 def top10_purchases(t: Testbed):
-    plan = _plan(t)
+    plan = _plan(t, stage=True)
     return reports.top10_purchases(plan["purchases_fg"], plan["purchases_comp"])
 
 
@@ -73,7 +73,7 @@ _STOCK = "item_id, qty_on_hand AS stock_before, round(final_stock, 4) AS stock_a
     _ROUND,
 )
 def lowest_final_stock(t: Testbed):
-    plan = _plan(t)
+    plan = _plan(t, stage=True)
     return reports.lowest_final_stock(plan["final_stock_fg"], plan["final_stock_comp"])
 
 

@@ -236,6 +236,31 @@ def isolation(t: Testbed):
     return isolation_forest(t.daily_table(spiked=True), "qty", ["item_id", "invoice_date", "site"])
 
 
+@query(
+    "isolation_contract",
+    """SELECT item_id, invoice_date, site, qty, 1 AS n_rows, true AS is_score, true AS is_equal, true AS is_flag, true AS is_share
+       FROM t_spiked""",
+)
+def isolation_contract(t: Testbed):
+    """Each row once, scores in (0, 1) and equal for equal values, -1 exactly above the 95 % quantile, at most 5 % of the rows."""
+    rows = staged(isolation(t), "forest")
+    whole = rows.agg(
+        F.percentile("score", 0.95).alias("cut"), (F.count_if(F.col("anomaly") == -1) <= 0.05 * F.count("*")).alias("is_share")
+    ).first()
+    flagged = F.col("anomaly") == -1
+    same = rows.groupBy("qty").agg(
+        (F.min("score") == F.max("score")).alias("is_equal"), (F.count_distinct("anomaly") == 1).alias("is_one_flag")
+    )
+    keyed = rows.groupBy("item_id", "invoice_date", "site", "qty").agg(
+        F.count("*").cast("int").alias("n_rows"), F.min("score").alias("score"), F.min("anomaly").alias("anomaly")
+    )
+    return keyed.join(same, "qty").select(
+        "item_id", "invoice_date", "site", "qty", "n_rows", F.col("score").between(1e-9, 1 - 1e-9).alias("is_score"),
+        F.col("is_equal"), (F.col("is_one_flag") & (flagged == (F.col("score") > F.lit(whole["cut"]) + 1e-12))).alias("is_flag"),
+        F.lit(whole["is_share"]).alias("is_share"),
+    )
+
+
 @query("outlier_labels_with_forest")
 def outlier_labels_with_forest(t: Testbed):
     labelled = outliers.outlier_labels(t.daily_table(spiked=True))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidestock.functions.hashing import row_key, uniform
 from tidestock.operators import encoding, features, outliers, splits, windows
 from tidestock.operators.augment import augmented_table, gaussian_noise, interpolate_rows, rare_mix, union_augmented
+from tidestock.session import staged
 
 START = date(2023, 1, 1)
 
@@ -39,6 +40,63 @@ def test_chunked_lags_equal_plain_lags(spark):
         assert np.array_equal(got[name].to_numpy(), pdf[name].to_numpy(), equal_nan=True)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("depths", [(1,), (1, 7), (3, 40)])
+def test_chunked_lags_at_any_depth(spark, descending, depths):
+    """Chunks shorter and longer than the lags, gaps of many months, one hot item."""
+    df, pdf = hot_daily(spark, seed=11)
+    lags = {f"k{k}": k for k in depths}
+    got = windows.chunked_lags(
+        df, ["item_id"], ["invoice_date", "site"], "qty", lags, F.trunc("invoice_date", "month"), descending
+    ).toPandas().sort_values(["item_id", "invoice_date", "site"])
+    pdf = pdf.sort_values(["item_id", "invoice_date", "site"])
+    for name, k in lags.items():
+        want = pdf.groupby("item_id")["qty"].shift(-k if descending else k)
+        assert np.array_equal(got[name].to_numpy(), want.to_numpy(), equal_nan=True)
+
+
+def test_chunked_lags_read_once_and_shuffle_twice(spark):
+    rows = staged(hot_daily(spark)[0].drop("last_price"), "hot")
+    got = features.lag_features(rows)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    exchanges = [line for line in plan.splitlines() if " Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert len(exchanges) == 2 and plan.count("ReusedExchange") == 1 and plan.count("FileScan") == 1
+    assert any("item_id" in e and "_chunk" not in e.split("hashpartitioning")[1].split(")")[0] for e in exchanges)
+
+
+def past_means(pdf):
+    """Means of earlier rows by definition."""
+    pdf = pdf.sort_values(["item_id", "invoice_date", "site"]).reset_index(drop=True)
+    pdf["month"] = pd.to_datetime(pdf["invoice_date"]).dt.month
+    for keys, name in ((["item_id"], "mean"), (["item_id", "month"], "month_mean")):
+        pdf[name] = pdf.groupby(keys)["qty"].transform(lambda q: q.shift().expanding().mean())
+    return pdf
+
+
+def test_past_means_know_only_earlier_rows(spark):
+    df, pdf = hot_daily(spark)
+    got = features.mean_features(features.date_features(df), leak_free=True)
+    assert got.columns == [*features.date_features(df).columns, "qty_mean_item", "qty_mean_item_month"]
+    got, want = got.toPandas().sort_values(["item_id", "invoice_date", "site"]), past_means(pdf)
+    assert np.allclose(got["qty_mean_item"], want["mean"], equal_nan=True)
+    assert np.allclose(got["qty_mean_item_month"], want["month_mean"], equal_nan=True)
+    table = features.feature_table(df, leak_free=True).toPandas().sort_values(["item_id", "invoice_date", "site"])
+    want["lag7"] = want.groupby("item_id")["qty"].shift(7)
+    want = want.dropna(subset=["lag7"])
+    assert len(table) == len(want)
+    assert np.allclose(table["qty_mean_item_month"], want["month_mean"].fillna(want["mean"]))
+
+
+def test_past_means_do_not_change_with_later_quantities(spark):
+    df, _ = hot_daily(spark)
+    cut = F.lit(START + timedelta(days=210))
+    changed = df.withColumn("qty", F.when(F.col("invoice_date") >= cut, F.col("qty") * 1000).otherwise(F.col("qty")))
+    key = ["item_id", "invoice_date", "site", "qty_mean_item", "qty_mean_item_month"]
+    before = [features.mean_features(features.date_features(d), leak_free=True).where(F.col("invoice_date") < cut).select(*key) for d in (df, changed)]
+    assert before[0].exceptAll(before[1]).count() == 0
+
+
 def test_chunked_lags_keep_null_values(spark):
     rows = [(START + timedelta(days=31 * i), "S", "A", None if i == 1 else float(i)) for i in range(4)]
     df = spark.createDataFrame(rows, "invoice_date date, site string, item_id string, qty double")

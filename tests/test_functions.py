@@ -68,6 +68,17 @@ def test_exact_quantiles_match_numpy(spark, values):
     assert np.allclose(list(row), np.quantile(values, probabilities), rtol=1e-12, atol=1e-12)
 
 
+@pytest.mark.parametrize("held, buckets", [(1000, 8), (300, 4)])
+def test_exact_quantiles_of_more_values_than_are_held(spark, held, buckets):
+    """Ranges are cut again until they may be held; ties and a hot value stay in one place."""
+    values = [3.0] * 2000 + [round(v, 3) for v in np.random.default_rng(2).normal(0, 9, 3000)] + [-1e300, 1e300]
+    probabilities = [0.001, 0.5, 1.0]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+    names = {f"q{i}": p for i, p in enumerate(probabilities)}
+    got = exact_quantiles(df, "x", names, held, buckets).first()
+    assert np.allclose(list(got), np.quantile(values, probabilities), rtol=1e-12, atol=1e-12)
+
+
 def test_exact_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", {"q": 0.5}).first()[0] is None

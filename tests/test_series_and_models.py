@@ -259,6 +259,11 @@ def test_isolation_forest_flags_the_extremes(spark):
     assert flagged.where("qty >= 200 or qty < 0").count() >= 45
     again = isolation_forest(df.repartition(9), "qty", ["id"]).where("anomaly = -1")
     assert flagged.select("id").exceptAll(again.select("id")).count() == 0
+    cut = float(np.quantile([r["score"] for r in got.collect()], 0.95))
+    assert flagged.agg(F.min("score")).first()[0] > cut >= got.where("anomaly = 1").agg(F.max("score")).first()[0]
+    odd = spark.createDataFrame([(1, None), (2, 5.0), (3, 5.0)], "id long, qty double")
+    assert {(r["id"], r["score"] is None) for r in isolation_forest(odd, "qty", ["id"]).collect()} == {(1, True), (2, False), (3, False)}
+    assert isolation_forest(odd.limit(0), "qty", ["id"]).count() == 0
 
 
 def test_mean_path_of_small_trees():

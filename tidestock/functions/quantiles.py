@@ -1,94 +1,92 @@
 """Exact linear-interpolation quantiles for columns of any size.
 
-The built-in exact ``percentile`` keeps every distinct value in one task's memory. Here
-equal values are counted first and the distinct values are cut into ordered buckets at
-fences taken from a small hash sample. The bucket totals (at most ``FENCES + 1`` rows) tell
-which buckets hold a wanted rank; only those are walked, each in its own task.
+The built-in exact ``percentile`` keeps every distinct value in one task's memory. Here equal values are counted
+and written once. Up to ``HELD`` distinct values are then ranked on the driver; more are cut into ``BUCKETS``
+ranges of about equally many distinct values, whose totals tell which ranges hold a wanted rank. Only those are
+looked at again, in the same way, so a range is never larger than what may be held, whatever the column's size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FENCES = 255  # one less than a power of two: the bucket lookup is a binary search
-
-
-def _fences(counts: DataFrame) -> Column:
-    """Sorted array of at most ``FENCES`` distinct values, picked by hash, as a scalar subquery."""
-    picked = counts.select("_value").orderBy(F.xxhash64("_value"), "_value").limit(FENCES)
-    return picked.agg(F.sort_array(F.collect_list("_value")).alias("fences")).scalar()
-
-
-def _with_bucket(counts: DataFrame) -> DataFrame:
-    """Add ``_bucket``: the number of fences at or below the value, so buckets follow the order.
-
-    A binary search over the sorted array, one column per halving step, keeps the lookup in
-    generated code. A position past the end of a short array reads NULL and counts as above.
+from tidestock.functions.search import with_place
+from tidestock.session import staged
+
+#: Distinct values that the driver ranks (2 MB), and ranges that larger sets are cut into.
+HELD, BUCKETS = 1 << 17, 1 << 10
+
+
+def _at_ranks(values: np.ndarray, sizes: np.ndarray, ranks: Iterable[int], before: int) -> dict[int, float]:
+    order = np.argsort(values, kind="stable")  # NaN last, as in Spark
+    ends = before + np.cumsum(sizes[order])
+    ranks = list(ranks)
+    return dict(zip(ranks, values[order][np.searchsorted(ends, ranks, side="right")].tolist()))
+
+
+def _held(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Values and sizes if there are at most so many."""
+    rows = counts.limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    return np.array([r["_value"] for r in rows], float), np.array([r["_n"] for r in rows], np.int64)
+
+
+def _values_at(counts: DataFrame, ranks: set[int], before: int, held: int, buckets: int) -> dict[int, float]:
+    """Values at the given ranks (from 0) of a table of distinct values and sizes that follows ``before`` rows."""
+    small = _held(counts, held)
+    if small is not None:
+        return _at_ranks(*small, ranks, before)
+    shares = [k / buckets for k in range(1, buckets)]
+    fences = sorted(set(counts.agg(F.percentile_approx("_value", shares, 10 * buckets)).first()[0]))
+    marked = with_place(counts, "_value", fences, "_bucket", or_equal=True)
+    totals = sorted(tuple(r) for r in marked.groupBy("_bucket").agg(F.sum("_n"), F.count("*")).collect())
+    wanted: dict[int, tuple[set[int], int, int]] = {}
+    for bucket, size, distinct in totals:
+        own = {r for r in ranks if before <= r < before + size}
+        if own:
+            wanted[bucket] = own, before, distinct
+        before += size
+    found: dict[int, float] = {}
+    if sum(distinct for _, _, distinct in wanted.values()) <= held:
+        rows = marked.where(F.col("_bucket").isin(list(wanted))).select("_value", "_n", "_bucket").collect()
+        for bucket, (own, start, _) in wanted.items():
+            part = [(r["_value"], r["_n"]) for r in rows if r["_bucket"] == bucket]
+            found |= _at_ranks(np.array([v for v, _ in part], float), np.array([n for _, n in part], np.int64), own, start)
+    else:
+        for bucket, (own, start, _) in wanted.items():
+            inside = marked.where(F.col("_bucket") == bucket).select("_value", "_n")
+            found |= _values_at(inside, own, start, held, buckets)
+    return found
+
+
+def exact_quantiles(
+    df: DataFrame, column: str, wanted: Mapping[str, float], held: int = HELD, buckets: int = BUCKETS
+) -> DataFrame:
+    """One row with one column per entry of ``wanted`` (name -> probability); NULLs are skipped.
+
+    Runs when called, like the built-in approximate quantiles. All columns are null for an empty table.
     """
-    located = counts.withColumn("_fences", _fences(counts)).withColumn("_bucket", F.lit(0))
-    step = (FENCES + 1) // 2
-    while step:
-        probe = F.get("_fences", F.col("_bucket") + F.lit(step - 1))
-        forward = F.when(probe <= F.col("_value"), F.lit(step)).otherwise(F.lit(0))
-        located = located.withColumn("_bucket", F.col("_bucket") + forward)
-        step //= 2
-    return located.drop("_fences")
-
-
-def _bucket_totals(bucketed: DataFrame) -> DataFrame:
-    """Rows per bucket, rows before it and the grand total."""
-    sizes = bucketed.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return sizes.select(
-        "_bucket",
-        "_size",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(everything).alias("_total"),
-    )
-
-
-def exact_quantiles(df: DataFrame, column: str, wanted: Mapping[str, float]) -> DataFrame:
-    """One row with one column per entry of ``wanted`` (name -> probability); NULLs are skipped."""
-    counts = (
-        df.select(F.col(column).cast("double").alias("_value"))
-        .where(F.col("_value").isNotNull())
-        .groupBy("_value")
-        .agg(F.count("*").alias("_n"))
-    )
-    bucketed = _with_bucket(counts)
-    position = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in wanted.items()}
-    low = {name: F.floor(pos) for name, pos in position.items()}
-    high = {name: F.ceil(pos) for name, pos in position.items()}
-
-    # Wanted ranks with the bucket that holds each: at most two rows per probability.
-    ranks = F.array_distinct(F.array(*low.values(), *high.values()))
-    places = _bucket_totals(bucketed).select("*", F.explode(ranks).alias("_rank")).where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size"))
-    )
-    holding = places.select("_bucket", "_before").distinct()
-    in_order = (
-        Window.partitionBy("_bucket")
-        .orderBy("_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    runs = bucketed.join(F.broadcast(holding), "_bucket").withColumn(
-        "_last", F.col("_before") + F.sum("_n").over(in_order)
-    )
-    found = runs.drop("_before").join(F.broadcast(places), "_bucket").where(
-        (F.col("_rank") < F.col("_last")) & (F.col("_rank") >= F.col("_last") - F.col("_n"))
-    )
-    at_rank = found.agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"),
-        F.max("_total").alias("_total"),
-    )
-
-    def interpolated(name: str) -> Column:
-        below = F.try_element_at("_at", low[name])
-        above = F.try_element_at("_at", high[name])
-        return below + (above - below) * (position[name] - low[name])
-
-    return at_rank.select(*[interpolated(name).alias(name) for name in wanted])
+    values = df.select(F.col(column).cast("double").alias("_value")).where(F.col("_value").isNotNull())
+    counts = staged(values.groupBy("_value").agg(F.count("*").alias("_n")), "value-counts")
+    small = _held(counts, held)
+    total = int(small[1].sum()) if small is not None else counts.agg(F.sum("_n")).first()[0]
+    places = {name: p * (total - 1) for name, p in wanted.items()}
+    found: dict[int, float] = {}
+    if total:
+        ranks = {r for x in places.values() for r in (math.floor(x), math.ceil(x))}
+        found = _at_ranks(*small, ranks, 0) if small is not None else _values_at(counts, ranks, 0, held, buckets)
+
+    def between(x: float) -> float | None:
+        if not found:
+            return None
+        below, above = found[math.floor(x)], found[math.ceil(x)]
+        return below + (above - below) * (x - math.floor(x))
+
+    one = df.sparkSession.range(1)
+    return one.select(*[F.lit(between(x)).cast("double").alias(name) for name, x in places.items()])

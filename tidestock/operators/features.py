@@ -11,7 +11,7 @@ from tidestock.functions.dates import calendar_fields, cycle
 from tidestock.functions.numeric import divide_or
 from tidestock.operators.encoding import label_encode
 from tidestock.operators.outliers import masked_cap
-from tidestock.operators.windows import chunked_lags, group_means
+from tidestock.operators.windows import chunked_lags, group_means, past_means
 
 # Model inputs and target.
 FEATURES = [
@@ -30,9 +30,16 @@ def date_features(df: DataFrame, date: str = "invoice_date") -> DataFrame:
     return df.withColumns(calendar_fields(F.col(date)))
 
 
-def mean_features(df: DataFrame) -> DataFrame:
-    """Item mean and item-by-calendar-month mean, over all rows of the table."""
-    return group_means(df, "item_id", "month", "qty", "qty_mean_item", "qty_mean_item_month")
+def mean_features(df: DataFrame, leak_free: bool = False) -> DataFrame:
+    """Item mean and item-by-calendar-month mean, over all rows of the table.
+
+    With ``leak_free`` only rows before each one count, in (date, site) order, so that neither its own
+    quantity nor the future is in its inputs; null where there are none.
+    """
+    names = "item_id", "month", "qty", "qty_mean_item", "qty_mean_item_month"
+    if leak_free:
+        return past_means(df, *names, ["invoice_date", "site"], F.trunc("invoice_date", "month"))
+    return group_means(df, *names)
 
 
 def lag_features(df: DataFrame) -> DataFrame:
@@ -54,13 +61,17 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.dropna("any", subset=list(subset) if subset else None)
 
 
-def feature_table(daily: DataFrame) -> DataFrame:
+def feature_table(daily: DataFrame, leak_free: bool = False) -> DataFrame:
     """Calendar, label codes, means and lags; rows with any NULL are dropped.
 
-    ``daily`` is read by several branches (dictionaries, means, lags): pass a staged table.
+    With ``leak_free``, means are those of earlier rows; an item's first row in a calendar month takes the
+    mean of all its earlier rows. ``daily`` is read by several branches (dictionaries, means, lags): pass a
+    staged table.
     """
-    dated = date_features(daily)
-    return drop_incomplete(lag_features(mean_features(encode_labels(dated))))
+    means = mean_features(encode_labels(date_features(daily)), leak_free)
+    if leak_free:
+        means = means.withColumn("qty_mean_item_month", F.coalesce("qty_mean_item_month", "qty_mean_item"))
+    return drop_incomplete(lag_features(means))
 
 
 def available_features(df: DataFrame, wanted: Sequence[str] = tuple(FEATURES)) -> list[str]:

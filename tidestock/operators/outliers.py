@@ -126,8 +126,11 @@ def preprocess(df: DataFrame, key: Sequence[str], column: str = "qty", method: s
 
 
 def masked_cap(series: DataFrame, normal: Column, column: str = "qty", probability: float = 0.99) -> DataFrame:
-    """Cap normal days at their own quantile; other days keep their value."""
-    cap = one_row(exact_quantiles(series.where(normal), column, {"cap": probability}))["cap"]
+    """Cap normal days at their own quantile; other days keep their value.
+
+    ``series`` has a row a day, so the built-in quantile never holds more values than the calendar has days.
+    """
+    cap = one_row(series.where(normal).agg(F.percentile(column, probability).alias("cap")))["cap"]
     value = F.col(column)
     return series.withColumn(column, F.when(normal & (value > cap), cap).otherwise(value))
 

@@ -19,50 +19,28 @@ def chunked_lags(
 ) -> DataFrame:
     """Values of the k-th previous row of the key, for every (name -> k) in ``lags``.
 
-    A window over the key alone would sort all rows of a hot key in one task. Rows are
-    ordered inside (key, chunk) instead, where ``chunk`` is a non-decreasing function of the
-    order such as the month; only the last ``max(lags)`` values of each chunk are carried
-    over, through a second window that has one short row per (key, chunk). The result equals
-    the plain window. ``descending`` turns lags into leads.
+    A window over the key alone would sort all rows of a hot key in one task. Rows are ordered inside
+    (key, chunk) instead, where ``chunk`` is a non-decreasing function of the order such as the month.
+    Rows beyond the first ``max(lags)`` of a chunk find their values there. The first ones look among the
+    edges of chunks alone, first and last rows, which hold all rows that can precede them closely enough:
+    a second exchange moves these, a bounded number for each chunk. Both parts read the same first exchange.
+    The result equals the plain window. ``descending`` turns lags into leads.
     """
     depth = max(lags.values())
-    part = [*keys, "_chunk"]
-    cut = df.withColumn("_chunk", chunk)
-
-    def direction(column: str, along: bool) -> Column:
-        return F.asc(column) if along != descending else F.desc(column)
-
-    forward = Window.partitionBy(*part).orderBy(*[direction(c, True) for c in order])
-    backward = Window.partitionBy(*part).orderBy(*[direction(c, False) for c in order])
-    entry = F.struct((-F.col("_back")).alias("_at"), F.col(value).alias("_value"))
-    tails = (
-        cut.select(*dict.fromkeys([*part, *order, value]))
-        .withColumn("_back", F.row_number().over(backward))
-        .where(F.col("_back") <= depth)
-        .groupBy(*part)
-        .agg(F.array_sort(F.collect_list(entry), _by_position).alias("_tail"))
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(direction("_chunk", True)).rowsBetween(-depth, -1)
+    direction = F.desc if descending else F.asc
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*map(direction, order))
+    across = Window.partitionBy(*keys).orderBy(*map(direction, ["_chunk", *order]))
+    placed = df.withColumn("_chunk", chunk).select(
+        "*", F.row_number().over(inside).alias("_row"), F.count("*").over(Window.partitionBy(*keys, "_chunk")).alias("_size")
     )
-    carried = tails.select(
-        *part, F.flatten(F.collect_list("_tail").over(earlier)).alias("_carry")
-    )
-    row = F.row_number().over(forward)
-    inside = {f"_in_{name}": F.lag(value, k).over(forward) for name, k in lags.items()}
-    placed = cut.select("*", row.alias("_row"), *[c.alias(n) for n, c in inside.items()])
-    joined = placed.join(carried, part, "left")
-
-    def pick(name: str, k: int) -> Column:
-        from_end = F.col("_row") - F.lit(k + 1)
-        before = F.try_element_at("_carry", from_end)["_value"]
-        return F.when(F.col("_row") > k, F.col(f"_in_{name}")).otherwise(before)
-
-    return joined.select(*df.columns, *[pick(name, k).alias(name) for name, k in lags.items()])
 
+    def found(rows: DataFrame, window) -> DataFrame:
+        return rows.select("*", *[F.lag(value, k).over(window).alias(name) for name, k in lags.items()])
 
-def _by_position(left: Column, right: Column) -> Column:
-    return left["_at"] - right["_at"]
+    first, last = F.col("_row") <= depth, F.col("_row") > F.col("_size") - depth
+    body = found(placed, inside).where(~first)
+    heads = found(placed.where(first | last), across).where(first)
+    return body.unionByName(heads).select(*df.columns, *lags)
 
 
 def group_means(df: DataFrame, key: str, part: str, value: str, key_mean: str, part_mean: str) -> DataFrame:
@@ -82,6 +60,33 @@ def group_means(df: DataFrame, key: str, part: str, value: str, key_mean: str, p
     return df.join(means, [key, part], "left")
 
 
+def past_means(
+    df: DataFrame, key: str, part: str, value: str, key_mean: str, part_mean: str, order: Sequence[str], chunk: Column
+) -> DataFrame:
+    """Mean of ``value`` over the earlier rows of the key and over those of its (key, part); null without any.
+
+    Totals of (key, chunk) are accumulated over chunks, one short row each; a row adds the running sum of its
+    own chunk, so no key is sorted in one task. ``part`` must be the same for all rows of a chunk, as the
+    calendar month is for months.
+    """
+    cut = df.withColumn("_chunk", chunk)
+    totals = cut.groupBy(key, "_chunk", part).agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+    before = {
+        "_key": Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1),
+        "_part": Window.partitionBy(key, part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1),
+    }
+    sums = {f"{name}{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for name, w in before.items() for c in ("_sum", "_n")}
+    carried = totals.select(key, "_chunk", *[c.alias(name) for name, c in sums.items()])
+    own = Window.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = cut.select("*", F.coalesce(F.sum(value).over(own), F.lit(0)).alias("_in_sum"), F.count(value).over(own).alias("_in_n"))
+    joined = rows.join(carried, [key, "_chunk"], "left")
+
+    def mean(name: str) -> Column:
+        return F.try_divide(F.col(f"{name}_sum") + F.col("_in_sum"), F.col(f"{name}_n") + F.col("_in_n"))
+
+    return joined.select(*df.columns, mean("_key").alias(key_mean), mean("_part").alias(part_mean))
+
+
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Mean of ``value`` over rows with equal keys, attached to every row."""
     means = df.groupBy(*keys).agg(F.avg(value).alias(name))
