@@ -4,7 +4,7 @@
 other is a ridge regression, so the two are fitted in turn; every step minimises the same penalised error, which
 therefore never rises. The penalty is the variance around the fit over that of a usual season: weights of a series
 without noise are free, those of a rough or short one are held near a constant level, also where its days don't
-cover the year.
+cover the year. A penalty that leaves more effective weights than half of the days is not taken.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark import cloudpickle
 YEARLY_TERMS, WEEKLY_TERMS = 10, 3
 #: Usual deviation of a weight, as a share of the level.
 USUAL = 0.5
-MAX_TURNS, ROUGH, FINE = 40, 1e-5, 1e-8
+#: Turns and relative gain at which a fit ends: while the penalty is sought, and at last.
+ROUGH, FINE = (5, 1e-2), (40, 1e-6)
 # Weights of a series that stays at its mean.
 LEVEL = np.array([1.0, 0.0])
 PENALTY_ROUNDS, LEAST_PENALTY = 5, 1e-10
@@ -36,9 +37,8 @@ def ridge(x: np.ndarray, y: np.ndarray, penalty: float, usual: np.ndarray) -> np
     return usual + np.linalg.solve(x.T @ x + penalty * np.eye(x.shape[1]), x.T @ (y - x @ usual))
 
 
-def effective_terms(x: np.ndarray, penalty: float) -> float:
-    """How many free weights a penalised fit of the columns is worth."""
-    squares = np.maximum(np.linalg.eigvalsh(x.T @ x), 0.0)
+def effective_terms(squares: np.ndarray, penalty: float) -> float:
+    """How many free weights a penalised fit of columns with these squared singular values is worth."""
     return float((squares / (squares + penalty)).sum())
 
 
@@ -54,20 +54,24 @@ class TrendTimesSeason:
         for _ in range(PENALTY_ROUNDS):
             self.turn(time, terms, scaled, ROUGH)
             level, factor = self.trend[0] + self.trend[1] * time, 1 + terms @ self.season
-            used = effective_terms(np.column_stack([factor, factor * time, level[:, None] * terms]), self.penalty)
+            columns = np.column_stack([factor, factor * time, level[:, None] * terms])
+            squares = np.maximum(np.linalg.eigvalsh(columns.T @ columns), 0.0)
+            used = effective_terms(squares, self.penalty)
             rest = scaled - level * factor
             variance = float(rest @ rest) / max(len(y) - used, 1.0)
-            before, self.penalty = self.penalty, max(variance / USUAL**2, LEAST_PENALTY)
-            if abs(np.log(self.penalty / before)) < 0.1:
+            wanted = max(variance / USUAL**2, LEAST_PENALTY)
+            if effective_terms(squares, wanted) > len(y) / 2 or abs(np.log(wanted / self.penalty)) < 0.1:
                 break
+            self.penalty = wanted
         self.turn(time, terms, scaled, FINE)
         self.spread = float((y - self.at(days)).std())
 
-    def turn(self, time: np.ndarray, terms: np.ndarray, y: np.ndarray, gain: float) -> None:
+    def turn(self, time: np.ndarray, terms: np.ndarray, y: np.ndarray, until: tuple[int, float]) -> None:
         """Fit the factors in turn; ``errors`` lists the penalised error before and after every turn."""
         self.errors = [self.error(time, terms, y)]
         none = np.zeros(terms.shape[1])
-        for _ in range(MAX_TURNS):
+        turns, gain = until
+        for _ in range(turns):
             factor = 1 + terms @ self.season
             self.trend = ridge(np.column_stack([factor, factor * time]), y, self.penalty, LEVEL)
             level = self.trend[0] + self.trend[1] * time

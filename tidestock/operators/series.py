@@ -165,7 +165,7 @@ def packed_series(series: DataFrame) -> DataFrame:
     packed = series.groupBy("series_id").agg(rows.alias("rows"), until.alias("until"))
     partitions = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return packed.select("series_id", F.col("rows.day").alias("days"), F.col("rows.qty").alias("qty"), "until").repartition(
-        partitions, "series_id"
+        partitions, F.xxhash64("series_id")  # another key than the grouping's, whose exchange may be merged into few partitions
     )
 
 
