@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import EDGE, FOLDER, documents, edge_frame
+from helpers import EDGE, FOLDER, documents, edge_frame, thue_morse
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -105,3 +105,11 @@ def test_edges_and_empty(spark):
     assert by[1] == [None] and by[2] == [""] and by[4] == ["one two three"] and by[5] == ["", ""]
     empty, *_ = d.dedup_lines(frame.limit(0))
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_variants_of_lines_that_polynomials_confuse(n):
+    one, other = thue_morse(n)
+    keys = [d.variant_keys(line) for line in (one, other, one[:100] + one[101:])]
+    assert not set(keys[0].tolist()) & set(keys[1].tolist())
+    assert keys[0][101] == keys[2][0]

@@ -32,8 +32,6 @@ from tidestock.session import staged
 
 MIN_CHARS = 20
 LOWEST = -(1 << 63)
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def line_hash(line: str) -> bytes:
@@ -53,23 +51,24 @@ def half_keys(line: str) -> list[int]:
 def variant_keys(line: str) -> np.ndarray:
     """Hash of the whole line, then of the line without its first, second, ... code point.
 
-    A polynomial hash with wrapped arithmetic gives each variant from two prefix sums, so the work
-    is linear in the line's length.
+    A hash is a sum of mixed (code point, place) pairs, so each variant is a prefix sum at the own places
+    plus a suffix sum at the places before, and the work is linear in the line's length.
     """
     n = len(line)
-    codes = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64)
-    codes = (codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    codes ^= codes >> np.uint64(32)
-    powers = np.full(n, BASE, np.uint64)
-    powers[0] = 1
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(codes * np.cumprod(powers), out=sums[1:])
-    rest = (sums[n] - sums[1:]) * np.uint64(INVERSE)
-    keys = np.concatenate([sums[n:], sums[:n] + rest])
+    codes = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+    def mixed(first: int) -> np.ndarray:
+        x = codes + np.arange(first, first + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(33))
+
+    own, moved = np.zeros(n + 1, np.uint64), np.cumsum(mixed(0))
+    np.cumsum(mixed(1), out=own[1:])
+    keys = np.concatenate([own[n:], own[:n] + (moved[-1:] - moved)])
     keys[0] += np.uint64(n)
     keys[1:] += np.uint64(n - 1)  # the length keeps shorter lines apart
-    keys ^= keys >> np.uint64(29)
-    keys *= np.uint64(0xBF58476D1CE4E5B9)
+    keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (keys ^ (keys >> np.uint64(32))).view(np.int64)
 
 
