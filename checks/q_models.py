@@ -1,10 +1,10 @@
 """Fitted models and the pipelines around them, at their full sizes.
 
-Fitting is what takes the time, so the queries of one session and folder share their fits.
+Fitting is what takes the time: each model is fitted by the first query that needs it, alone, and written; later
+queries, also of another session with the same shared folder, load it.
 """
 
-from concurrent.futures import ThreadPoolExecutor
-
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from checks.q_features import feature_rows
@@ -42,45 +42,41 @@ def _vectors(t: Testbed):
 
 def _out_of_fold(t: Testbed):
     return _shared(t, "out-of-fold", lambda: staged(
-        regressors.out_of_fold(_vectors(t)).select("qty", *SPLIT_KEY, "p_random_forest", "p_gbt", "p_gbt_deep"), "out-of-fold"
+        regressors.out_of_fold(_vectors(t), keep=True).select("qty", *SPLIT_KEY, "p_random_forest", "p_gbt", "p_gbt_deep"), "out-of-fold"
     ))
 
 
 def _base(t: Testbed, name: str):
-    return _shared(t, f"base-{name}", lambda: regressors.base_estimators(Settings())[name].fit(_vectors(t)))
+    return _shared(t, f"base-{name}", lambda: regressors.fit_base(name, _vectors(t), keep=True))
 
 
-def _models(t: Testbed):
-    """The five models, as ``fit_models`` makes them, from shared vectors and out-of-fold predictions."""
-    def build():
-        names = list(regressors.base_estimators(Settings()))
-        _vectors(t)
-        with ThreadPoolExecutor(len(names)) as pool:
-            bases = dict(zip(names, pool.map(lambda name: _base(t, name), names), strict=True))
-        return {
-            "linear": regressors.fit_linear(_split(t)[0]),
-            **{name: regressors.as_pipeline(fitted) for name, fitted in bases.items()},
-            "stacking": regressors.stack(_vectors(t), bases, scored=_out_of_fold(t)),
-        }
+def _linear(t: Testbed):
+    return _shared(t, "linear", lambda: regressors.fit_linear(_split(t)[0]))
+
+
+def _stacking(t: Testbed):
+    return _shared(t, "stacking", lambda: regressors.stack(
+        _vectors(t), regressors.fit_bases(_vectors(t), keep=True), scored=_out_of_fold(t)
+    ))
+
 
-    return _shared(t, "models", build)
+def _model(t: Testbed, name: str):
+    if name in ("linear", "stacking"):
+        return _linear(t) if name == "linear" else _stacking(t)
+    return regressors.as_pipeline(_base(t, name))
 
 
 def _scored(t: Testbed):
     """Predictions of all models on the test rows, written once."""
     return _shared(t, "scored", lambda: staged(
-        regressors.scored_rows(_models(t), _split(t)[1]).select("model", *SPLIT_KEY, "actual", "prediction"), "scored"
+        regressors.scored_rows({name: _model(t, name) for name in MODELS}, _split(t)[1]).select("model", *SPLIT_KEY, "actual", "prediction"), "scored"
     ))
 
 
 def _scores(name: str):
     def build(t: Testbed):
-        train, test = _split(t)
-        if name in regressors.base_estimators(Settings()):
-            model = regressors.as_pipeline(_base(t, name))
-        else:
-            model = regressors.fit_linear(train) if name == "linear" else _models(t)[name]
-        return metrics.regression_metrics(regressors.predict_rows(model, test).withColumn("actual", F.col("qty")))
+        scored = regressors.predict_rows(_model(t, name), _split(t)[1])
+        return metrics.regression_metrics(scored.withColumn("actual", F.col("qty")))
 
     return build
 
@@ -125,7 +121,7 @@ def model_checks(t: Testbed):
 def linear_residuals(t: Testbed):
     """Least squares with item effects leaves residuals that sum to 0 for every item."""
     train, _ = _split(t)
-    fitted = _models(t)["linear"].transform(train)
+    fitted = _linear(t).transform(train)
     rest = F.sum(F.col("qty") - F.col("raw_prediction"))
     return fitted.groupBy("item_id").agg(F.count("*").alias("n_rows"), rest.alias("residual")).withColumn(
         "residual", F.col("residual") + 0.0
@@ -139,7 +135,7 @@ _INPUT_ROWS = ", ".join(f"('{c}')" for c in regressors.NUMERIC_INPUTS)
 def linear_orthogonal(t: Testbed):
     """... and that are orthogonal to every input."""
     train, _ = _split(t)
-    fitted = _models(t)["linear"].transform(train).withColumn("rest", F.col("qty") - F.col("raw_prediction"))
+    fitted = _linear(t).transform(train).withColumn("rest", F.col("qty") - F.col("raw_prediction"))
     parts = [
         F.struct(F.lit(c).alias("input"), (F.sum(F.col(c) * F.col("rest")) / F.sqrt(F.sum(F.col(c) * F.col(c)) * F.sum(F.col("qty") * F.col("qty")))).alias("correlation"))
         for c in regressors.NUMERIC_INPUTS
@@ -179,19 +175,19 @@ def train_and_evaluate(t: Testbed):
 def predicted_row_check(t: Testbed):
     _, test = _split(t)
     floored = (F.col("prediction") >= 0).cast("int").alias("is_floored")
-    return regressors.predict_rows(_models(t)["random_forest"], test).select(*SPLIT_KEY, "qty", floored)
+    return regressors.predict_rows(_model(t, "random_forest"), test).select(*SPLIT_KEY, "qty", floored)
 
 
 @query("predict_rows")
 def predict_rows(t: Testbed):
-    return _scored(t).where("model = 'random_forest'").select(*SPLIT_KEY, F.col("actual").alias("qty"), "prediction")
+    return regressors.predict_rows(_model(t, "random_forest"), _split(t)[1]).select(*SPLIT_KEY, "qty", "prediction")
 
 
-@query("model_save_load", f"SELECT item_id, invoice_date, site, 1 AS is_equal {_TEST_ROWS}")
-def model_save_load(t: Testbed):
+def _reloaded(t: Testbed, model: PipelineModel, name: str):
+    """Test rows and whether the saved and reloaded pipeline predicts the same."""
     _, test = _split(t)
-    model, folder = _models(t)["stacking"], new_path(t.spark, "model")
-    store.save_model(t.spark, model, folder, "stacking", regressors.INPUTS, {"r2": 0.0})
+    folder = new_path(t.spark, "model")
+    store.save_model(t.spark, model, folder, name, regressors.INPUTS, {"r2": 0.0})
     again, _ = store.load_model(t.spark, folder)
     before = regressors.predict_rows(model, test).select(*SPLIT_KEY, "prediction")
     after = regressors.predict_rows(again, test).select(*SPLIT_KEY, F.col("prediction").alias("reloaded"))
@@ -199,8 +195,27 @@ def model_save_load(t: Testbed):
     return before.join(after, SPLIT_KEY).select(*SPLIT_KEY, same)
 
 
+_SAME = f"SELECT item_id, invoice_date, site, 1 AS is_equal {_TEST_ROWS}"
+
+
+@query("model_save_load", _SAME)
+def model_save_load(t: Testbed):
+    return _reloaded(t, _stacking(t), "stacking")
+
+
+@query("model_save_load_linear", _SAME)
+def model_save_load_linear(t: Testbed):
+    """The item-effect model as a stage of a pipeline."""
+    return _reloaded(t, PipelineModel([_linear(t)]), "linear")
+
+
+@query("model_save_load_forest", _SAME)
+def model_save_load_forest(t: Testbed):
+    return _reloaded(t, _model(t, "random_forest"), "random_forest")
+
+
 def _holdout(t: Testbed):
-    return _shared(t, "holdout", lambda: modelling.holdout_validation(t.daily_table()))
+    return _shared(t, "holdout", lambda: modelling.holdout_validation(t.daily_table(), keep_fits=True))
 
 
 @query("holdout_validation")
@@ -232,7 +247,7 @@ def _run(t: Testbed, augment: Sizes | None = None):
     def build():
         folder = new_path(t.spark, "run")
         return folder, modelling.full_pipeline(
-            t.daily_table(), t.bom(), t.stock_fg(), t.stock_comp(), folder, augment=augment
+            t.daily_table(), t.bom(), t.stock_fg(), t.stock_comp(), folder, augment=augment, keep_fits=True
         )
 
     return _shared(t, f"run-{augment}", build)

@@ -1,12 +1,16 @@
+from dataclasses import replace
 from datetime import date, timedelta
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tidestock.models import regressors, store
+from tidestock.models.fits import rows_key
 from tidestock.models.linear import ItemLinearModel
 from tidestock.models.isolation import isolation_forest, mean_path
 from tidestock.models.regressors import INPUTS, Settings
@@ -332,11 +336,36 @@ def test_linear_model_equals_dummy_regression(spark):
     assert np.allclose(got["raw_prediction"], want[np.argsort(data["invoice_date"])])
     folder = new_path(spark, "linear")
     model.save(folder)
-    again = ItemLinearModel.load(spark, folder)
+    again = ItemLinearModel.load(folder)
     unseen = rows.limit(1).withColumn("item_id", F.lit("new"))
     assert again.transform(unseen).first()["raw_prediction"] == pytest.approx(model.transform(unseen).first()["raw_prediction"])
 
 
+def test_linear_model_is_a_pipeline_stage(spark):
+    rows = staged(model_rows(spark, 200), "rows")
+    model = PipelineModel([regressors.fit_linear(rows)])
+    folder = new_path(spark, "model")
+    store.save_model(spark, model, folder, "linear", INPUTS, {"r2": 1.0})
+    again, _ = store.load_model(spark, folder)
+    key = ["invoice_date", "raw_prediction"]
+    assert isinstance(again.stages[0], ItemLinearModel)
+    assert sorted(map(tuple, again.transform(rows).select(*key).collect())) == sorted(map(tuple, model.transform(rows).select(*key).collect()))
+
+
+def test_kept_fits_are_found_again(spark, monkeypatch):
+    vectors = regressors.training_vectors(model_rows(spark, 120), "qty")
+    first = regressors.fit_base("gbt", vectors, SMALL, keep=True)
+    reordered = staged(vectors.orderBy(F.rand(3)), "reordered")
+    with monkeypatch.context() as patched:
+        patched.setattr(GBTRegressor, "fit", lambda *_: pytest.fail("fitted again"))
+        again = regressors.fit_base("gbt", reordered, SMALL, keep=True)
+    assert again.toDebugString == first.toDebugString
+    deeper = regressors.fit_base("gbt", vectors, replace(SMALL, boost_depth=2), keep=True)
+    assert deeper.toDebugString != first.toDebugString
+    fewer = staged(vectors.limit(60), "fewer")
+    assert rows_key(fewer) != rows_key(vectors) and rows_key(reordered) == rows_key(vectors)
+
+
 def test_forests_may_use_all_inputs():
     forest = regressors.base_estimators(Settings())["random_forest"]
     assert forest.getFeatureSubsetStrategy() == "all" and forest.getMaxBins() == Settings.max_bins

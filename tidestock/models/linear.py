@@ -7,12 +7,12 @@ of the centred columns; the item effects are a table, however many items there a
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.session import staged
@@ -20,18 +20,20 @@ from tidestock.session import staged
 SHAPE = "inputs array<string>, weights array<double>, label string, item string, average double"
 
 
-@dataclass(frozen=True)
-class ItemLinearModel:
-    """Weights of the inputs and ``effects`` (item, effect); an unknown item takes the average effect."""
+class ItemLinearModel(Model, MLReadable, MLWritable):
+    """Weights of the inputs and ``effects`` (item, effect); an unknown item takes the average effect.
 
-    inputs: list[str]
-    weights: list[float]
-    label: str
-    item: str
-    average: float
-    effects: DataFrame
+    A Spark ML model: it can be a stage of a pipeline, and is saved with its table of effects.
+    """
 
-    def transform(self, rows: DataFrame) -> DataFrame:
+    def __init__(
+        self, inputs: Sequence[str], weights: Sequence[float], label: str, item: str, average: float, effects: DataFrame
+    ):
+        super().__init__()
+        self.inputs, self.weights, self.label = list(inputs), list(weights), label
+        self.item, self.average, self.effects = item, average, effects
+
+    def _transform(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``raw_prediction``."""
         effects = self.effects.select(F.col(self.item).alias("_item"), F.col("effect").alias("_effect"))
         joined = rows.join(effects, F.col(self.item) == F.col("_item"), "left")
@@ -40,18 +42,32 @@ class ItemLinearModel:
             value = value + F.col(name) * F.lit(weight)
         return joined.withColumn("raw_prediction", value).drop("_item", "_effect")
 
-    def save(self, folder: str) -> None:
-        row = (self.inputs, self.weights, self.label, self.item, self.average)
-        self.effects.sparkSession.createDataFrame([row], SHAPE).write.mode("overwrite").parquet(f"{folder}/weights")
-        self.effects.write.mode("overwrite").parquet(f"{folder}/effects")
+    def write(self) -> MLWriter:
+        return _ItemLinearWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _ItemLinearReader()
+
+
+class _ItemLinearWriter(MLWriter):
+    def __init__(self, model: ItemLinearModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        model, spark = self.model, self.model.effects.sparkSession
+        DefaultParamsWriter.saveMetadata(model, path, spark)
+        row = (model.inputs, model.weights, model.label, model.item, model.average)
+        spark.createDataFrame([row], SHAPE).write.parquet(f"{path}/weights")
+        model.effects.write.parquet(f"{path}/effects")
 
-    @staticmethod
-    def load(spark: SparkSession, folder: str) -> ItemLinearModel:
-        row = spark.read.schema(SHAPE).parquet(f"{folder}/weights").first()
-        return ItemLinearModel(**row.asDict(), effects=spark.read.parquet(f"{folder}/effects"))
 
-    def __repr__(self) -> str:
-        return f"ItemLinearModel({json.dumps(dict(zip(self.inputs, self.weights, strict=True)))})"
+class _ItemLinearReader(MLReader):
+    def load(self, path: str) -> ItemLinearModel:
+        spark = self.sparkSession
+        row = spark.read.schema(SHAPE).parquet(f"{path}/weights").first()
+        return ItemLinearModel(**row.asDict(), effects=spark.read.parquet(f"{path}/effects"))
 
 
 def fit_item_linear(train: DataFrame, inputs: Sequence[str], label: str = "qty", item: str = "item_id") -> ItemLinearModel:

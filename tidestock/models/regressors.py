@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
@@ -20,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.functions.numeric import floor_zero
+from tidestock.models.fits import Job, fit_all, fitted, rows_key
 from tidestock.models.linear import ItemLinearModel, fit_item_linear
 from tidestock.operators.features import FEATURES
 from tidestock.operators.metrics import regression_metrics
@@ -117,20 +116,25 @@ def as_pipeline(fitted, column: str = "raw_prediction") -> PipelineModel:
 
 
 def fit_single(
-    name: str, train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
+    name: str, train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty",
+    keep: bool = False,
 ) -> PipelineModel:
     """One ensemble model as a pipeline that writes ``raw_prediction``."""
-    return as_pipeline(base_estimators(settings, label)[name].fit(training_vectors(train, label, key)))
+    return as_pipeline(fit_base(name, training_vectors(train, label, key), settings, label, keep))
 
 
-def fit_all(jobs: list, parallelism: int) -> list:
-    """Fitted models of ``(estimator, rows)`` pairs, some at a time."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        fit = inheritable_thread_target(lambda job: job[0].fit(job[1]))
-        return list(pool.map(fit, jobs))
+def fit_base(name: str, vectors: DataFrame, settings: Settings = Settings(), label: str = "qty", keep: bool = False):
+    """One ensemble model on staged vectors; ``keep`` writes it for later calls (:mod:`fits`)."""
+    return fitted(Job(base_estimators(settings, label)[name], vectors, _key(vectors, label, keep)))
 
 
-def out_of_fold(vectors: DataFrame, settings: Settings = Settings(), label: str = "qty") -> DataFrame:
+def _key(vectors: DataFrame, label: str, keep: bool, fold: int | None = None) -> str | None:
+    return f"{rows_key(vectors, [label, 'features'])} without fold {fold}" if keep else None
+
+
+def out_of_fold(
+    vectors: DataFrame, settings: Settings = Settings(), label: str = "qty", keep: bool = False
+) -> DataFrame:
     """Base predictions of every row by models that did not see its fold.
 
     ``vectors`` is a staged table (label, features, fold); each fold's rows are scored by its
@@ -138,7 +142,10 @@ def out_of_fold(vectors: DataFrame, settings: Settings = Settings(), label: str
     """
     estimators = list(base_estimators(settings, label).values())
     folds = range(settings.folds)
-    models = iter(fit_all([(e, vectors.where(F.col("fold") != k)) for k in folds for e in estimators], settings.parallelism))
+    others = [vectors.where(F.col("fold") != k) for k in folds]
+    keys = [_key(rows, label, keep, k) for k, rows in zip(folds, others)]
+    jobs = [Job(e, rows, key) for rows, key in zip(others, keys) for e in estimators]
+    models = iter(fit_all(jobs, settings.parallelism))
     united = None
     for fold in folds:
         part = vectors.where(F.col("fold") == fold)
@@ -162,15 +169,18 @@ def fit_ridge(scored: DataFrame, alpha: float, scale: bool, label: str = "qty")
     return ridge.fit(scored)
 
 
-def fit_bases(vectors: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, object]:
+def fit_bases(
+    vectors: DataFrame, settings: Settings = Settings(), label: str = "qty", keep: bool = False
+) -> dict[str, object]:
     """The three base models fitted on all rows of ``vectors``, by name."""
-    estimators = base_estimators(settings, label)
-    return dict(zip(estimators, fit_all([(e, vectors) for e in estimators.values()], settings.parallelism), strict=True))
+    estimators, key = base_estimators(settings, label), _key(vectors, label, keep)
+    models = fit_all([Job(e, vectors, key) for e in estimators.values()], settings.parallelism)
+    return dict(zip(estimators, models, strict=True))
 
 
 def stack(
     vectors: DataFrame, bases: dict[str, object], settings: Settings = Settings(), label: str = "qty",
-    scored: DataFrame | None = None,
+    scored: DataFrame | None = None, keep: bool = False,
 ) -> PipelineModel:
     """Stacked model from fitted base models and their out-of-fold predictions on ``vectors``.
 
@@ -179,7 +189,7 @@ def stack(
     predictions where the caller has them already.
     """
     meta_inputs = VectorAssembler(inputCols=[f"p_{name}" for name in bases], outputCol="meta_features")
-    scored = out_of_fold(vectors, settings, label) if scored is None else scored
+    scored = out_of_fold(vectors, settings, label, keep) if scored is None else scored
     meta = staged(meta_inputs.transform(scored).select(label, "meta_features"), "out-of-fold")
     ridge = fit_ridge(meta, settings.ridge_alpha, settings.scale_meta, label)
     return PipelineModel([assembler(), *bases.values(), meta_inputs, ridge])
@@ -190,11 +200,11 @@ def folded_vectors(train: DataFrame, settings: Settings, key: Sequence[str] = RO
 
 
 def fit_stacking(
-    train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty"
+    train: DataFrame, settings: Settings = Settings(), key: Sequence[str] = ROW_KEY, label: str = "qty", keep: bool = False
 ) -> PipelineModel:
-    """Stacked model: out-of-fold base predictions feed a ridge regression."""
+    """Stacked model: out-of-fold base predictions feed a ridge regression. ``keep``: see :mod:`fits`."""
     vectors = folded_vectors(train, settings, key, label)
-    return stack(vectors, fit_bases(vectors, settings, label), settings, label)
+    return stack(vectors, fit_bases(vectors, settings, label, keep), settings, label, keep=keep)
 
 
 def predict_rows(model: PipelineModel | ItemLinearModel, rows: DataFrame) -> DataFrame:
@@ -214,14 +224,16 @@ def feature_importance(train: DataFrame, label: str = "qty", inputs: Sequence[st
     )
 
 
-def fit_models(train: DataFrame, settings: Settings = Settings(), label: str = "qty") -> dict[str, object]:
+def fit_models(
+    train: DataFrame, settings: Settings = Settings(), label: str = "qty", keep: bool = False
+) -> dict[str, object]:
     """Linear, the three ensemble models and the stacked one on one training set; each base is fitted once."""
     vectors = folded_vectors(train, settings, label=label)
-    bases = fit_bases(vectors, settings, label)
+    bases = fit_bases(vectors, settings, label, keep)
     return {
         "linear": fit_linear(train, label),
         **{name: as_pipeline(fitted) for name, fitted in bases.items()},
-        "stacking": stack(vectors, bases, settings, label),
+        "stacking": stack(vectors, bases, settings, label, keep=keep),
     }
 
 
@@ -235,8 +247,8 @@ def scored_rows(models: dict[str, object], test: DataFrame, label: str = "qty")
 
 
 def train_and_evaluate(
-    train: DataFrame, test: DataFrame, settings: Settings = Settings(), label: str = "qty"
+    train: DataFrame, test: DataFrame, settings: Settings = Settings(), label: str = "qty", keep: bool = False
 ) -> tuple[dict[str, object], DataFrame]:
     """(fitted models, metrics of the five models on one split, one row per model)."""
-    models = fit_models(train, settings, label)
+    models = fit_models(train, settings, label, keep)
     return models, regression_metrics(scored_rows(models, test, label), ["model"])

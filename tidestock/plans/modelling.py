@@ -56,7 +56,8 @@ def model_detail(model: PipelineModel, features: DataFrame, codes: DataFrame, mo
 
 
 def holdout_predictions(
-    features: DataFrame, year: int | None = None, month: int | None = None, settings: Settings = HOLDOUT_SETTINGS
+    features: DataFrame, year: int | None = None, month: int | None = None, settings: Settings = HOLDOUT_SETTINGS,
+    keep_fits: bool = False,
 ) -> DataFrame:
     """Rows of the held-out month with predictions of a model trained on all other months.
 
@@ -67,21 +68,22 @@ def holdout_predictions(
     def prepared(df: DataFrame) -> DataFrame:
         return encode_with(df.drop("item_code"), train, "item_id", "item_code").fillna(0, INPUTS)
 
-    model = fit_stacking(prepared(train), settings)
+    model = fit_stacking(prepared(train), settings, keep=keep_fits)
     return predict_rows(model, prepared(test)).withColumn("actual", F.col("qty"))
 
 
 def holdout_validation(
     daily: DataFrame, year: int | None = None, month: int | None = None, settings: Settings = HOLDOUT_SETTINGS,
-    leak_free: bool = True,
+    leak_free: bool = True, keep_fits: bool = False,
 ) -> dict[str, DataFrame]:
     """Scores with verdict, and the revenue gap per item, of one held-out month.
 
     The means among the inputs are those of earlier rows, unless ``leak_free`` is off: means over the whole
-    table know the held-out quantities and make every score too good.
+    table know the held-out quantities and make every score too good. ``keep_fits`` writes each base model
+    for later calls with the same rows and settings.
     """
     features = staged_features(daily, leak_free=leak_free)
-    scored = staged(holdout_predictions(features, year, month, settings), "holdout")
+    scored = staged(holdout_predictions(features, year, month, settings, keep_fits), "holdout")
     error = one_row(mape_table(scored))["mape_all"]
     scores = regression_metrics(scored).withColumn("mape", error)
     return {"scores": quality_verdict(scores), "revenue_gap": revenue_gap(scored), "rows": scored}
@@ -111,11 +113,12 @@ def full_pipeline(
     settings: Settings = Settings(),
     months: int = 12,
     augment: Sizes | None = None,
+    keep_fits: bool = False,
 ) -> dict[str, DataFrame]:
     """Preprocess, build features, fit and compare models, save the stacked one, forecast and plan.
 
     ``augment`` adds synthetic rows of these sizes to the training part only. All models, those of
-    time series too, see the same treated rows.
+    time series too, see the same treated rows. ``keep_fits`` writes each base model for later calls.
     """
     spark = daily.sparkSession
     seen = preprocess(daily, SPLIT_KEY)
@@ -125,7 +128,7 @@ def full_pipeline(
     if augment is not None:
         enlarged = augmented_table(staged(train, "train"), augment).drop("item_code", "site_code")
         train = staged(enlarged.join(item_codes(features), "item_id"), "augmented-train")
-    models, scores = train_and_evaluate(train, test, settings)
+    models, scores = train_and_evaluate(train, test, settings, keep=keep_fits)
     scores = staged(scores.unionByName(series_scores(treated)), "scores")
     best = compare_models(scores)
 
