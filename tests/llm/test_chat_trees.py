@@ -69,13 +69,29 @@ def test_cycles_are_refused(spark):
         c.format_trees(spark.createDataFrame(rows, SCHEMA))
 
 
+def test_null_trees_and_repeated_rows(spark):
+    chain = [("a", None), ("b", 1), ("c", 2), ("d", 3)]
+    for tree in (None, 4):
+        rows = [(tree, n, parent, "user", text, 1.0) for n, (text, parent) in enumerate(chain, 1)]
+        (row,) = c.format_trees(spark.createDataFrame([*rows, rows[2], rows[2], rows[0]], SCHEMA).repartition(5)).collect()
+        assert row.tree == tree and row.score == 4.0
+        assert c.read_turns(row.formatted) == [("user", text) for text, _ in chain]
+
+
+@pytest.mark.parametrize("other", [(1, 2, 1, "user", "else", 1.0), (1, 2, 1, "user", "b", 2.0), (1, None, 1, "user", "b", 1.0)])
+def test_two_messages_with_one_id_are_refused(spark, other):
+    rows = [(1, 1, None, "user", "a", 1.0), (1, 2, 1, "user", "b", 1.0), other]
+    with pytest.raises(ValueError, match="unique"):
+        c.format_trees(spark.createDataFrame(rows, SCHEMA))
+
+
 def test_edges_and_empty(spark):
     turns = spark.createDataFrame(
         [(1, 0, "user", None, 1), (1, 0, "user", None, 1), (1, None, None, "first", 1), (None, 3, "assistant", "lost", 2), (2, 1, "assistant", "x" * 500_000, 1)],
         "conv_id long, turn long, role string, text string, node int",
     )
     got = {r.tree: c.read_turns(r.formatted) for r in c.format_trees(c.conversations_as_trees(turns)).collect()}
-    assert got == {1: [("", "first"), ("user", ""), ("user", "")], -(1 << 63): [("assistant", "lost")], 2: [("assistant", "x" * 500_000)]}
+    assert got == {1: [("", "first"), ("user", ""), ("user", "")], None: [("assistant", "lost")], 2: [("assistant", "x" * 500_000)]}
     assert c.format_trees(c.conversations_as_trees(turns.limit(0))).count() == 0
 
 

@@ -15,8 +15,10 @@ and backslashes are escaped as well. The loss mask is the list of code point spa
 assistant's (escaped) texts.
 
 Defined results: null text and role are empty; a missing parent makes a message a root; a reply
-cycle is an error; equal scores rank by message id; a null tree id is a tree of its own; message
-ids must be unique in their tree; an empty table gives no conversations.
+cycle is an error; equal scores rank by message id; a null tree id is a tree of its own, whose
+conversations have a null tree; a message without an id is an error; rows that repeat a message are
+one message, two different messages with one id in a tree an error; an empty table gives no
+conversations.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from tidestock.llm.rows import map_rows
 from tidestock.session import staged
 
+NO_TREE = -(1 << 63)
 START, END, LEARNED = "<|im_start|>", "<|im_end|>", "assistant"
 CONTROL, ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
@@ -120,13 +123,25 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     return path
 
 
+def unique_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages without their texts, each once, and their roles and texts; null trees get a number."""
+    tree = F.coalesce(F.col("tree").cast("long"), F.lit(NO_TREE)).alias("tree")
+    role, text = (F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text"))
+    version = F.xxhash64(role, text).alias("version")
+    slim = staged(messages.select(tree, "node", "parent", "score", version).distinct(), "messages")
+    doubtful = slim.groupBy("tree", "node").count().where("count > 1 or node is null")
+    if not doubtful.isEmpty():
+        raise ValueError(f"message ids must be unique in their tree and not null: {doubtful.first()}")
+    return slim.drop("version"), messages.select(tree, "node", role, text).dropDuplicates(["tree", "node"])
+
+
 def format_trees(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     """Formats the chosen paths of ``messages`` (``tree, node, parent, role, text, score``; ids are numbers).
 
     Returns ``tree, leaf, score, formatted, loss``.
     """
-    texts = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = best_paths(messages, branches).join(texts, ["tree", "node"])
+    slim, texts = unique_messages(messages)
+    turns = best_paths(slim, branches).join(texts, ["tree", "node"])
     whole = turns.groupBy("tree", "leaf", "score").agg(
         F.sort_array(F.collect_list(F.struct("position", "role", "text"))).alias("turns")
     )
@@ -134,7 +149,7 @@ def format_trees(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     def work(rows):
         for tree, leaf, score, turns in rows:
             formatted, spans = format_turns([(t["role"], t["text"]) for t in turns])
-            yield tree, leaf, score, formatted, [{"start": a, "stop": b} for a, b in spans]
+            yield None if tree == NO_TREE else tree, leaf, score, formatted, [{"start": a, "stop": b} for a, b in spans]
 
     return map_rows(whole, work, FORMATTED)
 
@@ -146,7 +161,7 @@ def conversations_as_trees(conversations: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     numbered = conversations.select(
-        F.coalesce(F.col("conv_id").cast("long"), F.lit(-(1 << 63))).alias("tree"), "turn", "role", "text"
+        F.coalesce(F.col("conv_id").cast("long"), F.lit(NO_TREE)).alias("tree"), "turn", "role", "text"
     ).withColumn("node", F.row_number().over(order).cast("long"))
     return numbered.select(
         "tree", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(1.0).alias("score")

@@ -48,8 +48,7 @@ def op1_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
             turns = chat_trees.read_turns(formatted)
             learned = chat_trees.read_loss(formatted, [(s["start"], s["stop"]) for s in loss])
             whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-            conv_id = None if tree == -(1 << 63) else tree
-            yield conv_id, len(turns), sha256(whole), len(learned), sha256(learned), len(formatted)
+            yield tree, len(turns), sha256(whole), len(learned), sha256(learned), len(formatted)
 
     return map_rows(
         chat_trees.format_trees(messages).select("tree", "formatted", "loss"), digest,
