@@ -12,14 +12,16 @@ import math
 from collections.abc import Iterable, Mapping
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestock.functions.search import with_place
 from tidestock.session import staged
 
-#: Distinct values that the driver ranks (2 MB), and ranges that larger sets are cut into.
-HELD, BUCKETS = 1 << 17, 1 << 10
+#: Distinct values that the driver ranks (16 MB), and ranges that larger sets are cut into.
+HELD, BUCKETS = 1 << 20, 1 << 10
 
 
 def _at_ranks(values: np.ndarray, sizes: np.ndarray, ranks: Iterable[int], before: int) -> dict[int, float]:
@@ -31,10 +33,12 @@ def _at_ranks(values: np.ndarray, sizes: np.ndarray, ranks: Iterable[int], befor
 
 def _held(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray] | None:
     """Values and sizes if there are at most so many."""
-    rows = counts.limit(most + 1).collect()
-    if len(rows) > most:
-        return None
-    return np.array([r["_value"] for r in rows], float), np.array([r["_n"] for r in rows], np.int64)
+    rows = counts.limit(most + 1).toArrow()
+    return None if rows.num_rows > most else _arrays(rows)
+
+
+def _arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return rows["_value"].to_numpy(), rows["_n"].to_numpy()
 
 
 def _values_at(counts: DataFrame, ranks: set[int], before: int, held: int, buckets: int) -> dict[int, float]:
@@ -43,7 +47,7 @@ def _values_at(counts: DataFrame, ranks: set[int], before: int, held: int, bucke
     if small is not None:
         return _at_ranks(*small, ranks, before)
     shares = [k / buckets for k in range(1, buckets)]
-    fences = sorted(set(counts.agg(F.percentile_approx("_value", shares, 10 * buckets)).first()[0]))
+    fences = sorted(set(counts.agg(F.percentile_approx("_value", shares, 4 * buckets)).first()[0]))
     marked = with_place(counts, "_value", fences, "_bucket", or_equal=True)
     totals = sorted(tuple(r) for r in marked.groupBy("_bucket").agg(F.sum("_n"), F.count("*")).collect())
     wanted: dict[int, tuple[set[int], int, int]] = {}
@@ -54,10 +58,9 @@ def _values_at(counts: DataFrame, ranks: set[int], before: int, held: int, bucke
         before += size
     found: dict[int, float] = {}
     if sum(distinct for _, _, distinct in wanted.values()) <= held:
-        rows = marked.where(F.col("_bucket").isin(list(wanted))).select("_value", "_n", "_bucket").collect()
+        rows = marked.where(F.col("_bucket").isin(list(wanted))).select("_value", "_n", "_bucket").toArrow()
         for bucket, (own, start, _) in wanted.items():
-            part = [(r["_value"], r["_n"]) for r in rows if r["_bucket"] == bucket]
-            found |= _at_ranks(np.array([v for v, _ in part], float), np.array([n for _, n in part], np.int64), own, start)
+            found |= _at_ranks(*_arrays(rows.filter(pc.equal(rows["_bucket"], bucket))), own, start)
     else:
         for bucket, (own, start, _) in wanted.items():
             inside = marked.where(F.col("_bucket") == bucket).select("_value", "_n")
