@@ -9,9 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidestock.llm import token_files
+from tidestock.llm import store, token_files
 from tidestock.llm.queries import QUERIES
-from tidestock.llm.store import string_hashes
+from tidestock.llm.store import PackedStore, string_hashes
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(FILE)
@@ -80,6 +80,37 @@ def test_given_texts(text):
     assert token_files.encoder(FILE).encode_all([text or ""])[0].tolist() == library(text)
 
 
+def test_short_strings_are_told_apart_without_a_digest(monkeypatch):
+    def digest(*args, **kwargs):
+        raise AssertionError("no digest for up to 15 bytes")
+
+    monkeypatch.setattr(store.hashlib, "blake2b", digest)
+    strings = ["", "\0", *("\0" * n for n in range(2, 16)), *(c * n for c in "aé" for n in range(1, 8)), "a" * 15, "\0" * 14 + "a", "a" + "\0" * 14]
+    strings = sorted({*strings, *(f"same start{i}" for i in range(10_000))})
+    low, high = string_hashes(pa.array(strings))
+    assert len(set(zip(low.tolist(), high.tolist()))) == len(strings)
+    with pytest.raises(AssertionError):
+        string_hashes(pa.array(["a" * 16]))
+    assert [len(x) for x in string_hashes(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_keys_that_share_a_half_are_found(monkeypatch):
+    """Before, the second of two entries with one first half was looked for without end."""
+    few = lambda strings: (h := string_hashes(strings), (h[0] % 3, h[1]))[1]
+    monkeypatch.setattr(store, "string_hashes", few)
+    own, asked = PackedStore(100), []
+
+    def lists(strings):
+        asked.extend(strings)
+        assert len(asked) < 200
+        return [[int(s)] * 2 for s in strings]
+
+    for numbers in (range(30), range(20, 60), range(90)):
+        flat, first, sizes = own.lists_of(pa.array([str(i) for i in numbers]), lists)
+        assert flat[first].tolist() == flat[first + 1].tolist() == list(numbers) and set(sizes.tolist()) == {2}
+    assert sorted(map(int, asked)) == list(range(90))
+
+
 def check(rows, docs):
     start = 0
     rows = sorted(rows, key=lambda r: r.start)

@@ -34,15 +34,47 @@ class Store:
         return len(self.young) + len(self.old)
 
 
+#: Longest string, in bytes, that is its own key.
+SHORT = 15
+
+
 def string_hashes(strings: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """The two halves of a 128-bit BLAKE2 digest of every string: no two different texts are known to share one."""
-    digests = b"".join(hashlib.blake2b(s.encode(), digest_size=16).digest() for s in strings.to_pylist())
-    halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
-    return halves[:, 0].copy(), halves[:, 1].copy()
+    """The two halves of a 128-bit key of every string: no two different texts are known to share one.
+
+    Strings up to ``SHORT`` bytes are their own key, with their length in the last byte, so none of them share it.
+    Longer ones have 127 bits of a BLAKE2 digest; the first bit is set, which no short string's is.
+    """
+    if not len(strings):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    first, sizes = ends[:-1] - ends[0], np.diff(ends)
+    own = (np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].tobytes() if data else b"") + bytes(16)
+    words = np.ndarray((len(own) - 7,), "<u8", own, strides=(1,))  # the eight bytes from each place
+    kept = lambda n: ~(np.uint64(2**64 - 1) << (8 * np.minimum(n, 7)).astype(np.uint64))
+    low = np.where(sizes < 8, words[first] & kept(sizes), words[first])
+    high = words[np.minimum(first + 8, len(words) - 1)] & np.where(sizes > 8, kept(np.clip(sizes - 8, 0, 7)), np.uint64(0))
+    high |= np.minimum(sizes, SHORT).astype(np.uint64) << np.uint64(56)
+    long = np.flatnonzero(sizes > SHORT)
+    if len(long):
+        digests = b"".join(
+            hashlib.blake2b(own[a:b], digest_size=16).digest()
+            for a, b in zip(first[long].tolist(), (first + sizes)[long].tolist())
+        )
+        halves = np.frombuffer(digests, "<u8").reshape(-1, 2)
+        low[long], high[long] = halves[:, 0], halves[:, 1] | np.uint64(1 << 63)
+    low ^= mixed(high)  # both steps can be undone, so pairs stay apart, and each half alone almost always
+    return low, high ^ mixed(low)
+
+
+def mixed(numbers: np.ndarray) -> np.ndarray:
+    out = (numbers ^ numbers >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    out = (out ^ out >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ out >> np.uint64(32)
 
 
 class PackedStore:
-    """Lists of numbers by the two halves of a string's hash, about 40 bytes an entry.
+    """Lists of numbers by the two halves of a string's key, about 40 bytes an entry.
 
     Forgets everything when the bound is reached.
     """
@@ -63,8 +95,16 @@ class PackedStore:
         """Where each entry is, and whether it is there."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+        last = len(self.keys) - 1
+        at = np.minimum(np.searchsorted(self.keys, keys), last)
+        there = (self.keys[at] == keys) & (self.checks[at] == checks)
+        left = np.flatnonzero(~there & (self.keys[at] == keys))
+        while len(left):  # others with the same first half
+            at[left] = np.minimum(at[left] + 1, last)
+            same = self.keys[at[left]] == keys[left]
+            there[left] = same & (self.checks[at[left]] == checks[left])
+            left = left[same & ~there[left] & (at[left] < last)]
+        return at, there
 
     def add(self, keys: np.ndarray, checks: np.ndarray, values: list[list[int]]) -> None:
         """New entries. What was found before may be elsewhere afterwards."""

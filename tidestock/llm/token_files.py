@@ -161,7 +161,7 @@ def pack_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     for width in np.unique(widths).tolist():
         own = np.flatnonzero(widths == width)
         inside = np.where(outliers[own], 0, offsets[own])
-        bits = ((inside[:, :, None] >> np.arange(width, dtype=np.uint32)) & 1).astype(np.uint8)
+        bits = np.unpackbits(inside.astype("<u4").ravel().view(np.uint8), bitorder="little").reshape(-1, 32)[:, :width]
         packed = np.packbits(bits.reshape(len(own), -1), axis=1)
         for k, body in zip(own.tolist(), packed):
             bodies[k] = body.tobytes()
@@ -187,11 +187,10 @@ def unpack_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
     for width in np.unique(widths[widths > 0]).tolist():
         own = np.flatnonzero(widths == width)
         packed = every[starts[own][:, None] + 6 + np.arange(BLOCK * width // 8)]
-        bits = np.unpackbits(packed, axis=1).reshape(len(own), BLOCK, width)
-        values = np.zeros((len(own), BLOCK), np.uint32)
-        for k in range(width):
-            values |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
-        out[own] = values
+        kind = "<u2" if width <= 16 else "<u4"
+        bits = np.zeros((len(own) * BLOCK, 8 * int(kind[-1])), np.uint8)
+        bits[:, :width] = np.unpackbits(packed.ravel()).reshape(-1, width)
+        out[own] = np.packbits(bits.ravel(), bitorder="little").view(kind).reshape(len(own), BLOCK)
     for k in np.flatnonzero(counts).tolist():
         at, n = int(starts[k]) + 6 + BLOCK * int(widths[k]) // 8, int(counts[k])
         out[k, every[at:at + n]] = np.frombuffer(data, "<u4", n, at + n)
