@@ -99,6 +99,31 @@ def test_groups_of_all_texts(spark):
     assert sorted(out, key=repr) == sorted(((k, plain_groups(t)) for k, t in MORE), key=repr)
 
 
+LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet=LETTERS, min_size=1, max_size=12), st.text(alphabet="!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~×÷ªº²9", max_size=3)), min_size=1, max_size=8))
+def test_words_with_stops_are_the_librarys(words):
+    stretches = [f" {word}{stops}" for word, stops in words] + [" don't", " 's", " <|endoftext|>", " |>", "  x", " ", " a1", " a.b", " ."]
+    assert ENCODER.a_ids(stretches) == [e.ids for e in A.encode_batch(stretches, add_special_tokens=False)]
+
+
+def test_most_stretches_need_the_merges_only(monkeypatch):
+    seen = []
+
+    class Library:
+        def encode_batch(self, texts, **kwargs):
+            seen.extend(texts)
+            return A.encode_batch(texts, **kwargs)
+
+    monkeypatch.setattr(ENCODER, "a", Library())
+    monkeypatch.setattr(alignment, "MAX_STOPS", 2)
+    stretches = [*(f" {c}" for c in LETTERS if c not in "ªµº"), " word.", " été,", " Straße!?", " x##", " a\nb", " it's", " 42"]
+    assert ENCODER.a_ids(stretches) == [e.ids for e in A.encode_batch(stretches, add_special_tokens=False)]
+    assert seen == [" a\nb", " it's", " 42"]
+
+
 def whole(text):
     found = alignment.fragments_of(ENCODER, [" " + text], np.array([0]), np.array([len((" " + text).encode())]))
     return found.closed().written(ENCODER)[0].decode()

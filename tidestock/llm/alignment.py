@@ -27,6 +27,7 @@ tokens and no groups; texts and ids may repeat, every row counts as a document;
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -54,6 +55,9 @@ CHUNK, FAN_IN = 1 << 15, 8
 TOGETHER, BLOCK, DIRECT = 1 << 19, 1 << 20, 1 << 12
 MAX_STRETCHES = 300_000
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+#: A space and Latin letters, then stops: two words for the merges of a byte-level tokenizer.
+WORD = re.compile(r" ([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+MAX_STOPS = 4096
 BLANK_END, BAD = 1, 2
 FRAGMENT = "ok boolean, a array<int>, b array<int>, a_sizes array<int>, b_sizes array<int>"
 
@@ -70,6 +74,7 @@ class PairEncoder:
         #: Fixed: how byte-level vocabularies write the 256 bytes.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [b for b in range(256) if b not in set(plain)]
+        self.written = {b: chr(256 + k) for k, b in enumerate(moved)}
         byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(moved)}
         self.a_bytes = [bytes(byte_of.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size())]
         pieces = self.b.id_to_piece(list(range(self.b.get_piece_size())))
@@ -85,6 +90,14 @@ class PairEncoder:
         if any(MARK in p[1:].lstrip(MARK) for p in pieces):
             raise ValueError("pieces with a space after another character are not supported")
         self.store = PackedStore(MAX_STRETCHES)
+        self.space = self.b.piece_to_id(MARK)  # asked once, as the library takes long
+        #: Whether the merges can be asked directly for the two parts of a :data:`WORD`, and the ids of stops.
+        step = json.loads(self.a.to_str())["pre_tokenizer"]
+        self.model, self.stops, self.direct = self.a.model, {}, (
+            step["type"] == "ByteLevel" and step.get("use_regex", True) and not step["add_prefix_space"]
+            and self.a.truncation is None and self.a.padding is None
+            and all(t.special for t in self.a.get_added_tokens_decoder().values())
+        )
         digits = [f"{i},".encode() for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.digits = np.frombuffer(b"".join(digits), np.uint8)
         self.digit_sizes = np.array(list(map(len, digits)), np.int64)
@@ -92,16 +105,41 @@ class PairEncoder:
 
     def encode_stretches(self, stretches: list[str]) -> list[list[int]]:
         """Flags, number of A ids, A ids and B ids of each; all begin with a space."""
-        a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        b = self.b.encode([s[1:] for s in stretches], num_threads=1)
+        a, b = self.a_ids(stretches), self.b.encode([s[1:] for s in stretches], num_threads=1)
         if " " in stretches:
-            b[stretches.index(" ")] = [self.b.piece_to_id(MARK)]
+            b[stretches.index(" ")] = [self.space]
         bad = self.differing(stretches, a, self.a_bytes, self.a_lengths) | self.differing(stretches, b, self.b_bytes, self.b_lengths)
         flags = [BLANK_END * s[-1].isspace() for s in stretches]
         for k in np.flatnonzero(bad).tolist():
             flags[k] |= BAD
         return [[flag, len(x), *x, *y] for flag, x, y in zip(flags, a, b)]
 
+    def a_ids(self, stretches: list[str]) -> list[list[int]]:
+        """The library's A ids of each, for most without its way from text to words."""
+        if not self.direct:
+            return [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
+        tokenize, space = self.model.tokenize, self.written[32]
+        out, others = [], []
+        for s in stretches:
+            found = WORD.fullmatch(s)
+            if found is None:
+                out.append(None)
+                others.append(s)
+                continue
+            word, stops = found.groups()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.written)
+            ids = [t.id for t in tokenize(space + word)]
+            if stops:
+                if stops not in self.stops:
+                    if len(self.stops) >= MAX_STOPS:
+                        self.stops.clear()
+                    self.stops[stops] = [t.id for t in tokenize(stops)]
+                ids += self.stops[stops]
+            out.append(ids)
+        rest = iter(self.a.encode_batch(others, add_special_tokens=False))
+        return [next(rest).ids if ids is None else ids for ids in out]
+
     @staticmethod
     def differing(stretches: list[str], ids: list[list[int]], bytes_of: list[bytes], lengths: np.ndarray) -> np.ndarray:
         """Which stretches their tokens don't give back."""
@@ -402,7 +440,7 @@ def link_blocks(
         docs = [(key, *values) for key, values in zip(chain(*keys), chain(*rows))]
         return (
             number, docs, packed(entries), packed(place), packed(np.concatenate(count)),
-            pairs.tolist(), np.bincount(place, minlength=len(pairs)).tolist(),
+            pairs, np.bincount(place, minlength=len(pairs)).astype(np.int32),
         )
 
     def blocks(some, own):
@@ -473,7 +511,7 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def document_links(blocks: DataFrame, columns: str) -> DataFrame:
     """For each document: ``key``, the ``columns`` of :func:`link_blocks`, ``n_links``, ``n_best`` and ``count_sum``."""
     table = blocks.select("block", F.explode("pairs").alias("pair")).join(pair_counts(blocks), "pair")
-    known = table.groupBy("block").agg(F.collect_list(F.struct("pair", "n", "best")).alias("known"))
+    known = table.groupBy("block").agg(F.collect_list(F.struct("pair", (F.col("n") * 2 + F.col("best").cast("long")).alias("n"))).alias("known"))
     own = blocks.select("block", "docs", "entries", "places", "links").join(known, "block", "left")
     key = blocks.schema["docs"].dataType.elementType["key"].dataType.simpleString()
     names = ["key", *[c.split()[0] for c in columns.split(",")], "n_links", "n_best", "count_sum"]
@@ -486,16 +524,16 @@ def document_links(blocks: DataFrame, columns: str) -> DataFrame:
                     continue
                 entries, places, links = (unpacked(batch.column(c)[k].as_py()) for c in (2, 3, 4))
                 known = batch.column(5).slice(k, 1).flatten()
-                pair, n, best = (known.field(f).to_numpy(zero_copy_only=False) for f in ("pair", "n", "best"))
-                order = np.argsort(pair)  # as in the block's table
+                pair, n = (known.field(f).to_numpy(zero_copy_only=False) for f in ("pair", "n"))
+                n = n[np.argsort(pair)]  # as in the block's table
                 ends = np.append(0, np.cumsum(entries))
 
                 def total(values):
                     return np.diff(np.append(0, np.cumsum(values))[ends])
 
                 yield pa.RecordBatch.from_arrays([
-                    *docs.flatten(), pa.array(total(links)), pa.array(total(links * best[order][places].astype(np.int64))),
-                    pa.array(total(links * n[order][places])),
+                    *docs.flatten(), pa.array(total(links)), pa.array(total(links * (n & 1)[places])),
+                    pa.array(total(links * (n >> 1)[places])),
                 ], names=names)
 
     return own.mapInArrow(sums, f"key {key}, {columns}, n_links long, n_best long, count_sum long")
