@@ -179,3 +179,26 @@ def test_long_groups_are_counted_by_distinct_ids(monkeypatch):
 @pytest.mark.parametrize("number", [0, 255, 256, 70_000, 1 << 40])
 def test_packed_numbers(number):
     assert alignment.unpacked(alignment.packed(np.array([1, number, 0]))).tolist() == [1, number, 0]
+
+
+def test_last_step_holds_one_block_at_a_time(spark, monkeypatch):
+    """Blocks that fall into one partition don't share a batch, and no list of a block's pairs is collected."""
+    monkeypatch.setattr(alignment, "BLOCK", 1)
+    rows = [(k, f"one two three {k} words, and some more") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks = alignment.link_blocks(docs, *FILES, lambda found, own: [(int(n),) for n in found.n_a], "n_a long")
+    out = alignment.document_links(blocks, "n_a long")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+    found = {r["key"]: (r["n_links"], r["n_best"], r["count_sum"]) for r in out.collect()}
+    assert found == {r[0]: r[4:7] for r in plain(rows)}
+
+
+def test_fragments_of_long_texts_travel_as_bytes(spark):
+    """Between the steps a text's fragments take at most half of what four lists of integers would."""
+    texts = spark.createDataFrame([(1, "some words of a long text, é 中 " * 3_000), (2, "x" * 40_000)], "key long, text string")
+    row = alignment.long_texts(texts, FILES)
+    assert dict(row.dtypes)["a"] == "binary"
+    for r in row.collect():
+        lists = [alignment.unpacked(v) for v in (r.a, r.b, r.a_sizes, r.b_sizes)]
+        assert sum(map(len, (r.a, r.b, r.a_sizes, r.b_sizes))) < 2 * sum(map(len, lists))

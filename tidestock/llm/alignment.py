@@ -60,6 +60,8 @@ WORD = re.compile(r" ([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 MAX_STOPS = 4096
 BLANK_END, BAD = 1, 2
 FRAGMENT = "ok boolean, a array<int>, b array<int>, a_sizes array<int>, b_sizes array<int>"
+#: The same between the steps for long texts, each list as its :func:`packed` bytes.
+PACKED = "ok boolean, a binary, b binary, a_sizes binary, b_sizes binary"
 
 
 class PairEncoder:
@@ -103,6 +105,11 @@ class PairEncoder:
         self.digit_sizes = np.array(list(map(len, digits)), np.int64)
         self.digit_first = np.cumsum(self.digit_sizes) - self.digit_sizes
 
+    def released(self) -> None:
+        """At the end of a task: workers live on, so what they keep adds to the executor's memory in every later step."""
+        self.store.clear()
+        pa.default_memory_pool().release_unused()
+
     def encode_stretches(self, stretches: list[str]) -> list[list[int]]:
         """Flags, number of A ids, A ids and B ids of each; all begin with a space."""
         a, b = self.a_ids(stretches), self.b.encode([s[1:] for s in stretches], num_threads=1)
@@ -216,6 +223,22 @@ class Fragments:
         ok, (a, n_a), (b, n_b), (a_sizes, pieces), (b_sizes, _) = columns[0].to_numpy(zero_copy_only=False), *map(lists, columns[1:])
         return cls(ok, a, b, n_a, n_b, a_sizes.astype(np.int64), b_sizes.astype(np.int64), pieces)
 
+    def packed(self) -> list[pa.Array]:
+        """As :data:`PACKED`: a third of the bytes, and nothing that Spark would copy number by number."""
+        columns = [pa.array(self.ok)]
+        for values, counts in ((self.a, self.n_a), (self.b, self.n_b), (self.a_sizes, self.pieces), (self.b_sizes, self.pieces)):
+            columns.append(pa.array([packed(part) for part in np.split(values, np.cumsum(counts)[:-1])], pa.binary()))
+        return columns
+
+    @classmethod
+    def of_packed(cls, columns: list[pa.Array]) -> Fragments:
+        def lists(column):
+            parts = [unpacked(data) for data in column.to_pylist()]
+            return np.concatenate([np.zeros(0, np.int64), *parts]), np.fromiter(map(len, parts), np.int64, len(parts))
+
+        ok, (a, n_a), (b, n_b), (a_sizes, pieces), (b_sizes, _) = columns[0].to_numpy(zero_copy_only=False), *map(lists, columns[1:])
+        return cls(ok, a, b, n_a, n_b, a_sizes, b_sizes, pieces)
+
     def composed(self) -> Fragments:
         """All of them, in order, as one."""
         joined = []
@@ -336,7 +359,7 @@ def byte_ranges(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 def long_texts(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
-    """``key`` and :data:`FRAGMENT` columns, still open, of texts that are cut into ranges and composed again."""
+    """``key`` and :data:`PACKED` columns, still open, of texts that are cut into ranges and composed again."""
 
     def cut(batches):
         number = TaskContext.get().partitionId() << 40
@@ -357,19 +380,19 @@ def long_texts(docs: DataFrame, files: tuple[str, str]) -> DataFrame:
                 if part.num_rows:
                     low, high = (part.column(k).to_numpy() for k in (4, 5))
                     found = fragments_of(own, part.column(3).to_pylist(), low, high)
-                    yield pa.RecordBatch.from_arrays([*part.columns[:3], *found.arrays()], names=names)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:3], *found.packed()], names=names)
         finally:
-            own.store.clear()
+            own.released()
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq").combine_chunks()
-        own = Fragments.of([c.chunk(0) for c in table.columns[3:]]).composed()
+        own = Fragments.of_packed([c.chunk(0) for c in table.columns[3:]]).composed()
         place = pa.array([table.column("seq")[0].as_py() // FAN_IN], pa.int64())
-        return pa.Table.from_arrays([table.column(0).slice(0, 1), table.column(1).slice(0, 1), place, *own.arrays()], names=names)
+        return pa.Table.from_arrays([table.column(0).slice(0, 1), table.column(1).slice(0, 1), place, *own.packed()], names=names)
 
     key = ddl(docs.select("key"))
     names = ["key", "row", "seq", "ok", "a", "b", "a_sizes", "b_sizes"]
-    kinds = f"{key}, row long, seq long, {FRAGMENT}"
+    kinds = f"{key}, row long, seq long, {PACKED}"
     windows = staged(docs.mapInArrow(cut, f"{key}, row long, seq long, window string, low long, high long"), "ranges")
     parts = staged(windows.repartition("row", "seq").mapInArrow(encode, kinds), "fragments")
     highest = parts.agg(F.max("seq")).first()[0]
@@ -399,12 +422,12 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
             for keys, found in aligned_batches(batches, own):
                 yield pa.RecordBatch.from_arrays([keys, *found.arrays()], names=names)
         finally:
-            own.store.clear()
+            own.released()
 
     def close(batches):
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *Fragments.of(batch.columns[1:]).closed().arrays()], names=names)
+            for part in fragment_slices(batch):
+                yield pa.RecordBatch.from_arrays([part.column(0), *Fragments.of_packed(part.columns[1:]).closed().arrays()], names=names)
 
     kinds = f"{ddl(docs.select(id_col))}, {FRAGMENT}"
     return short.mapInArrow(whole, kinds).unionByName(long_texts(long, files).mapInArrow(close, kinds))
@@ -474,11 +497,11 @@ def link_blocks(
             for row in blocks(aligned_batches(batches, own), own):
                 yield batch_of(row, schema)
         finally:
-            own.store.clear()
+            own.released()
 
     def composed(batches):
         own = pair_encoder(*files)
-        some = ((b.column(0), Fragments.of(b.columns[1:]).closed()) for batch in batches for b in fragment_slices(batch))
+        some = ((b.column(0), Fragments.of_packed(b.columns[1:]).closed()) for batch in batches for b in fragment_slices(batch))
         for row in blocks(some, own):
             row = (row[0] + (1 << 31), *row[1:])  # apart from those of short texts
             yield batch_of(row, schema)
@@ -488,8 +511,8 @@ def link_blocks(
 
 
 def fragment_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of fragments with a bounded number of A tokens, a row at least."""
-    sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+    """Parts of a batch of packed fragments with a bounded number of A tokens, a row at least."""
+    sizes = pc.binary_length(batch.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (np.cumsum(sizes) - sizes) // (TOGETHER // 4)
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, stop in zip(edges, edges[1:]):
@@ -511,29 +534,26 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def document_links(blocks: DataFrame, columns: str) -> DataFrame:
     """For each document: ``key``, the ``columns`` of :func:`link_blocks`, ``n_links``, ``n_best`` and ``count_sum``."""
     table = blocks.select("block", F.explode("pairs").alias("pair")).join(pair_counts(blocks), "pair")
-    known = table.groupBy("block").agg(F.collect_list(F.struct("pair", (F.col("n") * 2 + F.col("best").cast("long")).alias("n"))).alias("known"))
-    own = blocks.select("block", "docs", "entries", "places", "links").join(known, "block", "left")
+    known = table.select(F.col("block").alias("of"), "pair", (F.col("n") * 2 + F.col("best").cast("long")).alias("n"))
+    own = blocks.select("block", "docs", "entries", "places", "links")
     key = blocks.schema["docs"].dataType.elementType["key"].dataType.simpleString()
-    names = ["key", *[c.split()[0] for c in columns.split(",")], "n_links", "n_best", "count_sum"]
-
-    def sums(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                docs = batch.column(1).slice(k, 1).flatten()
-                if not len(docs):
-                    continue
-                entries, places, links = (unpacked(batch.column(c)[k].as_py()) for c in (2, 3, 4))
-                known = batch.column(5).slice(k, 1).flatten()
-                pair, n = (known.field(f).to_numpy(zero_copy_only=False) for f in ("pair", "n"))
-                n = n[np.argsort(pair)]  # as in the block's table
-                ends = np.append(0, np.cumsum(entries))
-
-                def total(values):
-                    return np.diff(np.append(0, np.cumsum(values))[ends])
-
-                yield pa.RecordBatch.from_arrays([
-                    *docs.flatten(), pa.array(total(links)), pa.array(total(links * (n & 1)[places])),
-                    pa.array(total(links * (n >> 1)[places])),
-                ], names=names)
-
-    return own.mapInArrow(sums, f"key {key}, {columns}, n_links long, n_best long, count_sum long")
+    result = f"key {key}, {columns}, n_links long, n_best long, count_sum long"
+    names = [name.strip().split()[0] for name in result.split(",")]
+
+    def sums(block: pa.Table, known: pa.Table) -> pa.Table:
+        """One block at a time: several in one Arrow batch would take memory by how many of them a task happens to get."""
+        own = block.combine_chunks()
+        docs, *data = (own.column(c).chunk(0) for c in ("docs", "entries", "places", "links"))
+        entries, places, links = (unpacked(d[0].as_py()) for d in data)
+        pair, n = (known.column(c).to_numpy() for c in ("pair", "n"))
+        n = n[np.argsort(pair)]  # as in the block's table
+        ends = np.append(0, np.cumsum(entries))
+
+        def total(values):
+            return pa.array(np.diff(np.append(0, np.cumsum(values))[ends]).astype(np.int64))
+
+        return pa.Table.from_arrays([
+            *docs.flatten().flatten(), total(links), total(links * (n & 1)[places]), total(links * (n >> 1)[places]),
+        ], names=names)
+
+    return own.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(sums, result)
