@@ -275,3 +275,17 @@ def test_rare_mix_needs_two_rows(spark):
     df, _ = hot_daily(spark)
     one = features.mean_features(features.date_features(df)).where("item_id = 'D'")
     assert rare_mix(one).count() == 0
+
+
+def test_gap_fill_by_series_shuffles_rows_not_days(spark):
+    """Rows go through one exchange and days through none; ties of a day stay, days without a date go."""
+    rows = [("A", START, 1.0), ("A", START, 2.0), ("A", START + timedelta(days=400), None), ("B", None, 3.0), ("B", START, 5.0), ("C", None, 1.0)]
+    filled = features.gap_fill_daily(spark.createDataFrame(rows, "item_id string, invoice_date date, qty double"), by=["item_id"])
+    plan = filled.groupBy("item_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+    got = sorted((r["item_id"], r["qty"]) for r in filled.where("qty > 0").collect())
+    assert got == [("A", 1.0), ("A", 2.0), ("B", 5.0)]
+    counts = {r["item_id"]: (r["count"], r["days"]) for r in filled.groupBy("item_id").agg(
+        F.count("*").alias("count"), F.count_distinct("invoice_date").alias("days")).collect()}
+    assert counts == {"A": (402, 401), "B": (1, 1)}
+    assert filled.agg(F.sum("qty")).first()[0] == 8.0
