@@ -15,8 +15,8 @@ from tidestock.models.linear import ItemLinearModel
 from tidestock.models.isolation import isolation_forest, mean_path
 from tidestock.models.regressors import INPUTS, Settings
 from tidestock.operators import arma, series
-from tidestock.operators.seasonal import TrendTimesSeason
-from tidestock.operators.unitroot import augmented_dickey_fuller, default_lags, p_value
+from tidestock.operators.seasonal import TrendsTimesSeasons, TrendTimesSeason
+from tidestock.operators.unitroot import augmented_dickey_fuller, augmented_dickey_fuller_many, default_lags, p_value
 from tidestock.session import new_path, staged
 
 START = date(2022, 1, 1)
@@ -384,3 +384,38 @@ def test_feature_importance_sums_to_one(spark):
     got = regressors.feature_importance(model_rows(spark)).collect()
     assert sum(r["importance"] for r in got) == pytest.approx(1.0)
     assert got[0]["feature"] == "qty_mean_item"
+
+
+def test_many_series_are_fitted_as_each_alone(spark):
+    """Seasons, lags and unit roots of a batch are those of one series at a time."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for n in (2, 3, 9, 30, 200, 900):
+        days = np.sort(rng.choice(1500, n, replace=False)) + 9_000
+        rows.append((days, rng.integers(1, 98, n).astype(float)))
+    together = TrendsTimesSeasons([d for d, _ in rows], [y for _, y in rows], np.full(len(rows), 1500.0))
+    ahead = np.arange(10_500, 10_530)
+    for k, (days, y) in enumerate(rows):
+        alone = TrendTimesSeason(days, y, 1500.0)
+        assert np.allclose(alone.at(ahead), together.at(np.tile(ahead, (len(rows), 1)))[k]) and alone.spread == pytest.approx(together.spread[k])
+    assert augmented_dickey_fuller_many(rows) == [
+        None if one is None else (*one[:2], pytest.approx(one[2]), pytest.approx(one[3])) for one in (augmented_dickey_fuller(*r) for r in rows)
+    ]
+    width, penalty = 5, np.array([0.3, 0.2])
+    y = np.concatenate([np.zeros((2, width)), rng.normal(size=(2, 40))], axis=1)
+    y[1, :30] = 0.0
+    for values, weights, own in zip(y, series.lag_fits(y, width, penalty), penalty):
+        x = np.lib.stride_tricks.sliding_window_view(values[:-1], width)[:, ::-1]
+        assert np.allclose(weights, np.linalg.solve(x.T @ x + own * np.eye(width), x.T @ values[width:]))
+    parts = list(series._alike(np.array([0, 2, 3]), np.array([5, 9, 1, 400]), 10))
+    assert [p.tolist() for p in parts] == [[2, 0], [3]]
+
+
+def test_model_backtest_lays_out_days_after_the_exchange(spark):
+    """No join by day: a series' days and path meet as a row each."""
+    values = frame(spark, [3.0, 1.0] * 30).unionByName(frame(spark, [2.0], "B"))
+    plan = series.model_backtest(values, series.recursive_lag_forecast, 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") == 1
+    assert plan.index("Generate explode") < plan.index("Join")
+    got = {r["series_id"]: r["n_rows"] for r in series.model_backtest(values, series.recursive_lag_forecast, 10).collect()}
+    assert got == {"A": 10, "B": 10}
