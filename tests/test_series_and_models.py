@@ -386,6 +386,28 @@ def test_feature_importance_sums_to_one(spark):
     assert got[0]["feature"] == "qty_mean_item"
 
 
+def test_contract_counts_rows_above_the_bound_and_shuffles_no_forecasts(spark):
+    """A forecaster that is too high, negative, NaN or repeats steps shows; the rows themselves pass no exchange."""
+    from checks import q_series
+
+    items = frame(spark, [1.0, 2.0, 3.0]).unionByName(frame(spark, [4.0, 4.0], "B")).unionByName(frame(spark, [1.0], "C"))
+    plans = []
+
+    def forecast(rows, steps):
+        ahead = series.future_days(rows, steps).withColumn("step", F.when(F.expr("series_id = 'C' and step = 360"), 359).otherwise(F.col("step")))
+        value = F.expr("case when series_id = 'A' and step <= 10 then 15.5 when series_id = 'B' and step = 1 then -1.0 "
+                       "when series_id = 'B' and step = 2 then double('nan') else 1.0 end")
+        plans.append(ahead.select("*", value.alias("qty_forecast")))
+        return plans[-1]
+
+    got = {r["series_id"]: (r["n_rows"], r["n_steps"], r["n_good"]) for r in q_series.forecast_contract(items, forecast).collect()}
+    assert got == {"A": (360, 360, 350), "B": (360, 360, 358), "C": (360, 359, 360)}
+    assert len(plans) == 2 and plans[1].select("series_id").distinct().count() == 1
+    steps = plans[0].groupBy("series_id").agg(q_series._distinct_steps())._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in steps and "gid" not in steps
+    assert steps.count("partial_bit_or") >= 6
+
+
 def test_many_series_are_fitted_as_each_alone(spark):
     """Seasons, lags and unit roots of a batch are those of one series at a time."""
     rng = np.random.default_rng(11)
