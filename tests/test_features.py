@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidestock.functions.hashing import row_key, uniform
-from tidestock.operators import encoding, features, outliers, splits, windows
+from tidestock.operators import augment, encoding, features, outliers, splits, windows
 from tidestock.operators.augment import augmented_table, gaussian_noise, interpolate_rows, rare_mix, union_augmented
 from tidestock.session import staged
 
@@ -289,3 +289,38 @@ def test_gap_fill_by_series_shuffles_rows_not_days(spark):
         F.count("*").alias("count"), F.count_distinct("invoice_date").alias("days")).collect()}
     assert counts == {"A": (402, 401), "B": (1, 1)}
     assert filled.agg(F.sum("qty")).first()[0] == 8.0
+
+
+def test_dedupe_of_wide_rows_shuffles_hashes_and_repeats(spark, monkeypatch):
+    """Exact duplicates go, rows that share the first columns alone stay; without any repeat, rows pass no exchange."""
+    rows = [(k, None if k % 3 else "a", float(k)) for k in range(20)] + [(1, None, 1.0), (1, None, 7.0), (3, "a", 3.0), (3, "a", 3.0)]
+    df = spark.createDataFrame(rows, "k int, s string, v double")
+    for most in (augment.MOST_ALIKE, 1):
+        monkeypatch.setattr(augment, "MOST_ALIKE", most)
+        got = augment.dedupe_wide(df, ["k", "s"])
+        assert got.columns == df.columns and sorted(map(tuple, got.collect()), key=repr) == sorted(set(rows), key=repr)
+    single = df.where("k > 5")
+    assert "Exchange" not in augment.dedupe_wide(single, ["k", "s"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_augmented_table_computes_noise_once_and_writes_no_union(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(augment, "staged_lean", lambda df, name: (names.append(name), df.cache())[1])
+    data = [("A" if i % 2 else "B", START + timedelta(days=i), "S", float(i % 7 + 1), 2.0, 2.0, 1.0, 1.0, 0, 0) for i in range(60)]
+    df = spark.createDataFrame(data, "item_id string, invoice_date date, site string, qty double, qty_mean_item double, "
+                               "qty_mean_item_month double, qty_lag_1 double, qty_lag_7 double, site_code int, item_code int")
+    out = augment.augmented_table(df)
+    assert set(names) == {"coded", "alike"}
+    assert out.columns[-2:] == ["site_code", "item_code"] and "source" in out.columns
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "noise-qty_lag_1" in plan and not [x for x in plan.splitlines() if "Filter" in x and "noise-" in x]
+    counts = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
+    assert counts["original"] == 60 and counts["gaussian_noise"] == 60
+
+
+def test_small_dictionaries_shuffle_no_rows(spark):
+    """The written dictionary's size is known, so that joining it needs no exchange of the coded rows."""
+    df = spark.range(1000).selectExpr("cast(id % 7 as string) as site", "id")
+    coded = encoding.label_encode(df, {"site": "site_code"})
+    assert "hashpartitioning" not in coded._jdf.queryExecution().executedPlan().toString()
+    assert coded.agg(F.max("site_code")).first()[0] == 6

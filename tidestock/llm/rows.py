@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidestock.session import staged
+from tidestock.session import staged_lean  # noqa: F401  (used by the steps of this package)
 
 MAX_ROWS, MAX_BYTES = 8192, 8 << 20
 
@@ -74,17 +74,3 @@ def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
 
 def ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
-def staged_lean(df: DataFrame, name: str) -> DataFrame:
-    """:func:`staged`, and the shuffle files of this one step are dropped once it is written.
-
-    For steps whose shuffles are large against the input; what is written is read again, never the frame.
-    """
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key, "false")
-    conf.set(key, "true")
-    try:
-        return staged(df, name)
-    finally:
-        conf.set(key, before)
